@@ -29,12 +29,13 @@ def nest_rows(
     one a hash of the item is used, which keeps identical copies together.
     Items are sorted inside each array, so documents are reproducible.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    salt = F.col(tiebreak) if tiebreak else F.xxhash64(F.col(item))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).alias("_c")
+    rows = df.alias("_d")
+    salt = F.col(f"_d.{tiebreak}") if tiebreak else F.xxhash64(F.col(f"_d.{item}"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_c._n") / F.lit(max_items)))
     tagged = (
-        df.join(counts, df[key].eqNullSafe(counts[key]), "inner")
-        .select(df[key].alias(key), F.col(item), F.pmod(salt, parts).alias("_part"))
+        rows.join(counts, F.col(f"_d.{key}").eqNullSafe(F.col(f"_c.{key}")), "inner")
+        .select(F.col(f"_d.{key}").alias(key), F.col(f"_d.{item}").alias(item), F.pmod(salt, parts).alias("_part"))
     )
     return (
         tagged.groupBy(key, "_part")

@@ -1,45 +1,287 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame
-over the driver's tables (or data Spark derives from them)."""
+over the driver's tables (or data Spark derives from them and writes to the
+shared scratch folder). Every query runs over whole tables."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidepool.functions.time import epoch_to_string
+from tidepool.operators.backlog import backlog, backlog_batch, id_cursor
+from tidepool.operators.nested import explode_players, flatten_structs
+from tidepool.operators.quality import group_size, uniqueness
+from tidepool.operators.upsert import SnapshotStore, upsert
 from tidepool.plans import oracle
+from tidepool.plans.bronze import build_players, load_bronze
 from tidepool.plans.features import entity_features, entity_lifetime
 from tidepool.plans.onehot import draft_onehot
-from tidepool.plans.standin import player_rows
-from tidepool.session import configure
+from tidepool.plans.standin import match_documents, player_rows
+from tidepool.session import configure, scratch_path
+from tidepool.sources.ingest import ingest_backfill, ingest_new, with_start_text
+from tidepool.sources.json_docs import land_json, read_json_docs, schema_from_json, schema_to_json
+from tidepool.sources.maintain import compact_table
+from tidepool.sources.tables import append_evolving, ledger_append, load, read_ledger, read_table
+from tidepool.streaming.bronze_stream import stream_upsert
 
 # The reference instant of every dated query: the last order date.
 REF = "2001-08-01 00:00:00"
+# Split points that divide whole tables into "already stored" and "arriving".
+SPLIT_DATE = "2000-01-01 00:00:00"
+EVENT_SPLIT_TS = "2024-01-15 00:00:00"
+# Rows expected per match in the group-size check on the stand-in table.
+GROUP_SIZE = 4
 
 
-def q_player_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _start(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return entity_features(player_rows(spark, sf_dir), ref=REF)
+    return player_rows(spark, sf_dir)
 
 
-def q_player_lifetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_player_features(spark, sf_dir):
+    return entity_features(_start(spark, sf_dir), ref=REF)
+
+
+def q_player_lifetime(spark, sf_dir):
+    return entity_lifetime(_start(spark, sf_dir), ref=REF)
+
+
+def q_draft_onehot(spark, sf_dir):
+    return draft_onehot(_start(spark, sf_dir), side="is_side_a", outcome="side_a_win", ref=REF)
+
+
+def q_check_group_size(spark, sf_dir):
+    return group_size(_start(spark, sf_dir), "match_id", GROUP_SIZE, not_null=["account_id", "PLAYER_SLOT"])
+
+
+def q_check_uniqueness(spark, sf_dir):
+    configure(spark)
+    return uniqueness(load(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+def q_id_cursor(spark, sf_dir):
+    configure(spark)
+    return id_cursor(load(spark, sf_dir, "orders"), "o_orderkey")
+
+
+def _listing(spark, sf_dir):
+    return load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("match_id"))
+
+
+def _done(spark, sf_dir):
+    return load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("match_id"))
+
+
+def q_backlog_ids(spark, sf_dir):
+    configure(spark)
+    return backlog(_listing(spark, sf_dir), _done(spark, sf_dir))
+
+
+def q_backlog_batch(spark, sf_dir):
+    configure(spark)
+    return backlog_batch(backlog(_listing(spark, sf_dir), _done(spark, sf_dir)), 10)
+
+
+def _orders_with_epoch(spark, sf_dir):
+    o = load(spark, sf_dir, "orders")
+    return o.withColumn("start_time", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")))
+
+
+def q_epoch_to_string(spark, sf_dir):
+    configure(spark)
+    o = _orders_with_epoch(spark, sf_dir)
+    return o.select("o_orderkey", "start_time", epoch_to_string("start_time").alias("td_start"))
+
+
+def q_json_fixed_schema_scan(spark, sf_dir):
+    """Events landed as JSON documents whose ``props`` is the raw JSON text,
+    scanned back under a fixed schema."""
+    configure(spark)
+    ev = load(spark, sf_dir, "events")
+    head = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    doc = F.concat(F.expr("substring(_h, 1, length(_h) - 1)"), F.lit(',"props":'), F.col("props"), F.lit("}"))
+    raw = scratch_path(spark, "events_json")
+    ev.select(head.alias("_h"), "props").select(doc.alias("value")).write.text(raw)
+    schema = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRUCT<k: BIGINT>"
+    from pyspark.sql.types import _parse_datatype_string
+
+    docs = read_json_docs(spark, raw, _parse_datatype_string(schema), key="event_id")
+    return docs.select("event_id", "user_id", "event_type", "value", F.col("props.k").alias("k"))
+
+
+def q_json_land_roundtrip(spark, sf_dir):
+    """Orders landed as JSON documents with their schema file, read back."""
+    configure(spark)
+    o = load(spark, sf_dir, "orders")
+    raw = scratch_path(spark, "orders_json")
+    land_json(o, f"{raw}/docs")
+    schema_to_json(o.schema, f"{raw}/_schema/schema.json", spark)
+    schema = schema_from_json(f"{raw}/_schema/schema.json", spark)
+    return read_json_docs(spark, f"{raw}/docs", schema, key="o_orderkey")
+
+
+def q_explode_players(spark, sf_dir):
+    configure(spark)
+    return explode_players(match_documents(spark, sf_dir))
+
+
+def q_bronze_players(spark, sf_dir):
+    """Documents landed as JSON -> full load into a catalog table (once) ->
+    player table recreated from it (CTAS)."""
+    configure(spark)
+    docs = match_documents(spark, sf_dir)
+    base = scratch_path(spark, "bronze")
+    land_json(docs, f"{base}/raw")
+    db = f"bronze_{uuid.uuid4().hex[:10]}"
+    load_bronze(spark, f"{base}/raw", docs.schema, db, "match_details", location=f"{base}/db")
+    return build_players(spark, db, "match_details", "match_players")
+
+
+def q_flatten_structs(spark, sf_dir):
+    configure(spark)
+    o = load(spark, sf_dir, "orders")
+    c = load(spark, sf_dir, "customer")
+    nested = o.join(c, o.o_custkey == c.c_custkey, "left").select(
+        F.col("o_orderkey").alias("match_id"),
+        F.struct(F.col("c_custkey").alias("leagueid"), F.col("c_name").alias("name"),
+                 F.col("c_mktsegment").alias("tier")).alias("league"),
+        F.struct(F.col("c_nationkey").alias("team_id"), F.col("c_acctbal").alias("rating")).alias("radiant_team"),
+    )
+    return flatten_structs(nested, ["league", "radiant_team"], keep=["match_id"])
+
+
+def _mid_key(df, key):
+    row = id_cursor(df, key).first()
+    return (row["min_id"] + row["max_id"]) // 2
+
+
+def q_ingest_new(spark, sf_dir):
+    """Target holds ids up to the middle; one run appends every newer row."""
+    configure(spark)
+    src = _orders_with_epoch(spark, sf_dir)
+    cut = _mid_key(src, "o_orderkey")
+    target = scratch_path(spark, "history_new")
+    append_evolving(with_start_text(src.filter(F.col("o_orderkey") <= cut)), target)
+    ingest_new(spark, src, target, key="o_orderkey")
+    return read_table(spark, target, merge_schema=True)
+
+
+def q_ingest_backfill(spark, sf_dir):
+    """Target holds ids from the middle up; one run backfills 31 pages of
+    100 ids below its min."""
+    configure(spark)
+    src = _orders_with_epoch(spark, sf_dir)
+    cut = _mid_key(src, "o_orderkey")
+    target = scratch_path(spark, "history_old")
+    append_evolving(with_start_text(src.filter(F.col("o_orderkey") >= cut)), target)
+    ingest_backfill(spark, src, target, key="o_orderkey", pages=31, page_size=100)
+    return read_table(spark, target, merge_schema=True)
+
+
+def q_append_evolving(spark, sf_dir):
+    """Two appends; the second brings a new column, NULL for older rows."""
+    configure(spark)
+    ev = load(spark, sf_dir, "events")
+    split = F.lit(EVENT_SPLIT_TS).cast(ev.schema["ts"].dataType)
+    path = scratch_path(spark, "events_append")
+    append_evolving(ev.filter(F.col("ts") < split).drop("props"), path)
+    append_evolving(ev.filter(F.col("ts") >= split), path)
+    return read_table(spark, path, merge_schema=True).select(*ev.columns)
+
+
+def q_ledger_append(spark, sf_dir):
+    """Two runs append their processed ids; readers see each id once."""
     configure(spark)
-    return entity_lifetime(player_rows(spark, sf_dir), ref=REF)
+    path = scratch_path(spark, "ledger")
+    ledger_append(_listing(spark, sf_dir), path)
+    ledger_append(_done(spark, sf_dir).distinct(), path)
+    return read_ledger(spark, path)
 
 
-def q_draft_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_full_load_once(spark, sf_dir):
+    """Nation landed as JSON; the first call loads the table, the second is
+    a no-op."""
     configure(spark)
-    return draft_onehot(player_rows(spark, sf_dir), side="is_side_a", outcome="side_a_win", ref=REF)
+    n = load(spark, sf_dir, "nation")
+    base = scratch_path(spark, "full_load")
+    land_json(n, f"{base}/raw")
+    db = f"bronze_{uuid.uuid4().hex[:10]}"
+    first = load_bronze(spark, f"{base}/raw", n.schema, db, "nation", location=f"{base}/db", key="n_nationkey")
+    second = load_bronze(spark, f"{base}/raw", n.schema, db, "nation", location=f"{base}/db", key="n_nationkey")
+    if not first or second:
+        raise RuntimeError("full load must run once and then be a no-op")
+    return spark.table(f"`{db}`.`nation`")
+
+
+def _order_changes(o: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Old table = orders before the split date; changes = every later
+    order (insert) and every finished one (update, price + 1)."""
+    split = F.lit(SPLIT_DATE).cast(o.schema["o_orderdate"].dataType)
+    old = o.filter(F.col("o_orderdate") < split)
+    changed = o.filter((F.col("o_orderdate") >= split) | (F.col("o_orderstatus") == "F"))
+    changed = changed.withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0))
+    return old, changed
+
+
+def q_batch_upsert(spark, sf_dir):
+    configure(spark)
+    old, changed = _order_changes(load(spark, sf_dir, "orders"))
+    return upsert(old, changed, key="o_orderkey")
+
+
+def q_stream_upsert(spark, sf_dir):
+    """Changes arrive as JSON files, two per micro-batch; each batch is
+    upserted into a snapshot store; the last snapshot is the table."""
+    configure(spark)
+    o = load(spark, sf_dir, "orders")
+    old, changed = _order_changes(o)
+    base = scratch_path(spark, "stream")
+    store = SnapshotStore(spark, f"{base}/table")
+    store.write(old, 0)
+    land_json(changed.repartition(6, "o_orderkey"), f"{base}/incoming")
+    stream_upsert(spark, f"{base}/incoming", o.schema, store, f"{base}/_checkpoint",
+                  key="o_orderkey", max_files=2)
+    return store.read()
+
+
+def q_compact_table(spark, sf_dir):
+    """Line items written as many small files, compacted into few."""
+    configure(spark)
+    li = load(spark, sf_dir, "lineitem")
+    base = scratch_path(spark, "compact")
+    li.repartition(48).write.parquet(f"{base}/small")
+    compact_table(spark, f"{base}/small", f"{base}/compacted")
+    return spark.read.parquet(f"{base}/compacted")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "player_features": q_player_features,
     "player_lifetime": q_player_lifetime,
     "draft_onehot": q_draft_onehot,
+    "backlog_ids": q_backlog_ids,
+    "backlog_batch": q_backlog_batch,
+    "check_group_size": q_check_group_size,
+    "check_uniqueness": q_check_uniqueness,
+    "id_cursor": q_id_cursor,
+    "epoch_to_string": q_epoch_to_string,
+    "json_fixed_schema_scan": q_json_fixed_schema_scan,
+    "json_land_roundtrip": q_json_land_roundtrip,
+    "explode_players": q_explode_players,
+    "bronze_players": q_bronze_players,
+    "flatten_structs": q_flatten_structs,
+    "ingest_new": q_ingest_new,
+    "ingest_backfill": q_ingest_backfill,
+    "append_evolving": q_append_evolving,
+    "ledger_append": q_ledger_append,
+    "full_load_once": q_full_load_once,
+    "batch_upsert": q_batch_upsert,
+    "stream_upsert": q_stream_upsert,
+    "compact_table": q_compact_table,
 }
 
-ORACLE: dict[str, str] = {
-    "player_features": oracle.player_features_sql(),
-    "player_lifetime": oracle.player_lifetime_sql(),
-    "draft_onehot": oracle.draft_onehot_sql(),
-}
+ORACLE: dict[str, str] = oracle.all_sql(
+    ref=REF, split_date=SPLIT_DATE, event_split_ts=EVENT_SPLIT_TS, group_size=GROUP_SIZE
+)

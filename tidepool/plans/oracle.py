@@ -89,3 +89,100 @@ FROM pm
 WHERE CAST(td_match AS DATE) >= CAST({REF_TS} - INTERVAL {months} MONTH AS DATE)
 GROUP BY match_id
 """
+
+
+def _epoch(ts: str) -> str:
+    return f"CAST(epoch({ts}) AS BIGINT)"
+
+
+def _text(ts: str) -> str:
+    return f"strftime({ts}, '%Y-%m-%d %H:%M:%S')"
+
+
+PLAYERS_SQL = f"""
+SELECT l.l_orderkey AS match_id,
+       CAST(l.l_linenumber AS BIGINT) AS player_slot,
+       o.o_custkey AS account_id,
+       l.l_suppkey AS hero_id,
+       CAST(l.l_linenumber AS BIGINT) AS lane_role,
+       l.l_linestatus = 'O' AS isRadiant,
+       o.o_orderstatus = 'F' AS radiant_win,
+       CAST(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS win,
+       CAST(l.l_quantity AS BIGINT) AS kills,
+       l.l_discount AS kills_per_min,
+       CAST(l.l_tax AS VARCHAR) AS stuns,
+       {_epoch('o.o_orderdate')} AS start_time,
+       {_text('o.o_orderdate')} AS td_match
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
+
+ORDERS_EPOCH_SQL = f"SELECT *, {_epoch('o_orderdate')} AS start_time, {_text('o_orderdate')} AS td_start FROM orders"
+
+
+def upserted_orders_sql(split_date: str) -> str:
+    return f"""
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderdate >= TIMESTAMP '{split_date}' OR o_orderstatus = 'F'
+            THEN o_totalprice + 1.0 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders
+"""
+
+
+def all_sql(ref: str, split_date: str, event_split_ts: str, group_size: int) -> dict[str, str]:
+    assert REF_TS == f"TIMESTAMP '{ref}'", "oracle reference instant out of sync"
+    backlog = """
+SELECT DISTINCT hist.o_orderkey AS match_id
+FROM orders AS hist
+LEFT JOIN lineitem AS det ON hist.o_orderkey = det.l_orderkey
+WHERE det.l_orderkey IS NULL
+"""
+    return {
+        "player_features": player_features_sql(),
+        "player_lifetime": player_lifetime_sql(),
+        "draft_onehot": draft_onehot_sql(),
+        "backlog_ids": backlog,
+        "backlog_batch": f"SELECT * FROM ({backlog}) ORDER BY match_id LIMIT 10",
+        "check_group_size": f"""
+WITH pm AS ({PLAYER_ROWS_SQL})
+SELECT match_id, COUNT(*) AS n_rows
+FROM pm
+WHERE account_id IS NOT NULL AND PLAYER_SLOT IS NOT NULL
+GROUP BY 1
+HAVING COUNT(*) != {group_size}
+""",
+        "check_uniqueness": "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT l_orderkey) AS n_distinct_keys FROM lineitem",
+        "id_cursor": "SELECT MIN(o_orderkey) AS min_id, MAX(o_orderkey) AS max_id FROM orders",
+        "epoch_to_string": f"SELECT o_orderkey, {_epoch('o_orderdate')} AS start_time, "
+                           f"{_text('o_orderdate')} AS td_start FROM orders",
+        "json_fixed_schema_scan": "SELECT event_id, user_id, event_type, value, "
+                                  "CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+        "json_land_roundtrip": "SELECT * FROM orders",
+        "explode_players": PLAYERS_SQL,
+        "bronze_players": PLAYERS_SQL,
+        "flatten_structs": """
+SELECT o.o_orderkey AS match_id,
+       c.c_custkey AS league_leagueid, c.c_name AS league_name, c.c_mktsegment AS league_tier,
+       c.c_nationkey AS radiant_team_team_id, c.c_acctbal AS radiant_team_rating
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+""",
+        "ingest_new": ORDERS_EPOCH_SQL,
+        "ingest_backfill": f"""
+WITH e AS ({ORDERS_EPOCH_SQL}),
+     b AS (SELECT (MIN(o_orderkey) + MAX(o_orderkey)) // 2 AS cut FROM orders)
+SELECT e.* FROM e, b WHERE e.o_orderkey >= b.cut
+UNION ALL
+SELECT * FROM (SELECT e.* FROM e, b WHERE e.o_orderkey < b.cut ORDER BY e.o_orderkey DESC LIMIT 3100)
+""",
+        "append_evolving": f"""
+SELECT event_id, ts, user_id, event_type, value,
+       CASE WHEN ts >= TIMESTAMP '{event_split_ts}' THEN props END AS props
+FROM events
+""",
+        "ledger_append": "SELECT DISTINCT match_id FROM "
+                         "(SELECT o_orderkey AS match_id FROM orders UNION ALL SELECT l_orderkey FROM lineitem)",
+        "full_load_once": "SELECT * FROM nation",
+        "batch_upsert": upserted_orders_sql(split_date),
+        "stream_upsert": upserted_orders_sql(split_date),
+        "compact_table": "SELECT * FROM lineitem",
+    }
