@@ -114,3 +114,20 @@ def month_bit(df: DataFrame, ts: str) -> Column:
     of a group are ``bit_count(bit_or(month_bit))`` -- exact and mergeable,
     unlike ``COUNT(DISTINCT month(ts))`` which needs an Expand."""
     return F.call_function("shiftleft", F.lit(1).cast("int"), F.month(as_time(df, ts)))
+
+
+# SQL-text forms of the same expressions, for plans that hand many
+# expressions to Spark in one call (``selectExpr`` / ``agg`` of ``expr``).
+
+def time_sql(df: DataFrame, ts: str) -> str:
+    if isinstance(time_type(df, ts), T.StringType):
+        return f"to_timestamp(`{ts}`)"
+    return f"`{ts}`"
+
+
+def days_since_sql(df: DataFrame, ts: str, ref: _dt.datetime) -> str:
+    return f"CAST(datediff(DATE'{ref.date().isoformat()}', to_date({time_sql(df, ts)})) AS BIGINT)"
+
+
+def month_bit_sql(df: DataFrame, ts: str) -> str:
+    return f"shiftleft(1, month({time_sql(df, ts)}))"

@@ -38,7 +38,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.time import as_reference, days_since, month_bit, window_filter
+from tidepool.functions.time import as_reference, days_since, days_since_sql, month_bit_sql, window_filter
 
 # Output names of the player feature table, in their order,
 # each with the player-table column it averages.
@@ -96,48 +96,47 @@ def entity_features(
 
     window = df.filter(window_filter(df, ts, ref_ts, months, start_inclusive=False, end_exclusive=True))
 
+    # Expressions go to Spark as SQL text in bulk (one driver call each
+    # instead of a chain of Column calls).
+    def q(name: str) -> str:
+        return f"`{name}`"
+
     # level 1: one row per (entity, event); all aggregates merge map-side
     per_event = [
-        F.min(days_since(df, ts, ref_ts)).alias("_gap"),
-        F.bit_or(month_bit(df, ts)).alias("_months"),
+        f"min({days_since_sql(df, ts, ref_ts)}) AS _gap",
+        f"bit_or({month_bit_sql(df, ts)}) AS _months",
     ]
     for i, (_, src) in enumerate(measures):
-        per_event.append(F.sum(F.col(src)).alias(f"_s{i}"))
-        per_event.append(F.count(F.col(src)).alias(f"_c{i}"))
-    for r in roles:
-        per_event.append(F.sum(F.when(F.col(role) == F.lit(r), 1).otherwise(0)).alias(f"_r{r}"))
-    level1 = window.groupBy(entity, event).agg(*per_event)
+        per_event += [f"sum({q(src)}) AS _s{i}", f"count({q(src)}) AS _c{i}"]
+    per_event += [f"sum(CASE WHEN {q(role)} = {int(r)} THEN 1 ELSE 0 END) AS _r{int(r)}" for r in roles]
+    level1 = window.groupBy(entity, event).agg(*[F.expr(e) for e in per_event])
 
     # level 2: one row per entity
     per_entity = [
-        F.count(F.col(event)).alias("qt_matches"),
-        F.min("_gap").alias("qt_days_last_match"),
-        F.bit_count(F.bit_or("_months")).alias("_n_months"),
+        f"count({q(event)}) AS qt_matches",
+        "min(_gap) AS qt_days_last_match",
+        "bit_count(bit_or(_months)) AS _n_months",
+    ]
+    per_entity += [
+        f"try_divide(CAST(sum(_s{i}) AS DOUBLE), sum(_c{i})) AS {q(name)}" for i, (name, _) in enumerate(measures)
     ]
-    for i, (name, _) in enumerate(measures):
-        per_entity.append(F.try_divide(F.sum(f"_s{i}").cast("double"), F.sum(f"_c{i}")).alias(name))
-    for r in roles:
-        per_entity.append(F.sum(f"_r{r}").alias(f"_r{r}"))
-    stats = level1.groupBy(entity).agg(*per_entity)
+    per_entity += [f"sum(_r{int(r)}) AS _r{int(r)}" for r in roles]
+    stats = level1.groupBy(entity).agg(*[F.expr(e) for e in per_entity])
 
     lifetime = entity_lifetime(history, entity=entity, ts=ts, ref=ref_ts)
     joined = stats.join(lifetime, on=entity, how="left")
 
-    def zero(c):
-        return F.coalesce(c, F.lit(0))
-
-    n = F.col("qt_matches")
     out = [
-        F.lit(ref_ts.date()).alias("dt_ref"),
-        F.col(entity),
-        zero(n).alias("qt_matches"),
-        zero(F.col("qt_days_last_match")).alias("qt_days_last_match"),
-        zero(F.col("tq_days_first_match")).alias("tq_days_first_match"),
-        zero(F.try_divide(n.cast("double"), F.col("_n_months"))).alias("tq_match_month"),
-        zero(F.try_divide(n.cast("double"), F.lit(months))).alias(f"tq_match_month_{months}"),
+        f"DATE'{ref_ts.date().isoformat()}' AS dt_ref",
+        q(entity),
+        "coalesce(qt_matches, 0) AS qt_matches",
+        "coalesce(qt_days_last_match, 0) AS qt_days_last_match",
+        "coalesce(tq_days_first_match, 0) AS tq_days_first_match",
+        "coalesce(try_divide(CAST(qt_matches AS DOUBLE), _n_months), 0) AS tq_match_month",
+        f"coalesce(try_divide(CAST(qt_matches AS DOUBLE), {int(months)}), 0) AS tq_match_month_{int(months)}",
     ]
-    out += [zero(F.col(name)).alias(name) for name, _ in measures]
+    out += [f"coalesce({q(name)}, 0) AS {q(name)}" for name, _ in measures]
     out += [
-        zero(F.try_divide(F.col(f"_r{r}").cast("double"), n)).alias(f"pctg_{role}_{r}") for r in roles
+        f"coalesce(try_divide(CAST(_r{int(r)} AS DOUBLE), qt_matches), 0) AS `pctg_{role}_{int(r)}`" for r in roles
     ]
-    return joined.select(*out)
+    return joined.selectExpr(*out)

@@ -55,28 +55,31 @@ def one_hot(
     """Per ``key``: ``carry`` aggregates, then ``<side>_<label>_<item>`` = 1
     when some row of the key has that item on that side (``side`` true for
     the first side, false for the second; NULL side counts for neither)."""
-    items = list(items)
+    items = [int(i) for i in items]
     if len(set(items)) != len(items):
         raise ValueError("items must be distinct")
     n_words = (len(items) + _WORD - 1) // _WORD
-    pos = F.array_position(F.array(*[F.lit(i) for i in items]), F.col(item)) - 1  # -1: not listed
+    # The expressions are SQL text handed over in bulk: hundreds of Column
+    # objects built one by one cost a driver round trip each.
+    listed = ", ".join(str(i) for i in items)
+    # position of the item in the list, computed once per row (-1: not listed)
+    df = df.withColumn("_pos", F.expr(f"array_position(array({listed}), `{item}`) - 1"))
 
     aggs = [agg.alias(name) for name, agg in (carry or {}).items()]
-    for s_idx, flag in enumerate((True, False)):
-        on_side = F.col(side) == F.lit(flag)
+    for s_idx, flag in enumerate(("true", "false")):
         for w in range(n_words):
-            lo = w * _WORD
-            hit = on_side & (pos >= lo) & (pos < lo + _WORD)
-            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (pos - lo).cast("int"))
-            aggs.append(F.bit_or(F.when(hit, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"_w{s_idx}_{w}"))
+            lo, hi = w * _WORD, (w + 1) * _WORD
+            aggs.append(F.expr(
+                f"bit_or(CASE WHEN `{side}` = {flag} AND _pos >= {lo} AND _pos < {hi} "
+                f"THEN shiftleft(1L, CAST(_pos - {lo} AS INT)) ELSE 0L END)"
+            ).alias(f"_w{s_idx}_{w}"))
     folded = df.groupBy(key).agg(*aggs)
 
-    out = [F.col(key)] + [F.col(name) for name in (carry or {})]
+    out = [f"`{key}`"] + [f"`{name}`" for name in (carry or {})]
     for s_idx, s_name in enumerate(sides):
         for p, i in enumerate(items):
-            word = F.col(f"_w{s_idx}_{p // _WORD}")
-            out.append(F.shiftright(word, p % _WORD).bitwiseAND(F.lit(1)).cast("int").alias(f"{s_name}_{label}_{i}"))
-    return folded.select(*out)
+            out.append(f"CAST(shiftright(_w{s_idx}_{p // _WORD}, {p % _WORD}) & 1 AS INT) AS `{s_name}_{label}_{i}`")
+    return folded.selectExpr(*out)
 
 
 def draft_onehot(

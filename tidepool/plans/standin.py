@@ -15,76 +15,51 @@ from pyspark.sql import functions as F
 from tidepool.operators.nested import nest_rows
 from tidepool.sources.tables import load
 
-# The same mapping as SQL text, for the DuckDB oracle (tables pre-registered).
-PLAYER_ROWS_SQL = """
-SELECT l.l_orderkey                         AS match_id,
-       o.o_custkey                          AS account_id,
-       CAST(l.l_linenumber AS BIGINT)       AS player_slot,
-       CAST(l.l_linenumber AS BIGINT)       AS lane_role,
-       l.l_suppkey                          AS hero_id,
-       l.l_linestatus = 'O'                 AS is_side_a,
-       o.o_orderstatus = 'F'                AS side_a_win,
-       CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS win,
-       CAST(l.l_quantity AS BIGINT)         AS kills,
-       l.l_discount                         AS kills_per_min,
-       l.l_partkey                          AS assists,
-       l.l_suppkey                          AS camps_stacked,
-       CAST(l.l_linenumber AS BIGINT) * 2   AS creeps_stacked,
-       CAST(l.l_linenumber AS BIGINT) + 1   AS deaths,
-       CASE WHEN l.l_returnflag = 'N' THEN 1 ELSE 0 END AS denies,
-       CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS firstblood_claimed,
-       CAST(FLOOR(l.l_extendedprice) AS BIGINT) AS gold_per_min,
-       CAST(l.l_quantity AS BIGINT) + l.l_linenumber AS rune_pickups,
-       CAST(FLOOR(o.o_totalprice) AS BIGINT) AS xp_per_min,
-       CAST(FLOOR(l.l_extendedprice * l.l_tax) AS BIGINT) AS kda,
-       CAST(FLOOR(l.l_extendedprice * l.l_discount) AS BIGINT) AS neutral_kills,
-       CAST(FLOOR(l.l_extendedprice * (1 - l.l_discount)) AS BIGINT) AS tower_kills,
-       CAST(FLOOR(o.o_totalprice - l.l_extendedprice) AS BIGINT) AS observer_kills,
-       CAST(FLOOR(l.l_extendedprice * l.l_tax * 100) AS BIGINT) AS sentry_kills,
-       o.o_orderdate                        AS td_match
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-"""
-
+# The player table stand-in as (column, SQL expression) pairs over
+# ``lineitem l JOIN orders o``. The same text runs in Spark (``selectExpr``)
+# and in the DuckDB oracle, so the two sides cannot drift apart. Measures are
+# BIGINT like the game's counters, except ``kills_per_min`` (DOUBLE).
+PLAYER_COLUMNS = [
+    ("match_id", "l.l_orderkey"),
+    ("account_id", "o.o_custkey"),
+    ("player_slot", "CAST(l.l_linenumber AS BIGINT)"),
+    ("lane_role", "CAST(l.l_linenumber AS BIGINT)"),
+    ("hero_id", "l.l_suppkey"),
+    ("is_side_a", "l.l_linestatus = 'O'"),
+    ("side_a_win", "o.o_orderstatus = 'F'"),
+    ("win", "CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END"),
+    ("kills", "CAST(l.l_quantity AS BIGINT)"),
+    ("kills_per_min", "l.l_discount"),
+    ("assists", "l.l_partkey"),
+    ("camps_stacked", "l.l_suppkey"),
+    ("creeps_stacked", "CAST(l.l_linenumber AS BIGINT) * 2"),
+    ("deaths", "CAST(l.l_linenumber AS BIGINT) + 1"),
+    ("denies", "CASE WHEN l.l_returnflag = 'N' THEN 1 ELSE 0 END"),
+    ("firstblood_claimed", "CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END"),
+    ("gold_per_min", "CAST(FLOOR(l.l_extendedprice) AS BIGINT)"),
+    ("rune_pickups", "CAST(l.l_quantity AS BIGINT) + l.l_linenumber"),
+    ("xp_per_min", "CAST(FLOOR(o.o_totalprice) AS BIGINT)"),
+    ("kda", "CAST(FLOOR(l.l_extendedprice * l.l_tax) AS BIGINT)"),
+    ("neutral_kills", "CAST(FLOOR(l.l_extendedprice * l.l_discount) AS BIGINT)"),
+    ("tower_kills", "CAST(FLOOR(l.l_extendedprice * (1 - l.l_discount)) AS BIGINT)"),
+    ("observer_kills", "CAST(FLOOR(o.o_totalprice - l.l_extendedprice) AS BIGINT)"),
+    ("sentry_kills", "CAST(FLOOR(l.l_extendedprice * l.l_tax * 100) AS BIGINT)"),
+    ("td_match", "o.o_orderdate"),
+]
 
-def whole(c):
-    """Integer-valued measure (the game's counters are BIGINT)."""
-    return F.floor(c).cast("bigint")
+PLAYER_ROWS_SQL = (
+    "SELECT "
+    + ",\n       ".join(f"{expr} AS {name}" for name, expr in PLAYER_COLUMNS)
+    + "\nFROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"
+)
 
 
 def player_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat player table stand-in (see ``PLAYER_ROWS_SQL``). Measures are
-    BIGINT like the game's counters, except ``kills_per_min`` (DOUBLE)."""
-    li = load(spark, sf_dir, "lineitem")
-    o = load(spark, sf_dir, "orders")
-    line = F.col("l_linenumber").cast("bigint")
-    flag = F.col("l_returnflag")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
-        F.col("l_orderkey").alias("match_id"),
-        F.col("o_custkey").alias("account_id"),
-        line.alias("player_slot"),
-        line.alias("lane_role"),
-        F.col("l_suppkey").alias("hero_id"),
-        (F.col("l_linestatus") == "O").alias("is_side_a"),
-        (F.col("o_orderstatus") == "F").alias("side_a_win"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("win"),
-        F.col("l_quantity").cast("bigint").alias("kills"),
-        F.col("l_discount").alias("kills_per_min"),
-        F.col("l_partkey").alias("assists"),
-        F.col("l_suppkey").alias("camps_stacked"),
-        (line * 2).alias("creeps_stacked"),
-        (line + 1).alias("deaths"),
-        F.when(flag == "N", 1).otherwise(0).alias("denies"),
-        F.when(flag == "R", 1).otherwise(0).alias("firstblood_claimed"),
-        whole(F.col("l_extendedprice")).alias("gold_per_min"),
-        (F.col("l_quantity").cast("bigint") + F.col("l_linenumber")).alias("rune_pickups"),
-        whole(F.col("o_totalprice")).alias("xp_per_min"),
-        whole(F.col("l_extendedprice") * F.col("l_tax")).alias("kda"),
-        whole(F.col("l_extendedprice") * F.col("l_discount")).alias("neutral_kills"),
-        whole(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("tower_kills"),
-        whole(F.col("o_totalprice") - F.col("l_extendedprice")).alias("observer_kills"),
-        whole(F.col("l_extendedprice") * F.col("l_tax") * 100).alias("sentry_kills"),
-        F.col("o_orderdate").alias("td_match"),
-    )
+    """The flat player table stand-in (see ``PLAYER_COLUMNS``)."""
+    li = load(spark, sf_dir, "lineitem").alias("l")
+    o = load(spark, sf_dir, "orders").alias("o")
+    joined = li.join(o, F.col("l.l_orderkey") == F.col("o.o_orderkey"), "inner")
+    return joined.selectExpr(*[f"{expr} AS {name}" for name, expr in PLAYER_COLUMNS])
 
 
 def player_fields() -> list:
