@@ -1,0 +1,56 @@
+import datetime as dt
+
+from pyspark.sql import types as T
+
+from conftest import SF_SMALL, rows
+from tidepool.plans.onehot import HERO_IDS, draft_onehot, one_hot
+from tidepool.plans.standin import player_rows
+
+REF = "2001-08-01 00:00:00"
+
+
+def test_bitmask_equals_conditional_max(spark):
+    pm = player_rows(spark, SF_SMALL)
+    pm.createOrReplaceTempView("pm_onehot")
+    cols = ", ".join(
+        f"MAX(CASE WHEN hero_id = {i} AND is_side_a = {flag} THEN 1 ELSE 0 END) AS {side}_hero_{i}"
+        for side, flag in (("radiant", "true"), ("dire", "false")) for i in HERO_IDS)
+    ref_sql = spark.sql(f"""
+      SELECT match_id, MAX(side_a_win) AS radiant_win, {cols}
+      FROM pm_onehot WHERE td_match >= add_months(TIMESTAMP_NTZ'2001-08-01 00:00:00', -6)
+      GROUP BY match_id""")
+    ours = draft_onehot(pm, side="is_side_a", outcome="side_a_win", ref=REF)
+    assert ours.columns == ref_sql.columns
+    assert ours.exceptAll(ref_sql).count() == 0 and ref_sql.exceptAll(ours).count() == 0
+    assert ours.count() > 0
+
+
+SCHEMA = T.StructType([
+    T.StructField("match_id", T.LongType()), T.StructField("hero_id", T.LongType()),
+    T.StructField("isRadiant", T.BooleanType()), T.StructField("radiant_win", T.BooleanType()),
+    T.StructField("td_match", T.TimestampNTZType()),
+])
+
+
+def test_null_side_and_word_boundaries(spark):
+    items = list(range(0, 130))  # three 64-bit words per side
+    t = dt.datetime(2001, 7, 1)
+    df = spark.createDataFrame([
+        (1, 63, True, True, t), (1, 64, False, True, t), (1, 129, True, True, t),
+        (2, 5, None, None, t), (2, 999, True, None, t),
+    ], SCHEMA)
+    out = {r["match_id"]: r.asDict() for r in one_hot(df, key="match_id", item="hero_id", side="isRadiant",
+                                                        items=items).collect()}
+    one = {k for k, v in out[1].items() if k != "match_id" and v == 1}
+    assert one == {"radiant_hero_63", "dire_hero_64", "radiant_hero_129"}
+    assert all(v == 0 for k, v in out[2].items() if k != "match_id")  # NULL side, unlisted id
+
+
+def test_window_start_closed(spark):
+    start = dt.datetime(2001, 2, 1)
+    df = spark.createDataFrame([
+        (1, 1, True, True, start), (2, 1, True, True, start - dt.timedelta(seconds=1)),
+        (3, 1, True, False, dt.datetime(2002, 1, 1)),  # no upper bound
+    ], SCHEMA)
+    out = draft_onehot(df, ref=REF)
+    assert rows(out, "match_id", "radiant_win", "radiant_hero_1") == [(1, True, 1), (3, False, 1)]

@@ -59,7 +59,7 @@ def table_exists(spark: SparkSession, database: str, table: str) -> bool:
     and case-insensitive like the rest of the catalog."""
     if not spark.catalog.databaseExists(database):
         return False
-    return spark.catalog.tableExists(table, database)
+    return spark.catalog.tableExists(f"`{database}`.`{table}`")
 
 
 def replace_table(df: DataFrame, database: str, table: str) -> DataFrame:
