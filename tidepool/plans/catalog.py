@@ -20,7 +20,8 @@ from tidepool.plans.bronze import build_players, load_bronze
 from tidepool.plans.features import entity_features, entity_lifetime
 from tidepool.plans.onehot import draft_onehot
 from tidepool.plans.standin import match_documents, player_rows
-from tidepool.session import configure, scratch_path
+from tidepool.session import configure, path_bytes, scratch_path, size_for_input
+from tidepool.sources.tables import table_name
 from tidepool.sources.ingest import ingest_backfill, ingest_new, with_start_text
 from tidepool.sources.json_docs import land_json, read_json_docs, schema_from_json, schema_to_json
 from tidepool.sources.maintain import compact_table
@@ -36,8 +37,14 @@ EVENT_SPLIT_TS = "2024-01-15 00:00:00"
 GROUP_SIZE = 4
 
 
-def _start(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _setup(spark: SparkSession, sf_dir: str, *tables: str) -> None:
+    """Session settings, and shuffles sized from the bytes of the inputs."""
     configure(spark)
+    size_for_input(spark, sum(path_bytes(spark, table_name(sf_dir, t)) for t in tables))
+
+
+def _start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _setup(spark, sf_dir, "lineitem", "orders")
     return player_rows(spark, sf_dir)
 
 
@@ -58,12 +65,12 @@ def q_check_group_size(spark, sf_dir):
 
 
 def q_check_uniqueness(spark, sf_dir):
-    configure(spark)
+    _setup(spark, sf_dir, "lineitem")
     return uniqueness(load(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
 def q_id_cursor(spark, sf_dir):
-    configure(spark)
+    _setup(spark, sf_dir, "orders")
     return id_cursor(load(spark, sf_dir, "orders"), "o_orderkey")
 
 
@@ -76,12 +83,12 @@ def _done(spark, sf_dir):
 
 
 def q_backlog_ids(spark, sf_dir):
-    configure(spark)
+    _setup(spark, sf_dir, "orders", "lineitem")
     return backlog(_listing(spark, sf_dir), _done(spark, sf_dir))
 
 
 def q_backlog_batch(spark, sf_dir):
-    configure(spark)
+    _setup(spark, sf_dir, "orders", "lineitem")
     return backlog_batch(backlog(_listing(spark, sf_dir), _done(spark, sf_dir)), 10)
 
 
@@ -91,7 +98,7 @@ def _orders_with_epoch(spark, sf_dir):
 
 
 def q_epoch_to_string(spark, sf_dir):
-    configure(spark)
+    _setup(spark, sf_dir, "orders")
     o = _orders_with_epoch(spark, sf_dir)
     return o.select("o_orderkey", "start_time", epoch_to_string("start_time").alias("td_start"))
 
@@ -99,22 +106,20 @@ def q_epoch_to_string(spark, sf_dir):
 def q_json_fixed_schema_scan(spark, sf_dir):
     """Events landed as JSON documents whose ``props`` is the raw JSON text,
     scanned back under a fixed schema."""
-    configure(spark)
+    _setup(spark, sf_dir, "events")
     ev = load(spark, sf_dir, "events")
     head = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
     doc = F.concat(F.expr("substring(_h, 1, length(_h) - 1)"), F.lit(',"props":'), F.col("props"), F.lit("}"))
     raw = scratch_path(spark, "events_json")
     ev.select(head.alias("_h"), "props").select(doc.alias("value")).write.text(raw)
     schema = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRUCT<k: BIGINT>"
-    from pyspark.sql.types import _parse_datatype_string
-
-    docs = read_json_docs(spark, raw, _parse_datatype_string(schema), key="event_id")
+    docs = read_json_docs(spark, raw, schema, key="event_id")
     return docs.select("event_id", "user_id", "event_type", "value", F.col("props.k").alias("k"))
 
 
 def q_json_land_roundtrip(spark, sf_dir):
     """Orders landed as JSON documents with their schema file, read back."""
-    configure(spark)
+    _setup(spark, sf_dir, "orders")
     o = load(spark, sf_dir, "orders")
     raw = scratch_path(spark, "orders_json")
     land_json(o, f"{raw}/docs")
@@ -124,14 +129,14 @@ def q_json_land_roundtrip(spark, sf_dir):
 
 
 def q_explode_players(spark, sf_dir):
-    configure(spark)
+    _setup(spark, sf_dir, "lineitem", "orders", "customer")
     return explode_players(match_documents(spark, sf_dir))
 
 
 def q_bronze_players(spark, sf_dir):
     """Documents landed as JSON -> full load into a catalog table (once) ->
     player table recreated from it (CTAS)."""
-    configure(spark)
+    _setup(spark, sf_dir, "lineitem", "orders", "customer")
     docs = match_documents(spark, sf_dir)
     base = scratch_path(spark, "bronze")
     land_json(docs, f"{base}/raw")
@@ -141,7 +146,7 @@ def q_bronze_players(spark, sf_dir):
 
 
 def q_flatten_structs(spark, sf_dir):
-    configure(spark)
+    _setup(spark, sf_dir, "orders", "customer")
     o = load(spark, sf_dir, "orders")
     c = load(spark, sf_dir, "customer")
     nested = o.join(c, o.o_custkey == c.c_custkey, "left").select(
@@ -160,7 +165,7 @@ def _mid_key(df, key):
 
 def q_ingest_new(spark, sf_dir):
     """Target holds ids up to the middle; one run appends every newer row."""
-    configure(spark)
+    _setup(spark, sf_dir, "orders")
     src = _orders_with_epoch(spark, sf_dir)
     cut = _mid_key(src, "o_orderkey")
     target = scratch_path(spark, "history_new")
@@ -172,7 +177,7 @@ def q_ingest_new(spark, sf_dir):
 def q_ingest_backfill(spark, sf_dir):
     """Target holds ids from the middle up; one run backfills 31 pages of
     100 ids below its min."""
-    configure(spark)
+    _setup(spark, sf_dir, "orders")
     src = _orders_with_epoch(spark, sf_dir)
     cut = _mid_key(src, "o_orderkey")
     target = scratch_path(spark, "history_old")
@@ -183,7 +188,7 @@ def q_ingest_backfill(spark, sf_dir):
 
 def q_append_evolving(spark, sf_dir):
     """Two appends; the second brings a new column, NULL for older rows."""
-    configure(spark)
+    _setup(spark, sf_dir, "events")
     ev = load(spark, sf_dir, "events")
     split = F.lit(EVENT_SPLIT_TS).cast(ev.schema["ts"].dataType)
     path = scratch_path(spark, "events_append")
@@ -194,7 +199,7 @@ def q_append_evolving(spark, sf_dir):
 
 def q_ledger_append(spark, sf_dir):
     """Two runs append their processed ids; readers see each id once."""
-    configure(spark)
+    _setup(spark, sf_dir, "orders", "lineitem")
     path = scratch_path(spark, "ledger")
     ledger_append(_listing(spark, sf_dir), path)
     ledger_append(_done(spark, sf_dir).distinct(), path)
@@ -204,7 +209,7 @@ def q_ledger_append(spark, sf_dir):
 def q_full_load_once(spark, sf_dir):
     """Nation landed as JSON; the first call loads the table, the second is
     a no-op."""
-    configure(spark)
+    _setup(spark, sf_dir, "nation")
     n = load(spark, sf_dir, "nation")
     base = scratch_path(spark, "full_load")
     land_json(n, f"{base}/raw")
@@ -227,7 +232,7 @@ def _order_changes(o: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def q_batch_upsert(spark, sf_dir):
-    configure(spark)
+    _setup(spark, sf_dir, "orders")
     old, changed = _order_changes(load(spark, sf_dir, "orders"))
     return upsert(old, changed, key="o_orderkey")
 
@@ -235,7 +240,7 @@ def q_batch_upsert(spark, sf_dir):
 def q_stream_upsert(spark, sf_dir):
     """Changes arrive as JSON files, two per micro-batch; each batch is
     upserted into a snapshot store; the last snapshot is the table."""
-    configure(spark)
+    _setup(spark, sf_dir, "orders")
     o = load(spark, sf_dir, "orders")
     old, changed = _order_changes(o)
     base = scratch_path(spark, "stream")
@@ -249,7 +254,7 @@ def q_stream_upsert(spark, sf_dir):
 
 def q_compact_table(spark, sf_dir):
     """Line items written as many small files, compacted into few."""
-    configure(spark)
+    _setup(spark, sf_dir, "lineitem")
     li = load(spark, sf_dir, "lineitem")
     base = scratch_path(spark, "compact")
     li.repartition(48).write.parquet(f"{base}/small")

@@ -26,9 +26,15 @@ RUNTIME_CONF = {
     # broadcast only below a checked runtime size; AQE re-plans with real sizes
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # target bytes per post-shuffle partition (AQE coalesces towards it)
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
 }
 
+# Bytes of input per initial shuffle partition, and the most partitions a
+# single shuffle starts with (AQE coalesces from there).
+BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+MAX_INITIAL_PARTITIONS = 32768
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job relies on (idempotent)."""
@@ -37,6 +43,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def size_for_input(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with enough partitions for the input, so a partition
+    stays near ``BYTES_PER_SHUFFLE_PARTITION`` at any scale; never fewer
+    than the session's own setting. Returns the initial partition count."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-int(input_bytes) // BYTES_PER_SHUFFLE_PARTITION)
+    n = max(current, min(wanted, MAX_INITIAL_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidepool") -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     spark = (

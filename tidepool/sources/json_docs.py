@@ -52,9 +52,10 @@ def schema_to_json(schema: T.StructType, path: str, spark: SparkSession | None =
 
 
 def read_json_docs(
-    spark: SparkSession, path: str, schema: T.StructType, key: str | None = "match_id"
+    spark: SparkSession, path: str, schema: T.StructType | str, key: str | None = "match_id"
 ) -> DataFrame:
-    """Scan a directory of JSON-lines files under a fixed schema. With
+    """Scan a directory of JSON-lines files under a fixed schema (a
+    ``StructType`` or DDL text). With
     ``key``, documents without it (including broken files) are dropped."""
     df = spark.read.schema(schema).json(path)
     if key:

@@ -6,15 +6,9 @@ import math
 
 from pyspark.sql import SparkSession
 
-TARGET_FILE_BYTES = 256 * 1024 * 1024
-
+from tidepool.session import path_bytes
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes under a path (file-system metadata only, no data read)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
+TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
 def compact_table(spark: SparkSession, src: str, dst: str, target_file_bytes: int = TARGET_FILE_BYTES,
