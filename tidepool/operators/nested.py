@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from tidepool.functions.time import epoch_to_string
 
 
+# Most hot keys (more than ``max_items`` rows) a broadcast side may list.
+MAX_BROADCAST_HOT_KEYS = 1_000_000
+
+
 def nest_rows(
     df: DataFrame,
     *,
@@ -18,25 +22,42 @@ def nest_rows(
     array: str,
     max_items: int = 64,
     tiebreak: str | None = None,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Group ``item`` values into arrays per ``key``, at most ``max_items``
-    per output row.
+    """Group ``item`` values into arrays per ``key``, at most about
+    ``max_items`` per output row.
+
+    A key with ``n > max_items`` rows (a hot key) is split into
+    ``ceil(n / max_items)`` rows by ``pmod(tiebreak, parts)``, so no task
+    ever builds one unbounded array. Hot keys are found first with a
+    map-side-combined count (a small job over the key column only):
+
+    * none -> one plain ``groupBy(key)``, the common case;
+    * up to ``MAX_BROADCAST_HOT_KEYS`` -> their part counts are broadcast
+      (a size proven by that count) and joined without a shuffle of the rows;
+    * more -> an ordinary shuffle join of the hot-key table.
 
-    A key with ``n`` rows is split into ``ceil(n / max_items)`` rows by
-    ``pmod(tiebreak, parts)``; the per-key count is a map-side-combined
-    aggregate joined back on the key (AQE splits a hot key on the large side).
     ``tiebreak`` should be a stable per-row id taken at the scan; without
     one a hash of the item is used, which keeps identical copies together.
+    ``count_from`` may give a cheaper source of the ``key`` column whose
+    per-key counts bound those of ``df`` (e.g. the scan before a filtering
+    join); an over-count only splits a hot key into more rows.
     Items are sorted inside each array, so documents are reproducible.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).alias("_c")
-    rows = df.alias("_d")
-    salt = F.col(f"_d.{tiebreak}") if tiebreak else F.xxhash64(F.col(f"_d.{item}"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_c._n") / F.lit(max_items)))
-    tagged = (
-        rows.join(counts, F.col(f"_d.{key}").eqNullSafe(F.col(f"_c.{key}")), "inner")
-        .select(F.col(f"_d.{key}").alias(key), F.col(f"_d.{item}").alias(item), F.pmod(salt, parts).alias("_part"))
+    hot = (
+        (df if count_from is None else count_from).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > F.lit(max_items))
+        .select(F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(max_items)).alias("_parts"))
     )
+    n_hot = hot.count()
+    if n_hot == 0:
+        tagged = df.select(F.col(key), F.col(item), F.lit(0).cast("bigint").alias("_part"))
+    else:
+        side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
+        salt = F.col(tiebreak) if tiebreak else F.xxhash64(F.col(item))
+        tagged = df.join(side, df[key].eqNullSafe(F.col("_hk")), "left").select(
+            F.col(key), F.col(item), F.coalesce(F.pmod(salt, F.col("_parts")), F.lit(0)).cast("bigint").alias("_part")
+        )
     return (
         tagged.groupBy(key, "_part")
         .agg(F.array_sort(F.collect_list(item)).alias(array))

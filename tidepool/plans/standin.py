@@ -100,7 +100,8 @@ def match_documents(spark: SparkSession, sf_dir: str, max_players: int = 64) ->
         F.col("_rid"),
     )
     nested = nest_rows(players, key="match_id", item="player", array="players",
-                       max_items=max_players, tiebreak="_rid")
+                       max_items=max_players, tiebreak="_rid",
+                       count_from=li.select(F.col("l_orderkey").alias("match_id")))
     head = o.join(c, o.o_custkey == c.c_custkey, "left").select(
         F.col("o_orderkey").alias("match_id"),
         F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("start_time"),
