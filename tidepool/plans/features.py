@@ -38,7 +38,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.time import as_reference, days_since, days_since_sql, month_bit_sql, window_filter
+from tidepool.functions.time import (
+    as_reference,
+    days_since,
+    days_since_sql,
+    month_bit_sql,
+    time_sql,
+    window_filter,
+)
 
 # Output names of the player feature table, in their order,
 # each with the player-table column it averages.
@@ -89,9 +96,18 @@ def entity_features(
     ref: str | _dt.date | _dt.datetime | None = None,
     months: int = 6,
     history: DataFrame | None = None,
+    calendar_months: bool | None = None,
 ) -> DataFrame:
-    """The feature table; ``history`` (default ``df``) feeds the lifetime."""
+    """The feature table; ``history`` (default ``df``) feeds the lifetime.
+
+    Distinct months are months of the year (``month(ts)``, no year) as in
+    the SQL, which is exact for windows under 12 months. With
+    ``calendar_months`` (default: ``months >= 12``) they are calendar months
+    (year and month), counted by a separate distinct (entity, month)
+    aggregate that also merges map-side."""
     ref_ts = as_reference(ref)
+    if calendar_months is None:
+        calendar_months = months >= 12
     history = df if history is None else history
 
     window = df.filter(window_filter(df, ts, ref_ts, months, start_inclusive=False, end_exclusive=True))
@@ -102,26 +118,30 @@ def entity_features(
         return f"`{name}`"
 
     # level 1: one row per (entity, event); all aggregates merge map-side
-    per_event = [
-        f"min({days_since_sql(df, ts, ref_ts)}) AS _gap",
-        f"bit_or({month_bit_sql(df, ts)}) AS _months",
-    ]
+    per_event = [f"min({days_since_sql(df, ts, ref_ts)}) AS _gap"]
+    if not calendar_months:
+        per_event.append(f"bit_or({month_bit_sql(df, ts)}) AS _months")
     for i, (_, src) in enumerate(measures):
         per_event += [f"sum({q(src)}) AS _s{i}", f"count({q(src)}) AS _c{i}"]
     per_event += [f"sum(CASE WHEN {q(role)} = {int(r)} THEN 1 ELSE 0 END) AS _r{int(r)}" for r in roles]
     level1 = window.groupBy(entity, event).agg(*[F.expr(e) for e in per_event])
 
     # level 2: one row per entity
-    per_entity = [
-        f"count({q(event)}) AS qt_matches",
-        "min(_gap) AS qt_days_last_match",
-        "bit_count(bit_or(_months)) AS _n_months",
-    ]
+    per_entity = [f"count({q(event)}) AS qt_matches", "min(_gap) AS qt_days_last_match"]
+    if not calendar_months:
+        per_entity.append("bit_count(bit_or(_months)) AS _n_months")
     per_entity += [
         f"try_divide(CAST(sum(_s{i}) AS DOUBLE), sum(_c{i})) AS {q(name)}" for i, (name, _) in enumerate(measures)
     ]
     per_entity += [f"sum(_r{int(r)}) AS _r{int(r)}" for r in roles]
     stats = level1.groupBy(entity).agg(*[F.expr(e) for e in per_entity])
+    if calendar_months:
+        t = time_sql(df, ts)
+        month_counts = (
+            window.selectExpr(q(entity), f"year({t}) * 12 + month({t}) AS _m").distinct()
+            .groupBy(entity).agg(F.expr("count(_m) AS _n_months"))
+        )
+        stats = stats.join(month_counts, on=entity, how="left")
 
     lifetime = entity_lifetime(history, entity=entity, ts=ts, ref=ref_ts)
     joined = stats.join(lifetime, on=entity, how="left")
