@@ -62,22 +62,22 @@ def player_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.selectExpr(*[f"{expr} AS {name}" for name, expr in PLAYER_COLUMNS])
 
 
-def player_fields() -> list:
-    """Fields of one element of ``players`` in the stand-in documents."""
-    return [
-        ("match_id", F.col("l_orderkey")),
-        ("player_slot", F.col("l_linenumber").cast("bigint")),
-        ("account_id", F.col("o_custkey")),
-        ("hero_id", F.col("l_suppkey")),
-        ("lane_role", F.col("l_linenumber").cast("bigint")),
-        ("isRadiant", F.col("l_linestatus") == "O"),
-        ("radiant_win", F.col("o_orderstatus") == "F"),
-        ("win", F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).cast("bigint")),
-        ("kills", F.col("l_quantity").cast("bigint")),
-        ("kills_per_min", F.col("l_discount")),
-        ("stuns", F.col("l_tax").cast("string")),
-        ("start_time", F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))),
-    ]
+# Fields of one element of ``players`` in the stand-in documents, as SQL
+# over ``lineitem`` joined to ``orders``.
+PLAYER_FIELDS = [
+    ("match_id", "l_orderkey"),
+    ("player_slot", "CAST(l_linenumber AS BIGINT)"),
+    ("account_id", "o_custkey"),
+    ("hero_id", "l_suppkey"),
+    ("lane_role", "CAST(l_linenumber AS BIGINT)"),
+    ("isRadiant", "l_linestatus = 'O'"),
+    ("radiant_win", "o_orderstatus = 'F'"),
+    ("win", "CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT)"),
+    ("kills", "CAST(l_quantity AS BIGINT)"),
+    ("kills_per_min", "l_discount"),
+    ("stuns", "CAST(l_tax AS STRING)"),
+    ("start_time", "unix_timestamp(CAST(o_orderdate AS TIMESTAMP))"),
+]
 
 
 def match_documents(spark: SparkSession, sf_dir: str, max_players: int = 64) -> DataFrame:
@@ -94,25 +94,18 @@ def match_documents(spark: SparkSession, sf_dir: str, max_players: int = 64) ->
     c = load(spark, sf_dir, "customer")
     lines = li.join(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"),
                     li.l_orderkey == o.o_orderkey, "inner")
-    players = lines.select(
-        F.col("l_orderkey").alias("match_id"),
-        F.struct(*[expr.alias(name) for name, expr in player_fields()]).alias("player"),
-        F.col("_rid"),
-    )
+    fields = ", ".join(f"{expr} AS {name}" for name, expr in PLAYER_FIELDS)
+    players = lines.selectExpr("l_orderkey AS match_id", f"struct({fields}) AS player", "_rid")
     nested = nest_rows(players, key="match_id", item="player", array="players",
                        max_items=max_players, tiebreak="_rid",
                        count_from=li.select(F.col("l_orderkey").alias("match_id")))
-    head = o.join(c, o.o_custkey == c.c_custkey, "left").select(
-        F.col("o_orderkey").alias("match_id"),
-        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("start_time"),
-        (F.col("o_orderstatus") == "F").alias("radiant_win"),
-        F.col("o_totalprice").alias("duration_value"),
-        F.col("o_orderpriority").alias("patch_name"),
-        F.struct(
-            F.col("c_custkey").alias("leagueid"),
-            F.col("c_name").alias("name"),
-            F.col("c_mktsegment").alias("tier"),
-        ).alias("league"),
+    head = o.join(c, o.o_custkey == c.c_custkey, "left").selectExpr(
+        "o_orderkey AS match_id",
+        "unix_timestamp(CAST(o_orderdate AS TIMESTAMP)) AS start_time",
+        "o_orderstatus = 'F' AS radiant_win",
+        "o_totalprice AS duration_value",
+        "o_orderpriority AS patch_name",
+        "struct(c_custkey AS leagueid, c_name AS name, c_mktsegment AS tier) AS league",
     )
     # orders without lines keep a NULL players array, like a document
     # that lacks the key
