@@ -57,3 +57,23 @@ def test_stream_equals_batch(spark, scratch):
     before = store.committed()
     stream_upsert(spark, base + "/in", old.schema, store, base + "/ck", key="k", max_files=2)
     assert store.committed() == before
+
+
+def test_merge_target_refuses_plain_parquet(spark, scratch):
+    from tidepool.operators.upsert import MergeTarget
+
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS tp_merge LOCATION '{scratch('merge')}'")
+    spark.createDataFrame([(1, "a", 1)], SCHEMA).write.mode("overwrite").format("parquet").saveAsTable("tp_merge.t")
+    target = MergeTarget(spark, "tp_merge.t")
+    with pytest.raises(Exception, match="(?i)merge|unsupported|not support"):
+        target.apply_batch(spark.createDataFrame([(1, "b", 2)], SCHEMA), 0, "k")
+    assert rows(target.read(), "k", "v") == [(1, "a")]
+
+
+def test_prune_keeps_newest(spark, scratch):
+    store = SnapshotStore(spark, scratch("prune"))
+    for v in range(4):
+        store.write(spark.createDataFrame([(v, "x", v)], SCHEMA), v)
+    assert store.prune(keep=2) == [0, 1]
+    assert store.committed() == [2, 3]
+    assert rows(store.read(), "k") == [(3,)]

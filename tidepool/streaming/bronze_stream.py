@@ -2,7 +2,9 @@
 
 ``readStream`` over a folder of JSON files under a fixed schema, at most
 ``max_files`` files per micro-batch; ``foreachBatch`` upserts each batch
-into a :class:`~tidepool.operators.upsert.SnapshotStore`; progress lives in
+into a :class:`~tidepool.operators.upsert.SnapshotStore` (plain parquet) or a
+:class:`~tidepool.operators.upsert.MergeTarget` (a MERGE-capable catalog
+table); progress lives in
 the checkpoint. ``available_now`` drains what is there in rate-limited
 batches and stops (the reference sleeps, drains and stops).
 """
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.operators.upsert import SnapshotStore
+from tidepool.operators.upsert import MergeTarget, SnapshotStore
 
 # Files per micro-batch of the document stream.
 MAX_FILES_PER_TRIGGER = 1000
@@ -29,7 +31,7 @@ def stream_upsert(
     spark: SparkSession,
     source_dir: str,
     schema: T.StructType,
-    store: SnapshotStore,
+    store: SnapshotStore | MergeTarget,
     checkpoint: str,
     key: str = "match_id",
     order_col: str | None = None,
