@@ -92,3 +92,12 @@ def test_nest_rows_splits_hot_key(spark):
     assert out.filter("k <> 1").count() == 100
     flat = out.selectExpr("k", "explode(vs) AS v")
     assert rows(flat) == rows(df.select("k", "v"))
+
+
+def test_document_schema_file_matches_documents(spark):
+    from conftest import SF_SMALL
+    from tidepool.plans.standin import match_documents
+    from tidepool.sources.json_docs import MATCH_DOCUMENT_SCHEMA
+
+    fixed = schema_from_json(MATCH_DOCUMENT_SCHEMA)
+    assert fixed.simpleString() == match_documents(spark, SF_SMALL).schema.simpleString()

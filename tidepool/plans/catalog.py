@@ -23,7 +23,13 @@ from tidepool.plans.standin import match_documents, player_rows
 from tidepool.session import configure, path_bytes, scratch_path, size_for_input
 from tidepool.sources.tables import table_name
 from tidepool.sources.ingest import ingest_backfill, ingest_new, with_start_text
-from tidepool.sources.json_docs import land_json, read_json_docs, schema_from_json, schema_to_json
+from tidepool.sources.json_docs import (
+    MATCH_DOCUMENT_SCHEMA,
+    land_json,
+    read_json_docs,
+    schema_from_json,
+    schema_to_json,
+)
 from tidepool.sources.maintain import compact_table
 from tidepool.sources.tables import append_evolving, ledger_append, load, read_ledger, read_table
 from tidepool.streaming.bronze_stream import stream_upsert
@@ -141,7 +147,8 @@ def q_bronze_players(spark, sf_dir):
     base = scratch_path(spark, "bronze")
     land_json(docs, f"{base}/raw")
     db = f"bronze_{uuid.uuid4().hex[:10]}"
-    load_bronze(spark, f"{base}/raw", docs.schema, db, "match_details", location=f"{base}/db")
+    schema = schema_from_json(MATCH_DOCUMENT_SCHEMA)
+    load_bronze(spark, f"{base}/raw", schema, db, "match_details", location=f"{base}/db")
     return build_players(spark, db, "match_details", "match_players")
 
 

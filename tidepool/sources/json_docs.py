@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 from tidepool.session import local_path
 
 
+# Fixed schema of the stand-in match documents (see plans/standin.py).
+MATCH_DOCUMENT_SCHEMA = os.path.join(os.path.dirname(os.path.abspath(__file__)), "schemas", "match_document.json")
+
+
 def _is_local(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
