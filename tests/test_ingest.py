@@ -73,3 +73,19 @@ def test_full_load_once(spark, scratch):
     assert not full_load_once(spark, factory, "tp_test_db", "t1", location=base)
     assert len(calls) == 1
     assert table_exists(spark, "TP_TEST_DB", "t1")
+
+
+def test_compaction_makes_few_files_without_shuffle(spark, scratch):
+    import glob
+
+    from tidepool.session import local_path
+    from tidepool.sources.maintain import compact_table
+
+    src, dst = scratch("small"), scratch("big")
+    df = spark.range(0, 20000).selectExpr("id", "id % 7 AS g")
+    df.repartition(40).write.parquet(src)
+    n = compact_table(spark, src, dst, target_file_bytes=64 * 1024 * 1024)
+    files = glob.glob(local_path(dst) + "/*.parquet")
+    assert n == len(files) == 1
+    assert rows(spark.read.parquet(dst)) == rows(df)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None  # settings restored

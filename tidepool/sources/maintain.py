@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -11,14 +11,41 @@ from tidepool.session import path_bytes
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
+@contextmanager
+def _conf(spark: SparkSession, settings: dict[str, str]):
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def compact_table(spark: SparkSession, src: str, dst: str, target_file_bytes: int = TARGET_FILE_BYTES,
                   sort_by: list[str] | None = None) -> int:
-    """Rewrite ``src`` into ``dst`` as ``ceil(bytes / target_file_bytes)``
-    evenly sized files; returns the file count. The source stays as it is
-    (readers switch to ``dst``), so a failed run leaves no half table."""
-    n_files = max(1, math.ceil(path_bytes(spark, src) / target_file_bytes))
-    df = spark.read.parquet(src).repartition(n_files)
-    if sort_by:
-        df = df.sortWithinPartitions(*sort_by)
-    df.write.mode("overwrite").parquet(dst)
-    return n_files
+    """Rewrite ``src`` into ``dst`` as files of about ``target_file_bytes``.
+
+    No shuffle: the scan itself packs small files into read splits of the
+    target size (``maxPartitionBytes``, with the per-file open cost made
+    small and no minimum split count), and each split is written as one
+    file. ``sort_by`` sorts within each file (better encoding and min/max
+    pruning). The source stays as it is (readers switch to ``dst``), so a
+    failed run leaves no half table. Returns the number of files written."""
+    total = path_bytes(spark, src)
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(target_file_bytes),
+        "spark.sql.files.openCostInBytes": str(max(1, min(4 * 1024 * 1024, target_file_bytes // 1024))),
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    with _conf(spark, settings):
+        df = spark.read.parquet(src)
+        n_splits = df.rdd.getNumPartitions() if total else 1
+        if sort_by:
+            df = df.sortWithinPartitions(*sort_by)
+        df.write.mode("overwrite").parquet(dst)
+    return n_splits
