@@ -2,9 +2,9 @@
 
 The reference finds the backlog with ``LEFT JOIN ... WHERE right IS NULL``
 and ``DISTINCT``; Catalyst does not turn that into an anti join, so it is
-written as ``left_anti`` here. The processed side is reduced to distinct
-keys first (a map-side-combined aggregate whose output is already hash
-partitioned on the key, so the join adds no exchange for it). Whether the
+written as ``left_anti`` here. Both sides are reduced to distinct keys
+first (map-side-combined aggregates whose outputs are already hash
+partitioned on the key, so a shuffle join adds no exchange of its own). Whether the
 small side is broadcast is left to AQE's runtime size check.
 """
 
@@ -21,7 +21,9 @@ def backlog(listing: DataFrame, done: DataFrame, key: str = "match_id", done_key
     like the SQL form."""
     done_key = done_key or key
     processed = done.select(F.col(done_key).alias(key)).distinct()
-    return listing.select(key).join(processed, on=key, how="left_anti").distinct()
+    # both sides deduplicated before the join (map-side partial aggregates);
+    # with a shuffle join the join reuses their key partitioning
+    return listing.select(key).distinct().join(processed, on=key, how="left_anti")
 
 
 def backlog_batch(backlog_ids: DataFrame, n: int = 10, key: str = "match_id") -> DataFrame:
