@@ -116,3 +116,10 @@ def test_long_window_counts_calendar_months(spark):
     folded = feats(spark, data, months=24, calendar_months=False)
     assert folded[1]["tq_match_month"] == 3.0  # month-of-year folds March 2000 and 2001
     assert yearly[2]["tq_match_month"] == 1.0
+
+
+def test_unparsable_text_time_is_skipped(spark):
+    df = spark.createDataFrame([(1, 1, 1, 2, "2001-07-01 00:00:00"), (1, 2, 1, 4, "not a time")],
+                               "account_id LONG, match_id LONG, lane_role LONG, kills LONG, td_match STRING")
+    out = entity_features(df, measures=MEASURES, ref=REF).collect()
+    assert [(r["account_id"], r["qt_matches"], r["vl_avg_kills"]) for r in out] == [(1, 1, 2.0)]

@@ -46,10 +46,11 @@ def time_type(df: DataFrame, ts: str) -> T.DataType:
 
 def as_time(df: DataFrame, ts: str) -> Column:
     """The time column as a timestamp; a text column is parsed like the
-    implicit cast Spark applies when such a column meets a date."""
+    implicit cast Spark applies when such a column meets a date (text that
+    does not parse reads as NULL instead of failing the job)."""
     dtype = time_type(df, ts)
     if isinstance(dtype, T.StringType):
-        return F.to_timestamp(F.col(ts))
+        return F.try_to_timestamp(F.col(ts))
     return F.col(ts)
 
 
@@ -92,7 +93,7 @@ def window_filter(
         start = start + _dt.timedelta(days=1)
     start_dt = _dt.datetime(start.year, start.month, start.day)
     if isinstance(dtype, T.StringType):
-        col, dtype = F.to_timestamp(F.col(ts)), T.TimestampType()
+        col, dtype = F.try_to_timestamp(F.col(ts)), T.TimestampType()
     else:
         col = F.col(ts)
     cond = col >= _const(start_dt, dtype)
@@ -121,7 +122,7 @@ def month_bit(df: DataFrame, ts: str) -> Column:
 
 def time_sql(df: DataFrame, ts: str) -> str:
     if isinstance(time_type(df, ts), T.StringType):
-        return f"to_timestamp(`{ts}`)"
+        return f"try_to_timestamp(`{ts}`)"
     return f"`{ts}`"
 
 
