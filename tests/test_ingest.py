@@ -89,3 +89,16 @@ def test_compaction_makes_few_files_without_shuffle(spark, scratch):
     assert n == len(files) == 1
     assert rows(spark.read.parquet(dst)) == rows(df)
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None  # settings restored
+
+
+def test_pending_matches_and_checks(spark, scratch):
+    from tidepool.plans.bronze import check_details, check_players, pending_matches
+
+    hist, ledger = scratch("h"), scratch("l")
+    append_evolving(listing(spark, 0, 30), hist)
+    assert pending_matches(spark, hist, ledger).count() == 30  # no ledger yet
+    ledger_append(spark.range(0, 25).selectExpr("id AS match_id"), ledger)
+    assert rows(pending_matches(spark, hist, ledger, n=3)) == [(25,), (26,), (27,)]
+    players = spark.range(0, 21).selectExpr("id DIV 10 AS match_id", "id AS account_id", "id % 10 AS player_slot")
+    assert rows(check_players(players)) == [(2, 1)]
+    assert rows(check_details(players)) == [(21, 3)]

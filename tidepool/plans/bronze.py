@@ -1,14 +1,17 @@
-"""Bronze jobs: full load of raw JSON documents into a catalog table, and
-the flat player table exploded from it."""
+"""Bronze jobs: the backlog of ids to fetch, the full load of raw JSON
+documents into a catalog table, the flat player table exploded from it, and
+the checks on both."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidepool.operators.backlog import backlog, backlog_batch
 from tidepool.operators.nested import explode_players
+from tidepool.operators.quality import group_size, uniqueness
 from tidepool.sources.json_docs import read_json_docs
-from tidepool.sources.tables import full_load_once, replace_table
+from tidepool.sources.tables import full_load_once, read_ledger, read_table, replace_table
 
 
 def load_bronze(spark: SparkSession, raw_dir: str, schema: T.StructType, database: str, table: str,
@@ -24,3 +27,34 @@ def build_players(spark: SparkSession, database: str, details: str, players: str
     ``player.*`` plus the start time as text. The explode needs no shuffle."""
     flat = explode_players(spark.table(f"`{database}`.`{details}`"), array=array, start=start)
     return replace_table(flat, database, players)
+
+
+# Players per match expected by the group-size check.
+PLAYERS_PER_MATCH = 10
+
+
+def check_players(players: DataFrame, expected: int = PLAYERS_PER_MATCH) -> DataFrame:
+    """Matches whose number of players with an account and a slot is not
+    ``expected`` (empty when the table is clean)."""
+    return group_size(players, "match_id", expected, not_null=["account_id", "player_slot"])
+
+
+def check_details(details: DataFrame) -> DataFrame:
+    """One row: documents vs distinct match ids (equal when no duplicates)."""
+    return uniqueness(details, "match_id")
+
+
+def pending_matches(spark: SparkSession, history_path: str, ledger_path: str, key: str = "match_id",
+                    n: int | None = None) -> DataFrame:
+    """Listed ids not in the processed-id ledger; with ``n`` the lowest ``n``
+    of them (the next batch to fetch). A missing ledger means nothing is
+    processed yet."""
+    history = read_table(spark, history_path, merge_schema=True)
+    try:
+        done = read_ledger(spark, ledger_path, key)
+    except Exception as err:
+        if "PATH_NOT_FOUND" not in str(err) and "does not exist" not in str(err):
+            raise
+        done = history.select(key).limit(0)
+    ids = backlog(history, done, key)
+    return ids if n is None else backlog_batch(ids, n, key)

@@ -168,11 +168,13 @@ FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 """,
         "ingest_new": ORDERS_EPOCH_SQL,
         "ingest_backfill": f"""
-WITH e AS ({ORDERS_EPOCH_SQL}),
-     b AS (SELECT (MIN(o_orderkey) + MAX(o_orderkey)) // 2 AS cut FROM orders)
-SELECT e.* FROM e, b WHERE e.o_orderkey >= b.cut
+WITH e AS ({ORDERS_EPOCH_SQL})
+SELECT * FROM e WHERE o_orderkey >= (SELECT (MIN(o_orderkey) + MAX(o_orderkey)) // 2 FROM orders)
 UNION ALL
-SELECT * FROM (SELECT e.* FROM e, b WHERE e.o_orderkey < b.cut ORDER BY e.o_orderkey DESC LIMIT 3100)
+SELECT * FROM (
+  SELECT * FROM e WHERE o_orderkey < (SELECT (MIN(o_orderkey) + MAX(o_orderkey)) // 2 FROM orders)
+  ORDER BY o_orderkey DESC LIMIT 3100
+)
 """,
         "append_evolving": f"""
 SELECT event_id, ts, user_id, event_type, value,
