@@ -35,11 +35,6 @@ def as_reference(ref: str | _dt.date | _dt.datetime | None) -> _dt.datetime:
     return _dt.datetime.fromisoformat(str(ref))
 
 
-def ref_date(ref: _dt.datetime) -> Column:
-    """``DATE(now())`` for a fixed reference."""
-    return F.lit(ref.date())
-
-
 def time_type(df: DataFrame, ts: str) -> T.DataType:
     return df.schema[ts].dataType
 
@@ -110,13 +105,6 @@ def days_since(df: DataFrame, ts: str, ref: _dt.datetime) -> Column:
     return F.datediff(F.lit(ref.date()), F.to_date(as_time(df, ts))).cast("bigint")
 
 
-def month_bit(df: DataFrame, ts: str) -> Column:
-    """One bit per calendar month-of-year (1..12, no year): distinct months
-    of a group are ``bit_count(bit_or(month_bit))`` -- exact and mergeable,
-    unlike ``COUNT(DISTINCT month(ts))`` which needs an Expand."""
-    return F.call_function("shiftleft", F.lit(1).cast("int"), F.month(as_time(df, ts)))
-
-
 # SQL-text forms of the same expressions, for plans that hand many
 # expressions to Spark in one call (``selectExpr`` / ``agg`` of ``expr``).
 
@@ -131,4 +119,7 @@ def days_since_sql(df: DataFrame, ts: str, ref: _dt.datetime) -> str:
 
 
 def month_bit_sql(df: DataFrame, ts: str) -> str:
+    """One bit per calendar month-of-year (1..12, no year): distinct months
+    of a group are ``bit_count(bit_or(bits))`` -- exact and mergeable,
+    unlike ``COUNT(DISTINCT month(ts))``, which needs an Expand."""
     return f"shiftleft(1, month({time_sql(df, ts)}))"
