@@ -51,7 +51,9 @@ def nest_rows(
     )
     n_hot = hot.count()
     if n_hot == 0:
-        tagged = df.select(F.col(key), F.col(item), F.lit(0).cast("bigint").alias("_part"))
+        # grouped by the key alone, so the output stays hash partitioned on
+        # it and a following join on the key needs no second exchange
+        return df.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias(array))
     else:
         side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
         salt = F.col(tiebreak) if tiebreak else F.xxhash64(F.col(item))
