@@ -102,3 +102,12 @@ def test_pending_matches_and_checks(spark, scratch):
     players = spark.range(0, 21).selectExpr("id DIV 10 AS match_id", "id AS account_id", "id % 10 AS player_slot")
     assert rows(check_players(players)) == [(2, 1)]
     assert rows(check_details(players)) == [(21, 3)]
+
+
+def test_rows_frame_with_schema(spark):
+    from tidepool.sources.tables import rows_frame
+
+    page = [{"match_id": 1, "start_time": 10, "score": 3}, {"match_id": 2, "start_time": 20, "score": 2.5},
+            {"match_id": 3, "extra": "x"}]
+    df = rows_frame(spark, page, "match_id LONG, start_time LONG, score DOUBLE, patch LONG")
+    assert rows(df) == [(1, 10, 3.0, None), (2, 20, 2.5, None), (3, None, None, None)]

@@ -81,3 +81,21 @@ def full_load_once(
         return False
     df_factory().write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{table}`")
     return True
+
+
+def rows_frame(spark: SparkSession, rows: list[dict], schema) -> DataFrame:
+    """Small driver-side records (an API page, a test case) as a DataFrame
+    under an explicit schema (``StructType`` or DDL text): inference would
+    fail on int/float mixes and on keys that are NULL in every record.
+    Integers in floating-point fields are widened, missing keys read as
+    NULL, unknown keys are dropped. For bulk data read files instead."""
+    from pyspark.sql import types as T
+
+    struct = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
+    floating = {f.name for f in struct.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+
+    def value(r: dict, name: str):
+        v = r.get(name)
+        return float(v) if name in floating and isinstance(v, int) and not isinstance(v, bool) else v
+
+    return spark.createDataFrame([tuple(value(r, f.name) for f in struct.fields) for r in rows], struct)
