@@ -45,7 +45,14 @@ def stream_upsert(
     docs = json_stream(spark, source_dir, schema, max_files).filter(F.col(key).isNotNull())
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.apply_batch(batch, batch_id, key, order_col)
+        # the batch is read more than once (duplicate check, upsert): keep
+        # the parsed rows instead of parsing the JSON files again; a lost
+        # executor only means those blocks are recomputed from the files
+        batch = batch.persist()
+        try:
+            store.apply_batch(batch, batch_id, key, order_col)
+        finally:
+            batch.unpersist()
 
     writer = docs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
