@@ -44,3 +44,26 @@ def test_explode_reads_only_named_fields(spark, scratch):
     p = plan(explode_players(docs, fields=["account_id", "hero_id"]).select("account_id", "hero_id"))
     read = [line for line in p.split("\n") if "ReadSchema" in line][0]
     assert "struct<players:array<struct<account_id:bigint,hero_id:bigint,start_time:bigint>>>" in read
+
+
+def test_day_partitions_pruned_and_same_result(spark, scratch):
+    from conftest import rows
+    from tidepool.plans.bronze import build_players
+    from tidepool.sources.tables import create_database
+
+    base = scratch("dayparts")
+    create_database(spark, "tp_days", base)
+    # documents of the last ~8 months only: a test-sized number of day folders
+    recent = match_documents(spark, SF_SMALL).filter("start_time >= unix_timestamp(TIMESTAMP'2000-12-01 00:00:00')")
+    recent.write.mode("overwrite").format("parquet").saveAsTable("tp_days.details")
+    players = build_players(spark, "tp_days", "details", "players", ts_col="ts_match", day_col="dt_match")
+    measures = [("vl_avg_kills", "kills"), ("avg_win_rate", "win")]
+    kw = dict(ts="ts_match", measures=measures, ref="2001-08-01 00:00:00")
+    pruned = entity_features(players, day_col="dt_match", **kw)
+    p = plan(pruned)
+    scan = [line for line in p.split("\n") if "PartitionFilters" in line and "dt_match" in line][0]
+    assert "dt_match#" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert rows(pruned) == rows(entity_features(players, **kw))
+    assert pruned.count() > 0
+    text_form = entity_features(players, ts="td_match", measures=measures, ref="2001-08-01 00:00:00")
+    assert rows(text_form) == rows(pruned)

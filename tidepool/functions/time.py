@@ -75,12 +75,16 @@ def window_filter(
     months: int,
     start_inclusive: bool,
     end_exclusive: bool,
+    day_col: str | None = None,
 ) -> Column:
     """Rolling window over the last ``months`` months before ``ref``.
 
     ``start_inclusive=False`` is ``DATE(ts) > add_months(ref, -months)``;
     ``True`` is ``>=``. ``end_exclusive`` adds ``ts < ref``. Both are
     rewritten as comparisons against literals of the column's type.
+    ``day_col`` names a DATE column holding ``DATE(ts)`` -- typically the
+    partition column of a day-partitioned table; the same bounds on it let
+    the scan skip whole partitions (Spark does not derive them from ``ts``).
     """
     dtype = time_type(df, ts)
     start = months_back(ref, months)
@@ -97,6 +101,11 @@ def window_filter(
             cond = cond & (col < F.lit(ref.date()) if ref.time() == _dt.time(0) else col <= F.lit(ref.date()))
         else:
             cond = cond & (col < _const(ref, dtype))
+    if day_col:
+        day = F.col(day_col)
+        cond = cond & (day >= F.lit(start))
+        if end_exclusive:
+            cond = cond & (day <= F.lit(ref.date()))
     return cond
 
 

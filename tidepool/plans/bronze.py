@@ -5,6 +5,7 @@ the checks on both."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.backlog import backlog, backlog_batch
@@ -22,11 +23,19 @@ def load_bronze(spark: SparkSession, raw_dir: str, schema: T.StructType, databas
 
 
 def build_players(spark: SparkSession, database: str, details: str, players: str,
-                  array: str = "players", start: str = "start_time") -> DataFrame:
+                  array: str = "players", start: str = "start_time", ts_col: str | None = None,
+                  day_col: str | None = None) -> DataFrame:
     """Drop and recreate the player table: one row per array element,
-    ``player.*`` plus the start time as text. The explode needs no shuffle."""
-    flat = explode_players(spark.table(f"`{database}`.`{details}`"), array=array, start=start)
-    return replace_table(flat, database, players)
+    ``player.*`` plus the start time as text. The explode needs no shuffle.
+
+    ``ts_col`` adds the start as a TIMESTAMP (window filters on it push down
+    to the scan); ``day_col`` adds its DATE and partitions the table by it,
+    so a 6-month window reads 6 months of folders out of the whole history.
+    Without them the table has the reference's columns."""
+    flat = explode_players(spark.table(f"`{database}`.`{details}`"), array=array, start=start, ts_col=ts_col)
+    if day_col:
+        flat = flat.withColumn(day_col, F.to_date(F.timestamp_seconds(F.col(start))))
+    return replace_table(flat, database, players, partition_by=[day_col] if day_col else None)
 
 
 # Players per match expected by the group-size check.

@@ -97,6 +97,7 @@ def entity_features(
     months: int = 6,
     history: DataFrame | None = None,
     calendar_months: bool | None = None,
+    day_col: str | None = None,
 ) -> DataFrame:
     """The feature table; ``history`` (default ``df``) feeds the lifetime.
 
@@ -104,13 +105,17 @@ def entity_features(
     the SQL, which is exact for windows under 12 months. With
     ``calendar_months`` (default: ``months >= 12``) they are calendar months
     (year and month), counted by a separate distinct (entity, month)
-    aggregate that also merges map-side."""
+    aggregate that also merges map-side. ``day_col``: a DATE partition
+    column equal to ``DATE(ts)``, used to prune partitions outside the
+    window."""
     ref_ts = as_reference(ref)
     if calendar_months is None:
         calendar_months = months >= 12
     history = df if history is None else history
 
-    window = df.filter(window_filter(df, ts, ref_ts, months, start_inclusive=False, end_exclusive=True))
+    window = df.filter(
+        window_filter(df, ts, ref_ts, months, start_inclusive=False, end_exclusive=True, day_col=day_col)
+    )
 
     # Expressions go to Spark as SQL text in bulk (one driver call each
     # instead of a chain of Column calls).

@@ -62,11 +62,15 @@ def table_exists(spark: SparkSession, database: str, table: str) -> bool:
     return spark.catalog.tableExists(f"`{database}`.`{table}`")
 
 
-def replace_table(df: DataFrame, database: str, table: str) -> DataFrame:
-    """Drop and recreate a catalog table from a query (CTAS)."""
+def replace_table(df: DataFrame, database: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Drop and recreate a catalog table from a query (CTAS), optionally
+    partitioned (e.g. by day, so dated queries prune whole folders)."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{table}`")
+    writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(f"`{database}`.`{table}`")
     return spark.table(f"`{database}`.`{table}`")
 
 
