@@ -123,3 +123,29 @@ def test_unparsable_text_time_is_skipped(spark):
                                "account_id LONG, match_id LONG, lane_role LONG, kills LONG, td_match STRING")
     out = entity_features(df, measures=MEASURES, ref=REF).collect()
     assert [(r["account_id"], r["qt_matches"], r["vl_avg_kills"]) for r in out] == [(1, 1, 2.0)]
+
+
+def test_reference_instant_forms():
+    from tidepool.functions.time import as_reference, months_back
+
+    assert as_reference("2001-08-01 00:00:00") == dt.datetime(2001, 8, 1)
+    assert as_reference(dt.date(2001, 8, 1)) == dt.datetime(2001, 8, 1)
+    assert as_reference(None) <= dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert months_back(dt.datetime(2001, 8, 31), 6) == dt.date(2001, 2, 28)  # clamps like add_months
+    assert months_back(dt.datetime(2000, 8, 31), 6) == dt.date(2000, 2, 29)
+    assert months_back(dt.datetime(2001, 3, 15), 12) == dt.date(2000, 3, 15)
+
+
+def test_months_back_equals_spark_add_months(spark):
+    import random
+
+    from tidepool.functions.time import months_back
+
+    rnd = random.Random(7)
+    cases = [(dt.date(1990, 1, 1) + dt.timedelta(days=rnd.randrange(0, 15000)), rnd.randrange(0, 40))
+             for _ in range(300)]
+    cases += [(dt.date(2001, m, 28 + k), n) for m in (1, 3, 5, 7, 8, 10, 12) for k in range(4) for n in (1, 6, 12)
+              if (dt.date(2001, m, 1) + dt.timedelta(days=27 + k)).month == m]
+    df = spark.createDataFrame(cases, "d DATE, n INT").selectExpr("d", "n", "add_months(d, -n) AS back")
+    for r in df.collect():
+        assert months_back(dt.datetime(r["d"].year, r["d"].month, r["d"].day), r["n"]) == r["back"], r

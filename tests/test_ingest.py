@@ -111,3 +111,16 @@ def test_rows_frame_with_schema(spark):
             {"match_id": 3, "extra": "x"}]
     df = rows_frame(spark, page, "match_id LONG, start_time LONG, score DOUBLE, patch LONG")
     assert rows(df) == [(1, 10, 3.0, None), (2, 20, 2.5, None), (3, None, None, None)]
+
+
+def test_ingest_mode_switch_and_missing_target(spark, scratch):
+    import pytest
+
+    from tidepool.sources.ingest import read_cursor
+
+    target = scratch("absent")
+    assert read_cursor(spark, target, "match_id") == (None, None)
+    with pytest.raises(ValueError):
+        ingest(spark, listing(spark, 0, 3), target, mode="sideways")
+    ingest(spark, listing(spark, 0, 50), target, mode="history", pages=2, page_size=10)
+    assert sorted(r["match_id"] for r in read_table(spark, target).collect()) == list(range(30, 50))
