@@ -21,7 +21,6 @@ from tidepool.plans.features import entity_features, entity_lifetime
 from tidepool.plans.onehot import draft_onehot
 from tidepool.plans.standin import match_documents, player_rows
 from tidepool.session import configure, path_bytes, scratch_path, size_for_input
-from tidepool.sources.tables import table_name
 from tidepool.sources.ingest import ingest_backfill, ingest_new, with_start_text
 from tidepool.sources.json_docs import (
     MATCH_DOCUMENT_SCHEMA,
@@ -31,7 +30,7 @@ from tidepool.sources.json_docs import (
     schema_to_json,
 )
 from tidepool.sources.maintain import compact_table
-from tidepool.sources.tables import append_evolving, ledger_append, load, read_ledger, read_table
+from tidepool.sources.tables import append_evolving, ledger_append, load, read_ledger, read_table, table_name
 from tidepool.streaming.bronze_stream import stream_upsert
 
 # The reference instant of every dated query: the last order date.
