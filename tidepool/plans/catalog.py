@@ -258,6 +258,26 @@ def q_stream_upsert(spark, sf_dir):
     return store.read()
 
 
+def q_stream_bronze_players(spark, sf_dir):
+    """The bronze path on nested documents: matches before the split date
+    are the loaded table; later matches (inserts) and re-sent finished ones
+    (updates with the same content) arrive as six JSON files, are streamed
+    three files per micro-batch under
+    the checked-in document schema and upserted by match id; the player
+    table is exploded from the last snapshot."""
+    _setup(spark, sf_dir, "lineitem", "orders", "customer")
+    docs = match_documents(spark, sf_dir)
+    split = F.unix_timestamp(F.lit(SPLIT_DATE).cast("timestamp"))
+    base = scratch_path(spark, "stream_docs")
+    store = SnapshotStore(spark, f"{base}/details")
+    store.write(docs.filter(F.col("start_time") < split), 0)
+    arriving = docs.filter((F.col("start_time") >= split) | F.col("radiant_win"))
+    land_json(arriving.repartition(6, "match_id"), f"{base}/raw")
+    stream_upsert(spark, f"{base}/raw", schema_from_json(MATCH_DOCUMENT_SCHEMA), store, f"{base}/_checkpoint",
+                  key="match_id", max_files=3)
+    return explode_players(store.read())
+
+
 def q_compact_table(spark, sf_dir):
     """Line items written as many small files, compacted into few."""
     _setup(spark, sf_dir, "lineitem")
@@ -290,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_load_once": q_full_load_once,
     "batch_upsert": q_batch_upsert,
     "stream_upsert": q_stream_upsert,
+    "stream_bronze_players": q_stream_bronze_players,
     "compact_table": q_compact_table,
 }
 

@@ -186,5 +186,6 @@ FROM events
         "full_load_once": "SELECT * FROM nation",
         "batch_upsert": upserted_orders_sql(split_date),
         "stream_upsert": upserted_orders_sql(split_date),
+        "stream_bronze_players": PLAYERS_SQL,
         "compact_table": "SELECT * FROM lineitem",
     }
