@@ -149,3 +149,16 @@ def test_months_back_equals_spark_add_months(spark):
     df = spark.createDataFrame(cases, "d DATE, n INT").selectExpr("d", "n", "add_months(d, -n) AS back")
     for r in df.collect():
         assert months_back(dt.datetime(r["d"].year, r["d"].month, r["d"].day), r["n"]) == r["back"], r
+
+
+def test_first_seen_table_gives_the_same_lifetime(spark):
+    from tidepool.plans.features import entity_first_seen, merge_first_seen
+
+    pm = player_rows(spark, SF_SMALL)
+    whole = entity_features(pm, ref=REF)
+    old = pm.filter("td_match < TIMESTAMP_NTZ'1999-01-01 00:00:00'")
+    new = pm.filter("td_match >= TIMESTAMP_NTZ'1999-01-01 00:00:00'")
+    seen = merge_first_seen(entity_first_seen(old), new)
+    assert seen.count() == pm.select("account_id").distinct().count()
+    assert rows(entity_features(pm, ref=REF, first_seen=seen)) == rows(whole)
+    assert rows(entity_lifetime(pm, ref=REF)) == rows(entity_lifetime(first_seen=seen, ref=REF))

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.time import (
     as_reference,
-    days_since,
+    as_time,
     days_since_sql,
     month_bit_sql,
     time_sql,
@@ -72,16 +72,39 @@ PLAYER_MEASURES = [
 PLAYER_ROLES = [1, 2, 3, 4]
 
 
+def entity_first_seen(df: DataFrame, *, entity: str = "account_id", ts: str = "td_match") -> DataFrame:
+    """Per entity, the date of its first event: one small row per entity.
+
+    ``MAX(datediff(ref, ts))`` over the whole history equals
+    ``datediff(ref, MIN(DATE(ts)))``, and the minimum only ever moves back,
+    so this table can be kept up to date from new rows alone
+    (:func:`merge_first_seen`) instead of rescanning all history each run."""
+    return df.groupBy(entity).agg(F.min(F.to_date(as_time(df, ts))).alias("first_day"))
+
+
+def merge_first_seen(first_seen: DataFrame, new_rows: DataFrame, *, entity: str = "account_id",
+                     ts: str = "td_match") -> DataFrame:
+    """Fold new event rows into a first-seen table (partial mins merge
+    map-side; the table has one row per entity)."""
+    fresh = entity_first_seen(new_rows, entity=entity, ts=ts)
+    return first_seen.unionByName(fresh).groupBy(entity).agg(F.min("first_day").alias("first_day"))
+
+
 def entity_lifetime(
-    df: DataFrame,
+    df: DataFrame | None = None,
     *,
     entity: str = "account_id",
     ts: str = "td_match",
     ref: str | _dt.date | _dt.datetime | None = None,
+    first_seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Per entity, days since its first event over the whole history."""
+    """Per entity, days since its first event over the whole history; from
+    ``first_seen`` when given, else from a scan of ``df``."""
     ref_ts = as_reference(ref)
-    return df.groupBy(entity).agg(F.max(days_since(df, ts, ref_ts)).alias("tq_days_first_match"))
+    if first_seen is None:
+        first_seen = entity_first_seen(df, entity=entity, ts=ts)
+    days = F.datediff(F.lit(ref_ts.date()), F.col("first_day")).cast("bigint")
+    return first_seen.select(F.col(entity), days.alias("tq_days_first_match"))
 
 
 def entity_features(
@@ -98,6 +121,7 @@ def entity_features(
     history: DataFrame | None = None,
     calendar_months: bool | None = None,
     day_col: str | None = None,
+    first_seen: DataFrame | None = None,
 ) -> DataFrame:
     """The feature table; ``history`` (default ``df``) feeds the lifetime.
 
@@ -107,7 +131,9 @@ def entity_features(
     (year and month), counted by a separate distinct (entity, month)
     aggregate that also merges map-side. ``day_col``: a DATE partition
     column equal to ``DATE(ts)``, used to prune partitions outside the
-    window."""
+    window. ``first_seen`` (from :func:`entity_first_seen` /
+    :func:`merge_first_seen`) replaces the whole-history scan of the
+    lifetime side with a one-row-per-entity table."""
     ref_ts = as_reference(ref)
     if calendar_months is None:
         calendar_months = months >= 12
@@ -148,7 +174,7 @@ def entity_features(
         )
         stats = stats.join(month_counts, on=entity, how="left")
 
-    lifetime = entity_lifetime(history, entity=entity, ts=ts, ref=ref_ts)
+    lifetime = entity_lifetime(history, entity=entity, ts=ts, ref=ref_ts, first_seen=first_seen)
     joined = stats.join(lifetime, on=entity, how="left")
 
     out = [
