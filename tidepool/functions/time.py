@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Text form of epoch start times.
 EPOCH_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.time import epoch_to_string
-from tidepool.operators.backlog import backlog, backlog_batch, id_cursor
+from tidepool.operators.backlog import DETAIL_BATCH, backlog, backlog_batch, id_cursor
 from tidepool.operators.nested import explode_players, flatten_structs
 from tidepool.operators.quality import group_size, uniqueness
 from tidepool.operators.upsert import SnapshotStore, upsert
@@ -21,7 +21,7 @@ from tidepool.plans.features import entity_features, entity_lifetime
 from tidepool.plans.onehot import draft_onehot
 from tidepool.plans.standin import match_documents, player_rows
 from tidepool.session import configure, path_bytes, scratch_path, size_for_input
-from tidepool.sources.ingest import ingest_backfill, ingest_new, with_start_text
+from tidepool.sources.ingest import BACKFILL_PAGES, PAGE_SIZE, ingest_backfill, ingest_new, with_start_text
 from tidepool.sources.json_docs import (
     MATCH_DOCUMENT_SCHEMA,
     land_json,
@@ -94,7 +94,7 @@ def q_backlog_ids(spark, sf_dir):
 
 def q_backlog_batch(spark, sf_dir):
     _setup(spark, sf_dir, "orders", "lineitem")
-    return backlog_batch(backlog(_listing(spark, sf_dir), _done(spark, sf_dir)), 10)
+    return backlog_batch(backlog(_listing(spark, sf_dir), _done(spark, sf_dir)), DETAIL_BATCH)
 
 
 def _orders_with_epoch(spark, sf_dir):
@@ -188,7 +188,7 @@ def q_ingest_backfill(spark, sf_dir):
     cut = _mid_key(src, "o_orderkey")
     target = scratch_path(spark, "history_old")
     append_evolving(with_start_text(src.filter(F.col("o_orderkey") >= cut)), target)
-    ingest_backfill(spark, src, target, key="o_orderkey", pages=31, page_size=100)
+    ingest_backfill(spark, src, target, key="o_orderkey", pages=BACKFILL_PAGES, page_size=PAGE_SIZE)
     return read_table(spark, target, merge_schema=True)
 
 

@@ -17,6 +17,11 @@ from tidepool.functions.time import epoch_to_string
 from tidepool.operators.backlog import id_cursor
 from tidepool.sources.tables import append_evolving, read_table
 
+# Pages taken by one backfill run (a first page plus 30).
+BACKFILL_PAGES = 31
+# Rows per listing page.
+PAGE_SIZE = 100
+
 
 def with_start_text(df: DataFrame, start: str = "start_time", name: str = "td_start") -> DataFrame:
     """Add the epoch start time as ``yyyy-MM-dd HH:mm:ss`` text."""
@@ -48,7 +53,8 @@ def ingest_new(spark: SparkSession, source: DataFrame, target: str, key: str = "
 
 
 def ingest_backfill(spark: SparkSession, source: DataFrame, target: str, key: str = "match_id",
-                    start: str = "start_time", pages: int = 31, page_size: int = 100) -> DataFrame:
+                    start: str = "start_time", pages: int = BACKFILL_PAGES,
+                    page_size: int = PAGE_SIZE) -> DataFrame:
     """Append the ``pages * page_size`` source rows just below the target's
     min id, newest first (a bounded top-k; the limit is the feature)."""
     min_id, _ = read_cursor(spark, target, key)
