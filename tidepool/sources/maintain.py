@@ -44,8 +44,14 @@ def compact_table(spark: SparkSession, src: str, dst: str, target_file_bytes: in
     }
     with _conf(spark, settings):
         df = spark.read.parquet(src)
-        n_splits = df.rdd.getNumPartitions() if total else 1
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
         df.write.mode("overwrite").parquet(dst)
-    return n_splits
+    return _count_data_files(spark, dst) if total else 0
+
+
+def _count_data_files(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(1 for st in fs.listStatus(hpath) if st.getPath().getName().endswith(".parquet"))
