@@ -162,3 +162,29 @@ def test_first_seen_table_gives_the_same_lifetime(spark):
     assert seen.count() == pm.select("account_id").distinct().count()
     assert rows(entity_features(pm, ref=REF, first_seen=seen)) == rows(whole)
     assert rows(entity_lifetime(pm, ref=REF)) == rows(entity_lifetime(first_seen=seen, ref=REF))
+
+
+def test_hot_entity_and_hot_pair_give_exact_results(spark):
+    """A third of the rows on one account (and a big share on one of its
+    matches, plus NULL keys) -- the two-level plan equals the SQL form."""
+    base = spark.range(0, 30000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 7 = 0 THEN NULL ELSE id % 500 END AS account_id",
+        "CASE WHEN id % 6 = 0 THEN 42 WHEN id % 11 = 0 THEN NULL ELSE id % 4000 END AS match_id",
+        "id % 5 AS lane_role", "id % 13 AS kills",
+        "timestamp_ntz'2001-02-02 00:00:00' + make_interval(0, 0, 0, CAST(id % 170 AS INT)) AS td_match",
+    )
+    base.createOrReplaceTempView("hot_rows")
+    ref = "TIMESTAMP_NTZ'2001-08-01 00:00:00'"
+    sql = spark.sql(f"""
+      SELECT account_id, COUNT(DISTINCT match_id) AS qt_matches, AVG(kills) AS vl_avg_kills,
+             COALESCE(SUM(CASE WHEN lane_role = 1 THEN 1 ELSE 0 END) / COUNT(DISTINCT match_id), 0) AS pctg_lane_role_1,
+             COALESCE(COUNT(DISTINCT match_id) / COUNT(DISTINCT month(td_match)), 0) AS tq_match_month
+      FROM hot_rows WHERE td_match > add_months({ref}, -6) AND td_match < {ref} GROUP BY account_id""")
+    ours = entity_features(base, measures=MEASURES, ref=REF).select(
+        "account_id", "qt_matches", "vl_avg_kills", "pctg_lane_role_1", "tq_match_month")
+
+    def rounded(df):
+        return sorted((tuple(round(float(v), 9) if v is not None else None for v in r) for r in df.collect()),
+                      key=repr)
+
+    assert rounded(ours) == rounded(sql)
