@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.time import epoch_to_string
 
-
 # Most hot keys (more than ``max_items`` rows) a broadcast side may list.
 MAX_BROADCAST_HOT_KEYS = 1_000_000
 
@@ -54,12 +53,10 @@ def nest_rows(
         # grouped by the key alone, so the output stays hash partitioned on
         # it and a following join on the key needs no second exchange
         return df.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias(array))
-    else:
-        side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
-        salt = F.col(tiebreak) if tiebreak else F.xxhash64(F.col(item))
-        tagged = df.join(side, df[key].eqNullSafe(F.col("_hk")), "left").select(
-            F.col(key), F.col(item), F.coalesce(F.pmod(salt, F.col("_parts")), F.lit(0)).cast("bigint").alias("_part")
-        )
+    side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
+    salt = F.col(tiebreak) if tiebreak else F.xxhash64(F.col(item))
+    part = F.coalesce(F.pmod(salt, F.col("_parts")), F.lit(0)).cast("bigint")
+    tagged = df.join(side, df[key].eqNullSafe(F.col("_hk")), "left").select(F.col(key), F.col(item), part.alias("_part"))
     return (
         tagged.groupBy(key, "_part")
         .agg(F.array_sort(F.collect_list(item)).alias(array))
