@@ -77,3 +77,13 @@ def test_prune_keeps_newest(spark, scratch):
     assert store.prune(keep=2) == [0, 1]
     assert store.committed() == [2, 3]
     assert rows(store.read(), "k") == [(3,)]
+
+
+def test_latest_per_key_with_map_column_and_ties(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 5, {"x": 1}), (1, "b", 5, {"x": 2}), (1, "c", 4, {"x": 3}), (2, "d", 1, None)],
+        "k LONG, v STRING, ts LONG, m MAP<STRING, INT>")
+    first = rows(upsert(None, df, "k", order_col="ts"), "k", "v")
+    again = rows(upsert(None, df.repartition(3), "k", order_col="ts"), "k", "v")
+    assert first == again and len(first) == 2
+    assert dict(first)[1] in ("a", "b") and dict(first)[2] == "d"

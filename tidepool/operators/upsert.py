@@ -19,6 +19,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class DuplicateKeyError(ValueError):
@@ -30,8 +31,8 @@ def latest_per_key(new: DataFrame, key: str, order_col: str | None = None) -> Da
     matches NULL, so each is an insert).
 
     With ``order_col`` the row with the greatest order value wins (ties go
-    to the greatest remaining columns, so the pick is deterministic); the
-    ``max(struct)`` merges map-side. Without it duplicates raise, like a
+    to the greater row hash, so the pick is deterministic); the ``max_by``
+    merges map-side. Without it duplicates raise, like a
     MERGE whose source has two rows for one target row."""
     keyed = new.filter(F.col(key).isNotNull())
     nulls = new.filter(F.col(key).isNull())
@@ -40,12 +41,14 @@ def latest_per_key(new: DataFrame, key: str, order_col: str | None = None) -> Da
         if dup:
             raise DuplicateKeyError(f"batch holds several rows for one {key}; pass order_col")
         return new
-    others = [c for c in new.columns if c not in (key, order_col)]
-    packed = F.struct(F.col(order_col).alias("_o"), *[F.col(c) for c in others]).alias("_row")
-    best = keyed.groupBy(key).agg(F.max(packed).alias("_row"))
-    best = best.select(
-        F.col(key), F.col("_row._o").alias(order_col), *[F.col(f"_row.{c}").alias(c) for c in others]
-    ).select(*new.columns)
+    others = [c for c in new.columns if c != key]
+    # ties on the order value go to the greater row hash: deterministic on
+    # retry, and no ordering is needed on the row itself (maps allowed)
+    hashable = [F.col(f.name) for f in new.schema.fields
+                if f.name != key and not isinstance(f.dataType, T.MapType)]
+    rank = F.struct(F.col(order_col), F.xxhash64(*hashable) if hashable else F.lit(0))
+    best = keyed.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in others]), rank).alias("_row"))
+    best = best.select(F.col(key), *[F.col(f"_row.{c}").alias(c) for c in others]).select(*new.columns)
     return best.unionByName(nulls)
 
 
