@@ -87,3 +87,16 @@ def test_latest_per_key_with_map_column_and_ties(spark):
     again = rows(upsert(None, df.repartition(3), "k", order_col="ts"), "k", "v")
     assert first == again and len(first) == 2
     assert dict(first)[1] in ("a", "b") and dict(first)[2] == "d"
+
+
+def test_bounded_processing_time_run(spark, scratch):
+    base = scratch("bounded")
+    old = spark.range(0, 10).selectExpr("id AS k", "'old' AS v", "0L AS ts")
+    changes = spark.range(5, 20).selectExpr("id AS k", "'new' AS v", "1L AS ts")
+    store = SnapshotStore(spark, base + "/t")
+    store.write(old, 0)
+    land_json(changes.repartition(3), base + "/in")
+    q = stream_upsert(spark, base + "/in", old.schema, store, base + "/ck", key="k", max_files=1,
+                      available_now=False, run_for_s=1, interval="200 milliseconds")
+    assert not q.isActive
+    assert rows(store.read(), "k", "v") == rows(upsert(old, changes, "k"), "k", "v")

@@ -38,10 +38,19 @@ def stream_upsert(
     max_files: int = MAX_FILES_PER_TRIGGER,
     available_now: bool = True,
     timeout_s: float | None = None,
+    run_for_s: float | None = None,
+    interval: str = "10 seconds",
 ):
-    """Run the stream; with ``available_now`` block until it has drained.
+    """Run the stream.
 
-    Returns the ``StreamingQuery`` (stopped when drained)."""
+    * ``available_now`` (default): drain what is there in rate-limited
+      batches, block until done (or ``timeout_s``) and stop.
+    * otherwise a ``processingTime`` trigger every ``interval``; with
+      ``run_for_s`` the call runs that long, then processes everything
+      still available and stops (the reference's bounded run); without it
+      the running query is returned to the caller.
+
+    Returns the ``StreamingQuery``."""
     docs = json_stream(spark, source_dir, schema, max_files).filter(F.col(key).isNotNull())
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -55,8 +64,12 @@ def stream_upsert(
             batch.unpersist()
 
     writer = docs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     query = writer.start()
     if available_now:
         query.awaitTermination(timeout_s)
+    elif run_for_s is not None:
+        query.awaitTermination(run_for_s)
+        query.processAllAvailable()
+        query.stop()
     return query
