@@ -16,7 +16,7 @@ from tidepool.operators.nested import explode_players, flatten_structs
 from tidepool.operators.quality import group_size, uniqueness
 from tidepool.operators.upsert import SnapshotStore, upsert
 from tidepool.plans import oracle
-from tidepool.plans.bronze import build_players, load_bronze
+from tidepool.plans.bronze import build_players, check_details, check_players, load_bronze
 from tidepool.plans.features import entity_features, entity_lifetime
 from tidepool.plans.onehot import draft_onehot
 from tidepool.plans.standin import match_documents, player_rows
@@ -151,6 +151,19 @@ def q_bronze_players(spark, sf_dir):
     return build_players(spark, db, "match_details", "match_players")
 
 
+def q_check_players(spark, sf_dir):
+    """The player-table check as the job runs it: matches of the exploded
+    documents whose players with an account and a slot are not 10."""
+    _setup(spark, sf_dir, "lineitem", "orders", "customer")
+    return check_players(explode_players(match_documents(spark, sf_dir)))
+
+
+def q_check_details(spark, sf_dir):
+    """The document-table check: documents vs distinct match ids."""
+    _setup(spark, sf_dir, "lineitem", "orders", "customer")
+    return check_details(match_documents(spark, sf_dir))
+
+
 def q_flatten_structs(spark, sf_dir):
     _setup(spark, sf_dir, "orders", "customer")
     o = load(spark, sf_dir, "orders")
@@ -297,6 +310,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backlog_batch": q_backlog_batch,
     "check_group_size": q_check_group_size,
     "check_uniqueness": q_check_uniqueness,
+    "check_players": q_check_players,
+    "check_details": q_check_details,
     "id_cursor": q_id_cursor,
     "epoch_to_string": q_epoch_to_string,
     "json_fixed_schema_scan": q_json_fixed_schema_scan,

@@ -152,6 +152,14 @@ GROUP BY 1
 HAVING COUNT(*) != {group_size}
 """,
         "check_uniqueness": "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT l_orderkey) AS n_distinct_keys FROM lineitem",
+        "check_players": """
+SELECT l_orderkey AS match_id, COUNT(*) AS n_rows
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_custkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY 1
+HAVING COUNT(*) != 10
+""",
+        "check_details": "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_distinct_keys FROM orders",
         "id_cursor": "SELECT MIN(o_orderkey) AS min_id, MAX(o_orderkey) AS max_id FROM orders",
         "epoch_to_string": f"SELECT o_orderkey, {_epoch('o_orderdate')} AS start_time, "
                            f"{_text('o_orderdate')} AS td_start FROM orders",
