@@ -109,9 +109,11 @@ def test_lifetime_alone(spark):
 
 def test_long_window_counts_calendar_months(spark):
     data = [(1, 1, 1, 1, dt.datetime(2000, 3, 5)), (1, 2, 1, 1, dt.datetime(2001, 3, 5)),
-            (1, 3, 1, 1, dt.datetime(2001, 3, 9)), (2, 4, 1, 1, dt.datetime(2001, 5, 1))]
+            (1, 3, 1, 1, dt.datetime(2001, 3, 9)), (2, 4, 1, 1, dt.datetime(2001, 5, 1)),
+            (None, 5, 1, 1, dt.datetime(2000, 6, 1)), (None, 6, 1, 1, dt.datetime(2001, 6, 1))]
     yearly = feats(spark, data, months=24)
     assert yearly[1]["tq_match_month"] == 1.5  # 3 matches over 2 calendar months
+    assert yearly[None]["tq_match_month"] == 1.0  # the NULL account group counts its months too
     assert yearly[1]["tq_match_month_24"] == 3 / 24
     folded = feats(spark, data, months=24, calendar_months=False)
     assert folded[1]["tq_match_month"] == 3.0  # month-of-year folds March 2000 and 2001

@@ -130,8 +130,8 @@ def entity_features(
     Distinct months are months of the year (``month(ts)``, no year) as in
     the SQL, which is exact for windows under 12 months. With
     ``calendar_months`` (default: ``months >= 12``) they are calendar months
-    (year and month), counted by a separate distinct (entity, month)
-    aggregate that also merges map-side. ``day_col``: a DATE partition
+    (year and month), counted from distinct (entity, month) pairs fed into
+    the same aggregation. ``day_col``: a DATE partition
     column equal to ``DATE(ts)``, used to prune partitions outside the
     window. ``first_seen`` (from :func:`entity_first_seen` /
     :func:`merge_first_seen`) replaces the whole-history scan of the
@@ -164,23 +164,25 @@ def entity_features(
         .selectExpr(q(entity), "1 AS _pair")
     )
     per_entity = ["sum(_pair) AS qt_matches", "min(_gap) AS qt_days_last_match"]
+    inputs = [rows, pairs]
     if not calendar_months:
         per_entity.append("bit_count(bit_or(_mbit)) AS _n_months")
+    else:
+        # a third input: distinct (entity, calendar month) pairs
+        t = time_sql(df, ts)
+        inputs.append(
+            window.selectExpr(q(entity), f"year({t}) * 12 + month({t}) AS _mi").filter("_mi IS NOT NULL")
+            .distinct().selectExpr(q(entity), "1 AS _mon")
+        )
+        per_entity.append("coalesce(sum(_mon), 0) AS _n_months")
     per_entity += [
         f"try_divide(CAST(sum(_m{i}) AS DOUBLE), count(_m{i})) AS {q(name)}" for i, (name, _) in enumerate(measures)
     ]
     per_entity += [f"sum(CASE WHEN _role = {int(r)} THEN 1 ELSE 0 END) AS _r{int(r)}" for r in roles]
-    stats = (
-        rows.unionByName(pairs, allowMissingColumns=True)
-        .groupBy(entity).agg(*[F.expr(e) for e in per_entity])
-    )
-    if calendar_months:
-        t = time_sql(df, ts)
-        month_counts = (
-            window.selectExpr(q(entity), f"year({t}) * 12 + month({t}) AS _m").distinct()
-            .groupBy(entity).agg(F.expr("count(_m) AS _n_months"))
-        )
-        stats = stats.join(month_counts, on=entity, how="left")
+    union = inputs[0]
+    for extra in inputs[1:]:
+        union = union.unionByName(extra, allowMissingColumns=True)
+    stats = union.groupBy(entity).agg(*[F.expr(e) for e in per_entity])
 
     lifetime = entity_lifetime(history, entity=entity, ts=ts, ref=ref_ts, first_seen=first_seen)
     joined = stats.join(lifetime, on=entity, how="left")
