@@ -190,3 +190,14 @@ def test_hot_entity_and_hot_pair_give_exact_results(spark):
                       key=repr)
 
     assert rounded(ours) == rounded(sql)
+
+
+def test_date_typed_time_column(spark):
+    data = [(1, 1, 1, 2, dt.datetime(2001, 2, 1)), (1, 2, 1, 4, dt.datetime(2001, 2, 2)),
+            (1, 3, 2, 6, dt.datetime(2001, 7, 31)), (2, 4, 1, 8, dt.datetime(2001, 8, 1))]
+    ts_df = spark.createDataFrame(data, SCHEMA)
+    date_df = ts_df.withColumn("td_match", ts_df["td_match"].cast("date"))
+    a = entity_features(ts_df, measures=MEASURES, ref=REF)
+    b = entity_features(date_df, measures=MEASURES, ref=REF)
+    assert rows(a) == rows(b)
+    assert {r["account_id"]: r["qt_matches"] for r in b.collect()} == {1: 2}
