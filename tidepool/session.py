@@ -28,6 +28,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # target bytes per post-shuffle partition (AQE coalesces towards it)
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    # a selective side of a join prunes the other side's scan at runtime
+    # (bloom filter on the probe keys; partition pruning for partitioned tables)
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 
 # Bytes of input per initial shuffle partition, and the most partitions a
