@@ -1,5 +1,5 @@
 """Every registered query equals its DuckDB oracle on the smallest tables
-(rows, column names, values rounded to 9 significant digits)."""
+(column names and types, rows, values rounded to 9 significant digits)."""
 
 import math
 import os
@@ -11,6 +11,8 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+              "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +41,9 @@ def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rel = con.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    ours_t = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    theirs_t = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert ours_t == theirs_t
     cols = sorted(df.columns)
     idx = [rel.columns.index(c) for c in cols]
     ours = sorted((tuple(norm(r[c]) for c in cols) for r in df.select(*cols).collect()), key=repr)
