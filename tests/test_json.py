@@ -101,3 +101,16 @@ def test_document_schema_file_matches_documents(spark):
 
     fixed = schema_from_json(MATCH_DOCUMENT_SCHEMA)
     assert fixed.simpleString() == match_documents(spark, SF_SMALL).schema.simpleString()
+
+
+def test_land_json_compressed_roundtrip(spark, scratch):
+    from tidepool.sources.json_docs import land_json
+
+    path = scratch("gz")
+    df = spark.createDataFrame([(1, (7, "L"), [(10, None, "1.5", 0)])],
+                               "match_id LONG, league STRUCT<leagueid: LONG, name: STRING>, players " +
+                               "ARRAY<STRUCT<account_id: LONG, kda: LONG, stuns: STRING, start_time: LONG>>")
+    land_json(df, path, compression="gzip")
+    back = read_json_docs(spark, path, DOC, key="match_id")
+    r = back.collect()[0]
+    assert r["league"]["name"] == "L" and r["players"][0]["stuns"] == "1.5" and r["radiant_win"] is None
