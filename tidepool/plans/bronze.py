@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidepool.operators.backlog import backlog, backlog_batch
 from tidepool.operators.nested import explode_players
 from tidepool.operators.quality import group_size, uniqueness
+from tidepool.session import path_exists
 from tidepool.sources.json_docs import read_json_docs
 from tidepool.sources.tables import full_load_once, read_ledger, read_table, replace_table
 
@@ -59,11 +60,9 @@ def pending_matches(spark: SparkSession, history_path: str, ledger_path: str, ke
     of them (the next batch to fetch). A missing ledger means nothing is
     processed yet."""
     history = read_table(spark, history_path, merge_schema=True)
-    try:
+    if path_exists(spark, ledger_path):
         done = read_ledger(spark, ledger_path, key)
-    except Exception as err:
-        if "PATH_NOT_FOUND" not in str(err) and "does not exist" not in str(err):
-            raise
+    else:
         done = history.select(key).limit(0)
     ids = backlog(history, done, key)
     return ids if n is None else backlog_batch(ids, n, key)

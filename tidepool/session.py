@@ -55,6 +55,13 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on its file system (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def size_for_input(spark: SparkSession, input_bytes: int) -> int:
     """Start shuffles with enough partitions for the input, so a partition
     stays near ``BYTES_PER_SHUFFLE_PARTITION`` at any scale; never fewer

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.time import epoch_to_string
 from tidepool.operators.backlog import id_cursor
+from tidepool.session import path_exists
 from tidepool.sources.tables import append_evolving, read_table
 
 # Pages taken by one backfill run (a first page plus 30).
@@ -30,12 +31,9 @@ def with_start_text(df: DataFrame, start: str = "start_time", name: str = "td_st
 
 def read_cursor(spark: SparkSession, target: str, key: str) -> tuple:
     """(min, max) of the key in the target; (None, None) if it is empty or missing."""
-    try:
-        row = id_cursor(read_table(spark, target, merge_schema=True), key).first()
-    except Exception as err:  # missing path: nothing ingested yet
-        if "PATH_NOT_FOUND" in str(err) or "does not exist" in str(err):
-            return None, None
-        raise
+    if not path_exists(spark, target):  # nothing ingested yet
+        return None, None
+    row = id_cursor(read_table(spark, target, merge_schema=True), key).first()
     return (row["min_id"], row["max_id"]) if row else (None, None)
 
 
