@@ -67,3 +67,23 @@ def test_day_partitions_pruned_and_same_result(spark, scratch):
     assert pruned.count() > 0
     text_form = entity_features(players, ts="td_match", measures=measures, ref="2001-08-01 00:00:00")
     assert rows(text_form) == rows(pruned)
+
+
+def test_month_partitions_pruned_and_same_result(spark, scratch):
+    from conftest import rows
+    from tidepool.plans.bronze import build_players
+    from tidepool.sources.tables import create_database
+
+    create_database(spark, "tp_months", scratch("monthparts"))
+    match_documents(spark, SF_SMALL).write.mode("overwrite").format("parquet").saveAsTable("tp_months.details")
+    players = build_players(spark, "tp_months", "details", "players", ts_col="ts_match", day_col="mo_match",
+                            period="month")
+    measures = [("vl_avg_kills", "kills")]
+    kw = dict(ts="ts_match", measures=measures, ref="2001-08-01 00:00:00")
+    pruned = entity_features(players, day_col="mo_match", period="month", **kw)
+    scan = [line for line in plan(pruned).split("\n") if "PartitionFilters" in line and "mo_match" in line][0]
+    assert "mo_match#" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert rows(pruned) == rows(entity_features(players, **kw))
+    onehot = draft_onehot(players, side="isRadiant", ts="ts_match", ref="2001-08-01 00:00:00",
+                          day_col="mo_match", period="month")
+    assert rows(onehot) == rows(draft_onehot(players, side="isRadiant", ts="ts_match", ref="2001-08-01 00:00:00"))

@@ -77,15 +77,17 @@ def window_filter(
     start_inclusive: bool,
     end_exclusive: bool,
     day_col: str | None = None,
+    period: str = "day",
 ) -> Column:
     """Rolling window over the last ``months`` months before ``ref``.
 
     ``start_inclusive=False`` is ``DATE(ts) > add_months(ref, -months)``;
     ``True`` is ``>=``. ``end_exclusive`` adds ``ts < ref``. Both are
     rewritten as comparisons against literals of the column's type.
-    ``day_col`` names a DATE column holding ``DATE(ts)`` -- typically the
-    partition column of a day-partitioned table; the same bounds on it let
-    the scan skip whole partitions (Spark does not derive them from ``ts``).
+    ``day_col`` names a DATE column holding ``DATE(ts)`` (``period="day"``)
+    or its first day of the month (``period="month"``) -- typically the
+    partition column of the table; the same bounds on it let the scan skip
+    whole partitions (Spark does not derive them from ``ts``).
     """
     dtype = time_type(df, ts)
     start = months_back(ref, months)
@@ -104,9 +106,14 @@ def window_filter(
             cond = cond & (col < _const(ref, dtype))
     if day_col:
         day = F.col(day_col)
-        cond = cond & (day >= F.lit(start))
+        first, last = start, ref.date()
+        if period == "month":
+            first, last = first.replace(day=1), last.replace(day=1)
+        elif period != "day":
+            raise ValueError(f"unknown period {period!r}")
+        cond = cond & (day >= F.lit(first))
         if end_exclusive:
-            cond = cond & (day <= F.lit(ref.date()))
+            cond = cond & (day <= F.lit(last))
     return cond
 
 

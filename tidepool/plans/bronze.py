@@ -25,17 +25,20 @@ def load_bronze(spark: SparkSession, raw_dir: str, schema: T.StructType, databas
 
 def build_players(spark: SparkSession, database: str, details: str, players: str,
                   array: str = "players", start: str = "start_time", ts_col: str | None = None,
-                  day_col: str | None = None) -> DataFrame:
+                  day_col: str | None = None, period: str = "day") -> DataFrame:
     """Drop and recreate the player table: one row per array element,
     ``player.*`` plus the start time as text. The explode needs no shuffle.
 
     ``ts_col`` adds the start as a TIMESTAMP (window filters on it push down
     to the scan); ``day_col`` adds its DATE and partitions the table by it,
-    so a 6-month window reads 6 months of folders out of the whole history.
+    so a 6-month window reads 6 months of folders out of the whole history
+    (``period="month"`` partitions by the month's first day instead: fewer,
+    larger folders).
     Without them the table has the reference's columns."""
     flat = explode_players(spark.table(f"`{database}`.`{details}`"), array=array, start=start, ts_col=ts_col)
     if day_col:
-        flat = flat.withColumn(day_col, F.to_date(F.timestamp_seconds(F.col(start))))
+        day = F.to_date(F.timestamp_seconds(F.col(start)))
+        flat = flat.withColumn(day_col, F.trunc(day, "month") if period == "month" else day)
     return replace_table(flat, database, players, partition_by=[day_col] if day_col else None)
 
 

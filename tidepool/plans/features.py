@@ -124,6 +124,7 @@ def entity_features(
     calendar_months: bool | None = None,
     day_col: str | None = None,
     first_seen: DataFrame | None = None,
+    period: str = "day",
 ) -> DataFrame:
     """The feature table; ``history`` (default ``df``) feeds the lifetime.
 
@@ -142,7 +143,8 @@ def entity_features(
     history = df if history is None else history
 
     window = df.filter(
-        window_filter(df, ts, ref_ts, months, start_inclusive=False, end_exclusive=True, day_col=day_col)
+        window_filter(df, ts, ref_ts, months, start_inclusive=False, end_exclusive=True, day_col=day_col,
+                      period=period)
     )
 
     # Expressions go to Spark as SQL text in bulk (one driver call each

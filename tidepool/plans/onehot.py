@@ -94,13 +94,15 @@ def draft_onehot(
     ref: str | _dt.date | _dt.datetime | None = None,
     months: int = 6,
     day_col: str | None = None,
+    period: str = "day",
 ) -> DataFrame:
     """Draft matrix over matches since ``add_months(ref, -months)`` (start
     inclusive, no end), with the match outcome as ``MAX(outcome)``;
     ``day_col`` as in :func:`tidepool.functions.time.window_filter`."""
     ref_ts = as_reference(ref)
     recent = players.filter(
-        window_filter(players, ts, ref_ts, months, start_inclusive=True, end_exclusive=False, day_col=day_col)
+        window_filter(players, ts, ref_ts, months, start_inclusive=True, end_exclusive=False, day_col=day_col,
+                      period=period)
     )
     return one_hot(
         recent,
