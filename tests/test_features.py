@@ -70,7 +70,7 @@ def test_string_time_column_matches_timestamp(spark):
     assert rows(a) == rows(b)
 
 
-def test_two_level_equals_one_level_sql(spark):
+def test_no_distinct_plan_equals_distinct_sql(spark):
     """Cross-form: the DISTINCT-based SQL of the feature query in Spark."""
     pm = player_rows(spark, SF_SMALL)
     pm.createOrReplaceTempView("pm_small")
@@ -168,7 +168,7 @@ def test_first_seen_table_gives_the_same_lifetime(spark):
 
 def test_hot_entity_and_hot_pair_give_exact_results(spark):
     """A third of the rows on one account (and a big share on one of its
-    matches, plus NULL keys) -- the two-level plan equals the SQL form."""
+    matches, plus NULL keys) -- the plan without DISTINCT equals the SQL form."""
     base = spark.range(0, 30000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 7 = 0 THEN NULL ELSE id % 500 END AS account_id",
         "CASE WHEN id % 6 = 0 THEN 42 WHEN id % 11 = 0 THEN NULL ELSE id % 4000 END AS match_id",
