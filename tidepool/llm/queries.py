@@ -7,20 +7,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import sharding, token_counts
+from tidepool.llm import licenses, quality, sharding, token_counts
 from tidepool.llm.common import read
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(read(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(read(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(read(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_plan(read(spark, sf_dir, "documents"), shards=40)
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op2_token_counts": op2_token_counts,
+    "op5_quality": op5_quality,
     "op10_sharding": op10_sharding,
 }
 
