@@ -38,7 +38,7 @@ MAX_REPEAT_PERCENT = 30
 MIN_CHARS_JUDGED = 200
 MIN_WORDS_JUDGED = 80
 #: Thresholds of the Jensen-Shannon distances.
-MAX_CHAR_DISTANCE = 0.30
+MAX_CHAR_DISTANCE = 0.33
 MAX_WORD_DISTANCE = 0.55
 BLANKS = "[\\x20\\x09-\\x0D]+"
 
