@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import licenses, quality, sharding, token_counts
+from tidepool.llm import decontaminate, language, licenses, quality, sharding, token_counts, toxicity
 from tidepool.llm.common import read
 
 
@@ -19,10 +19,23 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(read(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item whose passage it repeats."""
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(read(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_plan(read(spark, sf_dir, "documents"), shards=40)
 
@@ -30,7 +43,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op9_language": op9_language,
     "op10_sharding": op10_sharding,
 }
 
