@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import decontaminate, html_text, language, licenses, quality, sharding, token_counts, toxicity
+from tidepool.llm import decontaminate, html_text, language, licenses, near_dedup, quality, sharding, token_counts, toxicity
 from tidepool.llm.common import read
 
 
@@ -32,6 +32,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.dedup_report(read(spark, sf_dir, "documents"))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_texts(read(spark, sf_dir, "pages"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op7_near_dedup": op7_near_dedup,
     "op8_html_text": op8_html_text,
     "op9_language": op9_language,
     "op10_sharding": op10_sharding,
