@@ -324,13 +324,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` with one row of each component: the row of its smallest id (of
     rows that share that id, one of those with the longest text). Rows with a
     null id, and texts without words, are linked with nothing and stay."""
-    out = dedup_report(docs, id_col, text_col)
-    drop = out.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    again = out.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > 1)
-    rest = docs.join(drop, docs[id_col] == drop["_gone"], "left_anti")
-    again = again.select(F.col("doc_id").alias("_again"))
-    single = rest.join(again, rest[id_col] == again["_again"], "left_anti")
-    many = rest.join(again, rest[id_col] == again["_again"], "left_semi")
-    taken = [c for c in docs.columns]
-    best = many.groupBy(F.col(id_col).alias("_id")).agg(F.max_by(F.struct(*[f"`{c}`" for c in taken]), F.length(text_col)).alias("_row"))
+    out = written(dedup_report(docs, id_col, text_col), "dedup")
+    gone = out.where(~F.col("kept")).select("doc_id")
+    again = out.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
+    if not again.limit(1).count():
+        return _without(docs, gone, id_col)
+    single = _without(docs, gone.union(again), id_col)
+    twice = _without(docs, gone, id_col).join(again.select(F.col("doc_id").alias(_ID)), F.col(f"`{id_col}`") == F.col(_ID), "left_semi")
+    row = F.struct(*[f"`{c}`" for c in docs.columns])
+    best = twice.groupBy(F.col(f"`{id_col}`").alias(_ID)).agg(F.max_by(row, F.coalesce(F.length(F.col(f"`{text_col}`")), F.lit(-1))).alias("_row"))
     return single.unionByName(best.select("_row.*"))
+
+
+_ID = "_dedup_id"
+
+
+def _without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    return docs.join(ids.select(F.col("doc_id").alias(_ID)), F.col(f"`{id_col}`") == F.col(_ID), "left_anti")

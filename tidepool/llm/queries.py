@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import decontaminate, html_text, language, licenses, near_dedup, quality, sharding, token_counts, toxicity
+from tidepool.llm import decontaminate, html_text, language, licenses, near_dedup, pieces, quality, sharding, token_counts, toxicity
 from tidepool.llm.common import read
 
 
@@ -32,6 +32,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every text, and whether they decode to the whole text."""
+    return pieces.piece_report(read(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.dedup_report(read(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op6_pieces": op6_pieces,
     "op7_near_dedup": op7_near_dedup,
     "op8_html_text": op8_html_text,
     "op9_language": op9_language,

@@ -115,7 +115,7 @@ def with_token_counts(df: DataFrame, text_col: str = "text", model: str = MODEL,
 
     @F.pandas_udf("long")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        key = shared.id if hasattr(shared, "id") else id(shared)
+        key = id(shared.value[1])  # held by Lengths, so no other object has it
         lengths = _worker.get(key)
         if lengths is None:
             _worker.clear()
