@@ -40,6 +40,11 @@ def scratch(spark):
     return lambda name: scratch_path(spark, name)
 
 
+def local_path(path: str) -> str:
+    """Strip a ``file:`` scheme so that tests can open the path."""
+    return "/" + path.removeprefix("file:").lstrip("/")
+
+
 def rows(df, *cols):
     """Sorted list of tuples for order-insensitive comparison."""
     cols = cols or tuple(df.columns)

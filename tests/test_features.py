@@ -111,11 +111,11 @@ def test_long_window_counts_calendar_months(spark):
     data = [(1, 1, 1, 1, dt.datetime(2000, 3, 5)), (1, 2, 1, 1, dt.datetime(2001, 3, 5)),
             (1, 3, 1, 1, dt.datetime(2001, 3, 9)), (2, 4, 1, 1, dt.datetime(2001, 5, 1)),
             (None, 5, 1, 1, dt.datetime(2000, 6, 1)), (None, 6, 1, 1, dt.datetime(2001, 6, 1))]
-    yearly = feats(spark, data, months=24)
+    yearly = feats(spark, data, months=24, calendar_months=True)
     assert yearly[1]["tq_match_month"] == 1.5  # 3 matches over 2 calendar months
     assert yearly[None]["tq_match_month"] == 1.0  # the NULL account group counts its months too
     assert yearly[1]["tq_match_month_24"] == 3 / 24
-    folded = feats(spark, data, months=24, calendar_months=False)
+    folded = feats(spark, data, months=24)
     assert folded[1]["tq_match_month"] == 3.0  # month-of-year folds March 2000 and 2001
     assert yearly[2]["tq_match_month"] == 1.0
 
@@ -201,3 +201,13 @@ def test_date_typed_time_column(spark):
     b = entity_features(date_df, measures=MEASURES, ref=REF)
     assert rows(a) == rows(b)
     assert {r["account_id"]: r["qt_matches"] for r in b.collect()} == {1: 2}
+
+
+def test_reference_instants_with_a_zone_are_converted():
+    from tidepool.functions.time import as_reference
+
+    want = dt.datetime(2001, 7, 31, 22, 30)
+    assert as_reference("2001-08-01T00:30:00+02:00") == want
+    assert as_reference(dt.datetime(2001, 8, 1, 0, 30, tzinfo=dt.timezone(dt.timedelta(hours=2)))) == want
+    assert as_reference("2001-08-01 00:30:00.250000") == dt.datetime(2001, 8, 1, 0, 30, 0, 250000)
+    assert as_reference(dt.date(2001, 8, 1)) == dt.datetime(2001, 8, 1)

@@ -32,9 +32,11 @@ def test_ingest_into_empty_target(spark, scratch):
 def test_backfill_pages_below_min(spark, scratch):
     target = scratch("back")
     append_evolving(listing(spark, 500, 510).withColumn("td_start", F.lit("x")), target)
-    ingest_backfill(spark, listing(spark, 0, 1000), target, pages=3, page_size=10)
+    ingest_backfill(spark, listing(spark, 0, 1000), target, rows=30)
     ids = sorted(r["match_id"] for r in read_table(spark, target).collect())
     assert ids == list(range(470, 510))
+    ingest_backfill(spark, listing(spark, 0, 1000), target)  # all that is left
+    assert sorted(r["match_id"] for r in read_table(spark, target).collect()) == list(range(0, 510))
 
 
 def test_append_with_new_column(spark, scratch):
@@ -78,7 +80,7 @@ def test_full_load_once(spark, scratch):
 def test_compaction_makes_few_files_without_shuffle(spark, scratch):
     import glob
 
-    from tidepool.session import local_path
+    from conftest import local_path
     from tidepool.sources.maintain import compact_table
 
     src, dst = scratch("small"), scratch("big")
@@ -122,5 +124,97 @@ def test_ingest_mode_switch_and_missing_target(spark, scratch):
     assert read_cursor(spark, target, "match_id") == (None, None)
     with pytest.raises(ValueError):
         ingest(spark, listing(spark, 0, 3), target, mode="sideways")
-    ingest(spark, listing(spark, 0, 50), target, mode="history", pages=2, page_size=10)
+    ingest(spark, listing(spark, 0, 50), target, mode="history", rows=20)
     assert sorted(r["match_id"] for r in read_table(spark, target).collect()) == list(range(30, 50))
+
+
+def test_cursor_of_an_empty_folder_and_its_plan(spark, scratch):
+    import os
+
+    from conftest import local_path
+    from tidepool.sources.ingest import read_cursor
+
+    target = scratch("hollow")
+    os.makedirs(local_path(target))  # what a failed first append leaves
+    assert read_cursor(spark, target, "match_id") == (None, None)
+    ingest_new(spark, listing(spark, 0, 5), target)
+    assert read_cursor(spark, target, "match_id") == (0, 4)
+
+
+def test_append_refuses_a_changed_type(spark, scratch):
+    import pytest
+
+    path = scratch("types")
+    append_evolving(spark.createDataFrame([(1, "a")], "id LONG, x STRING"), path)
+    with pytest.raises(TypeError, match="column x"):
+        append_evolving(spark.createDataFrame([(2, 5)], "id LONG, x LONG"), path)
+    assert rows(read_table(spark, path, merge_schema=True)) == [(1, "a")]
+
+
+def test_compaction_keeps_columns_of_later_appends(spark, scratch):
+    from tidepool.sources.maintain import compact_table
+
+    src = scratch("evolved")
+    for k in range(9):
+        append_evolving(spark.createDataFrame([(k, "x")], "id LONG, x STRING"), src)
+    append_evolving(spark.createDataFrame([(9, "y", 1.5)], "id LONG, x STRING, late DOUBLE"), src)
+    for trial in range(4):
+        dst = scratch(f"evolved{trial}")
+        assert compact_table(spark, src, dst) == 1
+        got = spark.read.parquet(dst)
+        assert rows(got, "id", "late") == [(k, None) for k in range(9)] + [(9, 1.5)]
+
+
+def test_compaction_keeps_partitions(spark, scratch):
+    from tidepool.sources.maintain import compact_table, data_files, partition_columns
+
+    src, dst = scratch("parts"), scratch("parts_dst")
+    df = spark.range(0, 2000).selectExpr("id", "id % 3 AS a", "id % 2 AS b")
+    df.repartition(8).write.partitionBy("a", "b").parquet(src)
+    assert data_files(spark, src) == 48
+    assert compact_table(spark, src, dst) == 6 == data_files(spark, dst)
+    assert partition_columns(spark, dst) == ["a", "b"]
+    assert rows(spark.read.parquet(dst), "id", "a", "b") == rows(df, "id", "a", "b")
+
+
+def test_partitioned_player_table_has_few_files_per_folder(spark, scratch):
+    from tidepool.sources.maintain import data_files
+    from tidepool.sources.tables import create_database, replace_table
+
+    base = scratch("rebalanced")
+    create_database(spark, "tp_rebalanced", base)
+    df = spark.range(0, 8000, 1, 8).selectExpr("id", "id % 40 AS mo")
+    replace_table(df, "tp_rebalanced", "t", partition_by=["mo"])
+    assert data_files(spark, f"{base}/t") <= 80
+    assert rows(spark.table("tp_rebalanced.t"), "id", "mo") == rows(df, "id", "mo")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from tidepool import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
+def test_text_files_go_through_the_file_system(spark, scratch):
+    from tidepool.session import read_text, write_text
+
+    path = scratch("note") + "/_hidden.json"
+    write_text(spark, path, "{}")
+    write_text(spark, path, "[1, \u00e9]")
+    assert read_text(spark, path) == "[1, \u00e9]"

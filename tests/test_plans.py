@@ -1,5 +1,7 @@
 """The physical plans have the shape the design relies on."""
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from tidepool.operators.backlog import backlog
 from tidepool.operators.nested import explode_players
@@ -87,3 +89,25 @@ def test_month_partitions_pruned_and_same_result(spark, scratch):
     onehot = draft_onehot(players, side="isRadiant", ts="ts_match", ref="2001-08-01 00:00:00",
                           day_col="mo_match", period="month")
     assert rows(onehot) == rows(draft_onehot(players, side="isRadiant", ts="ts_match", ref="2001-08-01 00:00:00"))
+
+
+def test_long_match_comes_in_parts(spark, scratch):
+    """One order of 1,000 lines: several documents, each with a key of its own."""
+    from tidepool.plans import catalog
+    from tidepool.plans.bronze import check_details
+
+    base = scratch("long")
+    for t in ("orders", "customer"):
+        load(spark, SF_SMALL, t).write.parquet(f"{base}/{t}.parquet")
+    li = load(spark, SF_SMALL, "lineitem")
+    number = li.schema["l_linenumber"].dataType.simpleString()
+    first = li.orderBy("l_orderkey", "l_linenumber").limit(1)
+    long = first.crossJoin(spark.range(100, 1100).withColumnRenamed("id", "_n")).withColumn("l_linenumber", F.col("_n").cast(number)).drop("_n")
+    li.unionByName(long).write.parquet(f"{base}/lineitem.parquet")
+    docs = match_documents(spark, base)
+    check = check_details(docs).first()
+    assert check["n_rows"] == check["n_distinct_keys"] > 1500
+    assert docs.selectExpr("max(size(players)) AS n").first()["n"] <= 64
+    assert explode_players(docs).count() == 7000
+    assert catalog.QUERIES["check_details"](spark, base).first() == check
+    assert catalog.QUERIES["stream_bronze_players"](spark, base).count() == 7000

@@ -26,14 +26,15 @@ def epoch_to_string(epoch: str | Column, fmt: str = EPOCH_FORMAT) -> Column:
 
 
 def as_reference(ref: str | _dt.date | _dt.datetime | None) -> _dt.datetime:
-    """Normalise the reference instant; ``None`` means now (UTC)."""
+    """The reference instant in UTC, without a zone. Values with a zone or an
+    offset are converted; ``None`` means now."""
     if ref is None:
         return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    if isinstance(ref, _dt.datetime):
-        return ref.replace(tzinfo=None)
-    if isinstance(ref, _dt.date):
+    if isinstance(ref, _dt.date) and not isinstance(ref, _dt.datetime):
         return _dt.datetime(ref.year, ref.month, ref.day)
-    return _dt.datetime.fromisoformat(str(ref))
+    if not isinstance(ref, _dt.datetime):
+        ref = _dt.datetime.fromisoformat(str(ref))
+    return ref.astimezone(_dt.timezone.utc).replace(tzinfo=None) if ref.tzinfo else ref
 
 
 def time_type(df: DataFrame, ts: str) -> T.DataType:
@@ -52,7 +53,7 @@ def as_time(df: DataFrame, ts: str) -> Column:
 
 def _const(value: _dt.datetime, dtype: T.DataType) -> Column:
     """A literal of the column's own type, so no cast lands on the column."""
-    text = value.strftime("%Y-%m-%d %H:%M:%S")
+    text = value.isoformat(sep=" ")  # keeps fractions of a second
     if isinstance(dtype, T.DateType):
         return F.lit(value.date())
     if isinstance(dtype, T.TimestampNTZType):

@@ -13,9 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Ids handed to one detail-fetch run.
-DETAIL_BATCH = 10
-
 
 def backlog(listing: DataFrame, done: DataFrame, key: str = "match_id", done_key: str | None = None) -> DataFrame:
     """Distinct ``key`` values of ``listing`` absent from ``done``.
@@ -29,9 +26,11 @@ def backlog(listing: DataFrame, done: DataFrame, key: str = "match_id", done_key
     return listing.select(key).distinct().join(processed, on=key, how="left_anti")
 
 
-def backlog_batch(backlog_ids: DataFrame, n: int = DETAIL_BATCH, key: str = "match_id") -> DataFrame:
-    """The next ``n`` ids of the backlog, lowest first (a top-k: each task
-    keeps its own ``n`` best, the driver merges ``n x tasks`` rows)."""
+def backlog_batch(backlog_ids: DataFrame, n: int | None = None, key: str = "match_id") -> DataFrame:
+    """The ids to process next: the whole backlog, or with ``n`` the lowest
+    ``n`` of it (a top-k for trial runs: each task keeps its own ``n`` best)."""
+    if n is None:
+        return backlog_ids.select(key)
     return backlog_ids.orderBy(F.col(key).asc_nulls_last()).limit(n)
 
 

@@ -9,59 +9,16 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.time import epoch_to_string
 
-# Most hot keys (more than ``max_items`` rows) a broadcast side may list.
-MAX_BROADCAST_HOT_KEYS = 1_000_000
-
-
-def nest_rows(
-    df: DataFrame,
-    *,
-    key: str,
-    item: str,
-    array: str,
-    max_items: int = 64,
-    tiebreak: str | None = None,
-    count_from: DataFrame | None = None,
-) -> DataFrame:
-    """Group ``item`` values into arrays per ``key``, at most about
-    ``max_items`` per output row.
-
-    A key with ``n > max_items`` rows (a hot key) is split into
-    ``ceil(n / max_items)`` rows by ``pmod(tiebreak, parts)``, so no task
-    ever builds one unbounded array. Hot keys are found first with a
-    map-side-combined count (a small job over the key column only):
-
-    * none -> one plain ``groupBy(key)``, the common case;
-    * up to ``MAX_BROADCAST_HOT_KEYS`` -> their part counts are broadcast
-      (a size proven by that count) and joined without a shuffle of the rows;
-    * more -> an ordinary shuffle join of the hot-key table.
-
-    ``tiebreak`` should be a stable per-row id taken at the scan; without
-    one a hash of the item is used, which keeps identical copies together.
-    ``count_from`` may give a cheaper source of the ``key`` column whose
-    per-key counts bound those of ``df`` (e.g. the scan before a filtering
-    join); an over-count only splits a hot key into more rows.
-    Items are sorted inside each array, so documents are reproducible.
+def nest_rows(df: DataFrame, *, key: str, part: str, item: str, array: str) -> DataFrame:
+    """Group ``item`` values into one array per (``key``, ``part``).
+
+    ``part`` is a number that each row brings along (a block of its own
+    position within the key, say), so a key with many rows becomes several
+    documents with keys of their own, no task builds one unbounded array, and
+    the rule is the same for every key and every size. Items are sorted inside
+    each array, so documents are reproducible.
     """
-    hot = (
-        (df if count_from is None else count_from).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > F.lit(max_items))
-        .select(F.col(key).alias("_hk"), F.ceil(F.col("_n") / F.lit(max_items)).alias("_parts"))
-    )
-    n_hot = hot.count()
-    if n_hot == 0:
-        # grouped by the key alone, so the output stays hash partitioned on
-        # it and a following join on the key needs no second exchange
-        return df.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias(array))
-    side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
-    salt = F.col(tiebreak) if tiebreak else F.xxhash64(F.col(item))
-    part = F.coalesce(F.pmod(salt, F.col("_parts")), F.lit(0)).cast("bigint")
-    tagged = df.join(side, df[key].eqNullSafe(F.col("_hk")), "left").select(F.col(key), F.col(item), part.alias("_part"))
-    return (
-        tagged.groupBy(key, "_part")
-        .agg(F.array_sort(F.collect_list(item)).alias(array))
-        .drop("_part")
-    )
+    return df.groupBy(key, part).agg(F.array_sort(F.collect_list(item)).alias(array))
 
 
 def explode_items(

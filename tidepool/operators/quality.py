@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,14 +23,15 @@ def group_size(
     return counted.filter(F.col(count_name) != F.lit(expected))
 
 
-def uniqueness(df: DataFrame, key: str) -> DataFrame:
-    """One row: ``COUNT(*)`` and ``COUNT(DISTINCT key)``.
+def uniqueness(df: DataFrame, *key: str) -> DataFrame:
+    """One row: ``COUNT(*)`` and ``COUNT(DISTINCT key)`` (of one column or
+    several; a key with a NULL column is not counted).
 
     Written as two aggregations: per key (partial counts merge map-side,
     NULL keys kept as a group), then a global sum -- the plan Spark would
     build for the DISTINCT, without the Expand."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     return per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
-        F.count(F.col(key)).alias("n_distinct_keys"),
+        F.count_if(reduce(and_, [F.col(k).isNotNull() for k in key])).alias("n_distinct_keys"),
     )

@@ -6,21 +6,26 @@ without a MERGE-capable table format.
 only the batch's distinct keys; AQE broadcasts them when their runtime size
 is under the threshold and falls back to a shuffle join otherwise.
 
-``SnapshotStore`` applies upserts to a parquet table as numbered complete
-snapshots ``v=<n>``. A batch with id ``b`` reads the newest committed
-snapshot below ``b + 1`` and writes ``v=b+1``, so a replayed batch
-rewrites its own snapshot and never applies twice. Readers take the newest
-snapshot that has a ``_SUCCESS`` marker.
+``SnapshotStore`` applies upserts to a parquet table in hash buckets of the
+key: a batch rewrites only the buckets that its keys fall into. It is a thin
+folder layout, not a table format: no concurrent writers, no time travel.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.session import read_text, write_text
+
+
+DUPLICATE = "batch holds several rows for one"
+
 
 class DuplicateKeyError(ValueError):
     pass
@@ -36,12 +41,14 @@ def latest_per_key(new: DataFrame, key: str, order_col: str | None = None) -> Da
     MERGE whose source has two rows for one target row."""
     keyed = new.filter(F.col(key).isNotNull())
     nulls = new.filter(F.col(key).isNull())
-    if order_col is None:
-        dup = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(1).count()
-        if dup:
-            raise DuplicateKeyError(f"batch holds several rows for one {key}; pass order_col")
-        return new
     others = [c for c in new.columns if c != key]
+    if order_col is None:
+        row = F.struct(*[F.col(c) for c in others]) if others else F.lit(0)
+        one = keyed.groupBy(key).agg(F.first(row).alias("_row"), F.count(F.lit(1)).alias("_n"))
+        ok = F.when(F.col("_n") == 1, F.col(key)).otherwise(
+            F.raise_error(F.lit(f"{DUPLICATE} {key}; pass order_col")).cast(new.schema[key].dataType))
+        one = one.select(ok.alias(key), *[F.col(f"_row.{c}").alias(c) for c in others]).select(*new.columns)
+        return one.unionByName(nulls)
     # ties on the order value go to the greater row hash: deterministic on
     # retry, and no ordering is needed on the row itself (maps allowed)
     hashable = [F.col(f.name) for f in new.schema.fields
@@ -64,70 +71,132 @@ def upsert(old: DataFrame | None, new: DataFrame, key: str, order_col: str | Non
 
 
 class SnapshotStore:
-    """Numbered complete snapshots of a keyed table under one folder."""
+    """A keyed parquet table in hash buckets, one version per change.
+
+    ``<path>/data/v=<version>/bucket=<n>/`` holds rows, ``<path>/commits/``
+    one small JSON per version, written after its data: which version each
+    bucket is read from, and the last batch applied of each streaming query.
+    Readers take the newest commit, so data without one (a failed write) is
+    never seen. A batch that its query has already applied is skipped, and a
+    query with a new checkpoint builds on the newest version like any other.
+    """
 
-    _VERSION = re.compile(r"^v=(\d+)$")
+    _COMMIT = re.compile(r"^(\d+)\.json$")
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.buckets = buckets
 
-    def _fs(self):
+    def _hadoop(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(self.path)
-        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+    def _names(self, path: str) -> list[str]:
+        fs, hpath = self._hadoop(path)
+        return [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
 
     def committed(self) -> list[int]:
-        """Versions that finished writing, ascending."""
-        fs, hpath, jvm = self._fs()
-        if not fs.exists(hpath):
-            return []
-        out = []
-        for st in fs.listStatus(hpath):
-            m = self._VERSION.match(st.getPath().getName())
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
+        """Committed versions, ascending."""
+        found = [self._COMMIT.match(n) for n in self._names(f"{self.path}/commits")]
+        return sorted(int(m[1]) for m in found if m)
 
-    def version_path(self, version: int) -> str:
-        return f"{self.path}/v={version:020d}"
+    def _commit(self, version: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.path}/commits/{version:020d}.json"))
+
+    def _newest(self) -> tuple[int, dict] | None:
+        done = self.committed()
+        if done:
+            return done[-1], self._commit(done[-1])
+        if self._names(f"{self.path}/data"):
+            raise RuntimeError(f"{self.path} holds data but no commit: its first write did not finish")
+        return None
 
-    def latest(self, below: int | None = None) -> int | None:
-        vs = [v for v in self.committed() if below is None or v < below]
-        return vs[-1] if vs else None
+    def _files(self, commit: dict, buckets: set[int] | None = None) -> list[str]:
+        return [f"{self.path}/data/v={v}/bucket={b}" for b, v in sorted(commit["buckets"].items(), key=lambda x: int(x[0]))
+                if buckets is None or int(b) in buckets]
+
+    def _read(self, commit: dict, buckets: set[int] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(commit["schema"])
+        files = self._files(commit, buckets)
+        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
 
     def read(self, version: int | None = None) -> DataFrame | None:
-        version = self.latest() if version is None else version
-        if version is None:
-            return None
-        return self.spark.read.option("mergeSchema", "true").parquet(self.version_path(version))
+        if version is not None:
+            return self._read(self._commit(version))
+        newest = self._newest()
+        return self._read(newest[1]) if newest else None
+
+    def _bucket(self, df: DataFrame, key: str, buckets: int):
+        """The bucket of each row; rows with a NULL key are spread by their content."""
+        flat = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        spread = F.when(F.col(key).isNull(), F.xxhash64(*flat)).otherwise(F.xxhash64(F.col(key)))
+        return F.pmod(spread, F.lit(buckets)).cast("int")
+
+    def _write_data(self, df: DataFrame, key: str, version: int, buckets: int) -> list[int]:
+        """Write rows under a version, each bucket from one task (a few if it
+        is large); returns the buckets that got rows."""
+        target = f"{self.path}/data/v={version}"
+        df.withColumn("bucket", self._bucket(df, key, buckets)).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        return [int(n.split("=")[1]) for n in self._names(target) if n.startswith("bucket=")]
+
+    def _finish(self, version: int, buckets: dict, schema: T.StructType, applied: dict, count: int, key: str) -> int:
+        body = {"buckets": {str(b): v for b, v in buckets.items()}, "schema": schema.jsonValue(), "applied": applied, "n_buckets": count, "key": key}
+        write_text(self.spark, f"{self.path}/commits/{version:020d}.json", json.dumps(body))
+        return version
 
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(self.version_path(version))
+    def write(self, df: DataFrame, key: str) -> int:
+        """The first version of the table."""
+        if self._newest():
+            raise RuntimeError(f"{self.path} already holds a table")
+        got = self._write_data(df, key, 0, self.buckets)
+        return self._finish(0, dict.fromkeys(got, 0), df.schema, {}, self.buckets, key)
+
+    def apply_batch(self, batch: DataFrame, batch_id: int, key: str, order_col: str | None = None, query_id: str = "") -> int:
+        """Upsert one (micro-)batch; returns the newest version. Only the
+        buckets of the batch's keys are read and written again."""
+        newest = self._newest()
+        try:
+            if newest is None:
+                got = self._write_data(latest_per_key(batch, key, order_col), key, 0, self.buckets)
+                return self._finish(0, dict.fromkeys(got, 0), batch.schema, {query_id: batch_id}, self.buckets, key)
+            last, commit = newest
+            if commit["applied"].get(query_id, -1) >= batch_id:
+                return last  # a replay
+            count, version = commit["n_buckets"], last + 1
+            # at most n_buckets numbers come to the driver
+            touched = {r[0] for r in batch.select(self._bucket(batch, key, count).alias("b")).distinct().collect()}
+            old = self._read(commit, touched)
+            merged = upsert(old, batch, key, order_col)
+            got = self._write_data(merged, key, version, count) if touched else []
+        except PySparkException as e:
+            if DUPLICATE in str(e):
+                raise DuplicateKeyError(f"{DUPLICATE} {key}; pass order_col") from e
+            raise
+        buckets = {int(b): v for b, v in commit["buckets"].items() if int(b) not in touched} | dict.fromkeys(got, version)
+        return self._finish(version, buckets, merged.schema, commit["applied"] | {query_id: batch_id}, count, key)
 
     def prune(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed snapshots (and any
-        unfinished one older than them); returns the versions removed."""
-        fs, hpath, jvm = self._fs()
+        """Delete the commits before the newest ``keep``, and the bucket folders
+        that no commit left reads; returns the versions removed. Readers of
+        a removed version fail, so ``keep`` must cover the longest read."""
         done = self.committed()
-        if len(done) <= keep:
+        gone, left = done[:-keep], done[-keep:]
+        if not gone:
             return []
-        floor = done[-keep]
-        removed = []
-        for st in fs.listStatus(hpath):
-            m = self._VERSION.match(st.getPath().getName())
-            if m and int(m.group(1)) < floor:
-                fs.delete(st.getPath(), True)
-                removed.append(int(m.group(1)))
-        return sorted(removed)
-
-    def apply_batch(self, batch: DataFrame, batch_id: int, key: str, order_col: str | None = None) -> int:
-        """Upsert one (micro-)batch; returns the snapshot version written."""
-        version = batch_id + 1
-        prev = self.latest(below=version)
-        old = self.read(prev) if prev is not None else None
-        self.write(upsert(old, batch, key, order_col), version)
-        return version
+        used = {(int(v), int(b)) for n in left for b, v in self._commit(n)["buckets"].items()}
+        for n in gone:
+            fs, hpath = self._hadoop(f"{self.path}/commits/{n:020d}.json")
+            fs.delete(hpath, False)
+        for name in self._names(f"{self.path}/data"):
+            v = int(name.split("=")[1])
+            if v <= left[-1]:
+                for b in self._names(f"{self.path}/data/{name}"):
+                    if b.startswith("bucket=") and (v, int(b.split("=")[1])) not in used:
+                        fs, hpath = self._hadoop(f"{self.path}/data/{name}/{b}")
+                        fs.delete(hpath, True)
+        return gone
 
 
 class MergeTarget:
@@ -136,14 +205,16 @@ class MergeTarget:
     rewritten, unlike a full snapshot. Same ``apply_batch`` interface as
     :class:`SnapshotStore`; MERGE on a non-NULL key is idempotent, so a
     replayed micro-batch leaves the table as it was. Plain parquet tables
-    refuse MERGE; use :class:`SnapshotStore` for them."""
+    refuse MERGE; use :class:`SnapshotStore` for them. As there, rows with a
+    NULL key are inserts, so a replay inserts those again; filter them before
+    if that matters (the stream does)."""
 
     def __init__(self, spark: SparkSession, table: str):
         self.spark = spark
         self.table = table
 
-    def apply_batch(self, batch: DataFrame, batch_id: int, key: str, order_col: str | None = None) -> int:
-        new = latest_per_key(batch.filter(F.col(key).isNotNull()), key, order_col).alias("_src")
+    def apply_batch(self, batch: DataFrame, batch_id: int, key: str, order_col: str | None = None, query_id: str = "") -> int:
+        new = latest_per_key(batch, key, order_col).alias("_src")
         cond = F.col(f"{self.table}.{key}") == F.col(f"_src.{key}")
         new.mergeInto(self.table, cond).whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return batch_id

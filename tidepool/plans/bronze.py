@@ -13,7 +13,7 @@ from tidepool.operators.nested import explode_players
 from tidepool.operators.quality import group_size, uniqueness
 from tidepool.session import path_exists
 from tidepool.sources.json_docs import read_json_docs
-from tidepool.sources.tables import full_load_once, read_ledger, read_table, replace_table
+from tidepool.sources.tables import full_load_once, read_ledger, replace_table
 
 
 def load_bronze(spark: SparkSession, raw_dir: str, schema: T.StructType, database: str, table: str,
@@ -53,16 +53,18 @@ def check_players(players: DataFrame, expected: int = PLAYERS_PER_MATCH) -> Data
 
 
 def check_details(details: DataFrame) -> DataFrame:
-    """One row: documents vs distinct match ids (equal when no duplicates)."""
-    return uniqueness(details, "match_id")
+    """One row: documents vs distinct document keys -- match id, and part
+    where matches may come in parts (equal when no duplicates)."""
+    return uniqueness(details, *[c for c in ("match_id", "part") if c in details.columns])
 
 
 def pending_matches(spark: SparkSession, history_path: str, ledger_path: str, key: str = "match_id",
-                    n: int | None = None) -> DataFrame:
+                    n: int | None = None, key_type: T.DataType | None = None) -> DataFrame:
     """Listed ids not in the processed-id ledger; with ``n`` the lowest ``n``
     of them (the next batch to fetch). A missing ledger means nothing is
     processed yet."""
-    history = read_table(spark, history_path, merge_schema=True)
+    # a schema of the one column: no file's footer is read to find it
+    history = spark.read.schema(T.StructType([T.StructField(key, key_type or T.LongType())])).parquet(history_path)
     if path_exists(spark, ledger_path):
         done = read_ledger(spark, ledger_path, key)
     else:

@@ -11,26 +11,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.time import epoch_to_string
-from tidepool.operators.backlog import DETAIL_BATCH, backlog, backlog_batch, id_cursor
+from tidepool.operators.backlog import backlog, backlog_batch, id_cursor
 from tidepool.operators.nested import explode_players, flatten_structs
 from tidepool.operators.quality import group_size, uniqueness
 from tidepool.operators.upsert import SnapshotStore, upsert
 from tidepool.plans import oracle
-from tidepool.plans.bronze import build_players, check_details, check_players, load_bronze
-from tidepool.plans.features import entity_features, entity_lifetime
+from tidepool.plans.bronze import build_players, check_details, check_players, load_bronze, pending_matches
+from tidepool.plans.features import entity_features, entity_first_seen, entity_lifetime, merge_first_seen
 from tidepool.plans.onehot import draft_onehot
 from tidepool.plans.standin import match_documents, player_rows
 from tidepool.session import configure, path_bytes, scratch_path, size_for_input
-from tidepool.sources.ingest import BACKFILL_PAGES, PAGE_SIZE, ingest_backfill, ingest_new, with_start_text
+from tidepool.sources.ingest import ingest, ingest_backfill, ingest_new, with_start_text
 from tidepool.sources.json_docs import (
-    MATCH_DOCUMENT_SCHEMA,
     land_json,
+    match_document_schema,
     read_json_docs,
     schema_from_json,
     schema_to_json,
 )
-from tidepool.sources.maintain import compact_table
-from tidepool.sources.tables import append_evolving, ledger_append, load, read_ledger, read_table, table_name
+from tidepool.sources.maintain import compact_table, data_files
+from tidepool.sources.tables import (append_evolving, ledger_append, load, read_ledger, read_table, register_views,
+                                     table_name)
 from tidepool.streaming.bronze_stream import stream_upsert
 
 # The reference instant of every dated query: the last order date.
@@ -94,7 +95,7 @@ def q_backlog_ids(spark, sf_dir):
 
 def q_backlog_batch(spark, sf_dir):
     _setup(spark, sf_dir, "orders", "lineitem")
-    return backlog_batch(backlog(_listing(spark, sf_dir), _done(spark, sf_dir)), DETAIL_BATCH)
+    return backlog_batch(backlog(_listing(spark, sf_dir), _done(spark, sf_dir)))
 
 
 def _orders_with_epoch(spark, sf_dir):
@@ -146,8 +147,7 @@ def q_bronze_players(spark, sf_dir):
     base = scratch_path(spark, "bronze")
     land_json(docs, f"{base}/raw")
     db = f"bronze_{uuid.uuid4().hex[:10]}"
-    schema = schema_from_json(MATCH_DOCUMENT_SCHEMA)
-    load_bronze(spark, f"{base}/raw", schema, db, "match_details", location=f"{base}/db")
+    load_bronze(spark, f"{base}/raw", match_document_schema(), db, "match_details", location=f"{base}/db")
     return build_players(spark, db, "match_details", "match_players")
 
 
@@ -159,22 +159,17 @@ def q_check_players(spark, sf_dir):
 
 
 def q_check_details(spark, sf_dir):
-    """The document-table check: documents vs distinct match ids."""
+    """The document-table check: documents vs distinct (match id, part)."""
     _setup(spark, sf_dir, "lineitem", "orders", "customer")
     return check_details(match_documents(spark, sf_dir))
 
 
 def q_flatten_structs(spark, sf_dir):
-    _setup(spark, sf_dir, "orders", "customer")
-    o = load(spark, sf_dir, "orders")
-    c = load(spark, sf_dir, "customer")
-    nested = o.join(c, o.o_custkey == c.c_custkey, "left").select(
-        F.col("o_orderkey").alias("match_id"),
-        F.struct(F.col("c_custkey").alias("leagueid"), F.col("c_name").alias("name"),
-                 F.col("c_mktsegment").alias("tier")).alias("league"),
-        F.struct(F.col("c_nationkey").alias("team_id"), F.col("c_acctbal").alias("rating")).alias("radiant_team"),
-    )
-    return flatten_structs(nested, ["league", "radiant_team"], keep=["match_id"])
+    """League, both teams and the struct with fields ``1`` to ``5`` of the
+    documents as columns (a document per match and part: first parts only
+    would be a cut, so every part is there)."""
+    _setup(spark, sf_dir, "lineitem", "orders", "customer")
+    return flatten_structs(match_documents(spark, sf_dir), ["league", "radiant_team", "dire_team", "picks"], keep=["match_id", "part"])
 
 
 def _mid_key(df, key):
@@ -194,14 +189,13 @@ def q_ingest_new(spark, sf_dir):
 
 
 def q_ingest_backfill(spark, sf_dir):
-    """Target holds ids from the middle up; one run backfills 31 pages of
-    100 ids below its min."""
+    """Target holds ids from the middle up; one run backfills all below its min."""
     _setup(spark, sf_dir, "orders")
     src = _orders_with_epoch(spark, sf_dir)
     cut = _mid_key(src, "o_orderkey")
     target = scratch_path(spark, "history_old")
     append_evolving(with_start_text(src.filter(F.col("o_orderkey") >= cut)), target)
-    ingest_backfill(spark, src, target, key="o_orderkey", pages=BACKFILL_PAGES, page_size=PAGE_SIZE)
+    ingest_backfill(spark, src, target, key="o_orderkey")
     return read_table(spark, target, merge_schema=True)
 
 
@@ -226,18 +220,18 @@ def q_ledger_append(spark, sf_dir):
 
 
 def q_full_load_once(spark, sf_dir):
-    """Nation landed as JSON; the first call loads the table, the second is
+    """Orders landed as JSON; the first call loads the table, the second is
     a no-op."""
-    _setup(spark, sf_dir, "nation")
-    n = load(spark, sf_dir, "nation")
+    _setup(spark, sf_dir, "orders")
+    o = load(spark, sf_dir, "orders")
     base = scratch_path(spark, "full_load")
-    land_json(n, f"{base}/raw")
+    land_json(o, f"{base}/raw")
     db = f"bronze_{uuid.uuid4().hex[:10]}"
-    first = load_bronze(spark, f"{base}/raw", n.schema, db, "nation", location=f"{base}/db", key="n_nationkey")
-    second = load_bronze(spark, f"{base}/raw", n.schema, db, "nation", location=f"{base}/db", key="n_nationkey")
+    first = load_bronze(spark, f"{base}/raw", o.schema, db, "orders", location=f"{base}/db", key="o_orderkey")
+    second = load_bronze(spark, f"{base}/raw", o.schema, db, "orders", location=f"{base}/db", key="o_orderkey")
     if not first or second:
         raise RuntimeError("full load must run once and then be a no-op")
-    return spark.table(f"`{db}`.`nation`")
+    return spark.table(f"`{db}`.`orders`")
 
 
 def _order_changes(o: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -257,37 +251,46 @@ def q_batch_upsert(spark, sf_dir):
 
 
 def q_stream_upsert(spark, sf_dir):
-    """Changes arrive as JSON files, two per micro-batch; each batch is
-    upserted into a snapshot store; the last snapshot is the table."""
+    """Changes arrive as JSON files in two landings, each drained by a run of
+    the stream on one checkpoint; every micro-batch rewrites the buckets of
+    its keys only."""
     _setup(spark, sf_dir, "orders")
     o = load(spark, sf_dir, "orders")
     old, changed = _order_changes(o)
     base = scratch_path(spark, "stream")
     store = SnapshotStore(spark, f"{base}/table")
-    store.write(old, 0)
-    land_json(changed.repartition(6, "o_orderkey"), f"{base}/incoming")
-    stream_upsert(spark, f"{base}/incoming", o.schema, store, f"{base}/_checkpoint",
-                  key="o_orderkey", max_files=2)
+    store.write(old, "o_orderkey")
+    late = F.col("o_orderdate") >= F.lit(SPLIT_DATE).cast(o.schema["o_orderdate"].dataType)
+    for landing in (changed.filter(~late), changed.filter(late)):
+        land_json(landing, f"{base}/incoming", mode="append")
+        stream_upsert(spark, f"{base}/incoming", o.schema, store, f"{base}/_checkpoint", key="o_orderkey")
     return store.read()
 
 
 def q_stream_bronze_players(spark, sf_dir):
     """The bronze path on nested documents: matches before the split date
-    are the loaded table; later matches (inserts) and re-sent finished ones
-    (updates with the same content) arrive as six JSON files, are streamed
-    three files per micro-batch under
-    the checked-in document schema and upserted by match id; the player
-    table is exploded from the last snapshot."""
+    are the loaded table; finished ones of them are sent again with changed
+    content (duration and every player's kills + 1) and later ones arrive
+    new, in two landings of JSON files. Each is streamed under the packaged
+    document schema and upserted by (match id, part); the player table is
+    exploded from the result."""
     _setup(spark, sf_dir, "lineitem", "orders", "customer")
-    docs = match_documents(spark, sf_dir)
-    split = F.unix_timestamp(F.lit(SPLIT_DATE).cast("timestamp"))
     base = scratch_path(spark, "stream_docs")
+    # the documents are used three times: nest them once
+    key = F.concat_ws("-", "match_id", "part")
+    match_documents(spark, sf_dir).withColumn("doc_key", key).write.parquet(f"{base}/documents")
+    docs = spark.read.parquet(f"{base}/documents")
+    new = F.col("start_time") >= F.unix_timestamp(F.lit(SPLIT_DATE).cast("timestamp"))
     store = SnapshotStore(spark, f"{base}/details")
-    store.write(docs.filter(F.col("start_time") < split), 0)
-    arriving = docs.filter((F.col("start_time") >= split) | F.col("radiant_win"))
-    land_json(arriving.repartition(6, "match_id"), f"{base}/raw")
-    stream_upsert(spark, f"{base}/raw", schema_from_json(MATCH_DOCUMENT_SCHEMA), store, f"{base}/_checkpoint",
-                  key="match_id", max_files=3)
+    store.write(docs.filter(~new), "doc_key")
+    sent_again = docs.filter(~new & F.col("radiant_win")).withColumns({
+        "duration_value": F.col("duration_value") + 1,
+        "players": F.transform("players", lambda p: p.withField("kills", p["kills"] + 1)),
+    })
+    schema = match_document_schema().add("doc_key", "string")
+    for landing in (sent_again, docs.filter(new)):
+        land_json(landing, f"{base}/raw", mode="append")
+        stream_upsert(spark, f"{base}/raw", schema, store, f"{base}/_checkpoint", key="doc_key")
     return explode_players(store.read())
 
 
@@ -296,12 +299,80 @@ def q_compact_table(spark, sf_dir):
     _setup(spark, sf_dir, "lineitem")
     li = load(spark, sf_dir, "lineitem")
     base = scratch_path(spark, "compact")
-    # small files without a shuffle: each writer task rolls a new file every 10k rows
-    li.write.option("maxRecordsPerFile", 10000).parquet(f"{base}/small")
-    compact_table(spark, f"{base}/small", f"{base}/compacted")
+    # small files without a shuffle: each writer task rolls a new file now and
+    # then, sized from the input so that the number of files does not grow with it
+    rows = max(1_000, li.count() // 48)
+    li.write.option("maxRecordsPerFile", rows).parquet(f"{base}/small")
+    files = compact_table(spark, f"{base}/small", f"{base}/compacted")
+    if files >= data_files(spark, f"{base}/small"):
+        raise RuntimeError("compaction left as many files as there were")
     return spark.read.parquet(f"{base}/compacted")
 
 
+def _player_table(spark, sf_dir) -> DataFrame:
+    """The real chain up to the stored player table: documents landed as
+    JSON, full load, players with the start as text and timestamp, in month
+    folders."""
+    _setup(spark, sf_dir, "lineitem", "orders", "customer")
+    base = scratch_path(spark, "chain")
+    land_json(match_documents(spark, sf_dir), f"{base}/raw")
+    db = f"chain_{uuid.uuid4().hex[:10]}"
+    load_bronze(spark, f"{base}/raw", match_document_schema(), db, "match_details", location=f"{base}/db")
+    return build_players(spark, db, "match_details", "match_players", ts_col="ts_match", day_col="mo_match", period="month")
+
+
+def q_bronze_features(spark, sf_dir):
+    """Player features from the stored player table: the window reads its
+    months' folders only, the lifetime comes from a first-seen table kept up
+    to date from the rows after the split date."""
+    players = _player_table(spark, sf_dir)
+    split = F.lit(SPLIT_DATE).cast("timestamp")
+    seen = entity_first_seen(players.filter(F.col("ts_match") < split), ts="ts_match")
+    seen = merge_first_seen(seen, players.filter(F.col("ts_match") >= split), ts="ts_match")
+    return entity_features(players, ts="ts_match", measures=oracle.CHAIN_MEASURES, ref=REF, day_col="mo_match", period="month", first_seen=seen)
+
+
+def q_bronze_draft(spark, sf_dir):
+    """The draft matrix from the stored player table, months pruned."""
+    return draft_onehot(_player_table(spark, sf_dir), side="isRadiant", ts="ts_match", ref=REF, day_col="mo_match", period="month")
+
+
+def q_pending_matches(spark, sf_dir):
+    """The backlog as the job runs it: a stored listing table against the
+    ledger of processed ids; the ids found are then fetched and entered, after
+    which nothing is pending. Returns the ids that were."""
+    _setup(spark, sf_dir, "orders", "lineitem")
+    base = scratch_path(spark, "pending")
+    append_evolving(_listing(spark, sf_dir), f"{base}/history")
+    ledger_append(_done(spark, sf_dir).distinct(), f"{base}/ledger")
+    pending_matches(spark, f"{base}/history", f"{base}/ledger").write.parquet(f"{base}/batch")
+    batch = spark.read.parquet(f"{base}/batch")
+    ledger_append(batch, f"{base}/ledger")
+    if pending_matches(spark, f"{base}/history", f"{base}/ledger").limit(1).count():
+        raise RuntimeError("ids stay pending after they were entered")
+    return batch
+
+
+def q_ingest_modes(spark, sf_dir):
+    """Target holds the ids around the middle; a run in mode ``new`` and one in
+    mode ``history`` complete it."""
+    _setup(spark, sf_dir, "orders")
+    src = _orders_with_epoch(spark, sf_dir)
+    mid = _mid_key(src, "o_orderkey")
+    target = scratch_path(spark, "history_modes")
+    append_evolving(with_start_text(src.filter(F.col("o_orderkey").between(mid // 2, mid))), target)
+    for mode in ("new", "history"):
+        ingest(spark, src, target, mode=mode, key="o_orderkey")
+    return read_table(spark, target, merge_schema=True)
+
+
+def q_sql_views(spark, sf_dir):
+    """Tables registered as temporary views and queried as SQL text."""
+    _setup(spark, sf_dir, "orders", "customer")
+    register_views(spark, sf_dir, "orders", "customer")
+    return spark.sql(oracle.VIEW_SQL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "player_features": q_player_features,
     "player_lifetime": q_player_lifetime,
@@ -328,6 +399,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_upsert": q_stream_upsert,
     "stream_bronze_players": q_stream_bronze_players,
     "compact_table": q_compact_table,
+    "bronze_features": q_bronze_features,
+    "bronze_draft": q_bronze_draft,
+    "pending_matches": q_pending_matches,
+    "ingest_modes": q_ingest_modes,
+    "sql_views": q_sql_views,
 }
 
 ORACLE: dict[str, str] = oracle.all_sql(

@@ -121,7 +121,7 @@ def entity_features(
     ref: str | _dt.date | _dt.datetime | None = None,
     months: int = 6,
     history: DataFrame | None = None,
-    calendar_months: bool | None = None,
+    calendar_months: bool = False,
     day_col: str | None = None,
     first_seen: DataFrame | None = None,
     period: str = "day",
@@ -129,8 +129,8 @@ def entity_features(
     """The feature table; ``history`` (default ``df``) feeds the lifetime.
 
     Distinct months are months of the year (``month(ts)``, no year) as in
-    the SQL, which is exact for windows under 12 months. With
-    ``calendar_months`` (default: ``months >= 12``) they are calendar months
+    the SQL, which folds years together in windows of 12 months and more. With
+    ``calendar_months`` they are calendar months
     (year and month), counted from distinct (entity, month) pairs fed into
     the same aggregation. ``day_col``: a DATE partition
     column equal to ``DATE(ts)``, used to prune partitions outside the
@@ -138,8 +138,6 @@ def entity_features(
     :func:`merge_first_seen`) replaces the whole-history scan of the
     lifetime side with a one-row-per-entity table."""
     ref_ts = as_reference(ref)
-    if calendar_months is None:
-        calendar_months = months >= 12
     history = df if history is None else history
 
     window = df.filter(

@@ -24,7 +24,7 @@ PLAYER_COLUMNS = [
     ("account_id", "o.o_custkey"),
     ("player_slot", "CAST(l.l_linenumber AS BIGINT)"),
     ("lane_role", "CAST(l.l_linenumber AS BIGINT)"),
-    ("hero_id", "l.l_suppkey"),
+    ("hero_id", "l.l_partkey % 138 + 1"),
     ("is_side_a", "l.l_linestatus = 'O'"),
     ("side_a_win", "o.o_orderstatus = 'F'"),
     ("win", "CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END"),
@@ -68,7 +68,7 @@ PLAYER_FIELDS = [
     ("match_id", "l_orderkey"),
     ("player_slot", "CAST(l_linenumber AS BIGINT)"),
     ("account_id", "o_custkey"),
-    ("hero_id", "l_suppkey"),
+    ("hero_id", "l_partkey % 138 + 1"),
     ("lane_role", "CAST(l_linenumber AS BIGINT)"),
     ("isRadiant", "l_linestatus = 'O'"),
     ("radiant_win", "o_orderstatus = 'F'"),
@@ -80,25 +80,27 @@ PLAYER_FIELDS = [
 ]
 
 
-def match_documents(spark: SparkSession, sf_dir: str, max_players: int = 64) -> DataFrame:
-    """Nested match documents: order fields + ``league`` struct from the
-    customer + ``players`` array of its lines.
+# Players that one document holds at most: a longer match comes in parts.
+PLAYERS_PER_PART = 64
+PART_SQL = f"CAST(FLOOR((l_linenumber - 1) / {PLAYERS_PER_PART}.0) AS BIGINT)"
 
-    Lines are nested through :func:`nest_rows`, which splits a group into
-    documents of at most ``max_players`` elements, so one hot order cannot
-    build an unbounded array in one task.
+
+def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested match documents: order fields, structs from the customer (the
+    league, both teams, and one with fields named ``1`` to ``5``) and the
+    ``players`` array of the order's lines.
+
+    A document's key is (match_id, part): the part is a block of the line
+    number, so a match of any length becomes documents of bounded size, by
+    the same rule for all.
     """
-    # a stable per-row id taken at the scan, before any shuffle
-    li = load(spark, sf_dir, "lineitem").withColumn("_rid", F.monotonically_increasing_id())
     o = load(spark, sf_dir, "orders")
     c = load(spark, sf_dir, "customer")
-    lines = li.join(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"),
-                    li.l_orderkey == o.o_orderkey, "inner")
+    lines = load(spark, sf_dir, "lineitem").join(
+        o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     fields = ", ".join(f"{expr} AS {name}" for name, expr in PLAYER_FIELDS)
-    players = lines.selectExpr("l_orderkey AS match_id", f"struct({fields}) AS player", "_rid")
-    nested = nest_rows(players, key="match_id", item="player", array="players",
-                       max_items=max_players, tiebreak="_rid",
-                       count_from=li.select(F.col("l_orderkey").alias("match_id")))
+    players = lines.selectExpr("l_orderkey AS match_id", f"{PART_SQL} AS part", f"struct({fields}) AS player")
+    nested = nest_rows(players, key="match_id", part="part", item="player", array="players")
     head = o.join(c, o.o_custkey == c.c_custkey, "left").selectExpr(
         "o_orderkey AS match_id",
         "unix_timestamp(CAST(o_orderdate AS TIMESTAMP)) AS start_time",
@@ -106,7 +108,10 @@ def match_documents(spark: SparkSession, sf_dir: str, max_players: int = 64) ->
         "o_totalprice AS duration_value",
         "o_orderpriority AS patch_name",
         "struct(c_custkey AS leagueid, c_name AS name, c_mktsegment AS tier) AS league",
+        "struct(CAST(c_nationkey AS BIGINT) AS team_id, c_acctbal AS rating) AS radiant_team",
+        "struct(o_custkey AS team_id, o_totalprice AS rating) AS dire_team",
+        "named_struct('1', o_orderpriority, '2', o_orderstatus, '3', c_mktsegment, '4', c_name, '5', CAST(c_nationkey AS STRING)) AS picks",
     )
     # orders without lines keep a NULL players array, like a document
     # that lacks the key
-    return head.join(nested, "match_id", "left")
+    return head.join(nested, "match_id", "left").withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))

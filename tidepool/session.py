@@ -2,14 +2,15 @@
 
 Jobs never pick a machine-local folder on their own: every sink that is not
 given an explicit path goes under the folder named by ``spark.checkpoint.dir``
-(the shared folder of the cluster). Only when that setting is unset -- local
-runs and tests -- a temporary folder is created and registered as the
-checkpoint dir, so later calls in the same session agree on it.
+(the shared folder of the cluster). Only in a local session without that
+setting -- tests -- a temporary folder is created and registered as the
+checkpoint dir, so later calls in the same session agree on it; on a cluster
+an unset folder is an error, since executors could not see a local one.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -34,10 +35,8 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 
-# Bytes of input per initial shuffle partition, and the most partitions a
-# single shuffle starts with (AQE coalesces from there).
+# Bytes of input per initial shuffle partition (AQE coalesces from there).
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-MAX_INITIAL_PARTITIONS = 32768
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -68,7 +67,7 @@ def size_for_input(spark: SparkSession, input_bytes: int) -> int:
     than the session's own setting. Returns the initial partition count."""
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = -(-int(input_bytes) // BYTES_PER_SHUFFLE_PARTITION)
-    n = max(current, min(wanted, MAX_INITIAL_PARTITIONS))
+    n = max(current, wanted)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n
 
@@ -93,7 +92,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Read from the session; a temporary folder is set only when none is
-    configured (local runs and tests).
+    configured and the master is local. Elsewhere a missing setting raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -101,6 +100,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidepool-ckpt-")
     sc.setCheckpointDir(configured)
     # setCheckpointDir adds a per-application subfolder; use what Spark chose
@@ -113,10 +114,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tidepool/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can open the path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file on whatever file system the path names."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, body: str) -> None:
+    """Write a small text file; readers see the old or the new one, whole."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+    out = fs.create(part, True)
+    out.write(bytearray(body.encode("utf-8")))
+    out.close()
+    if fs.exists(hpath):
+        fs.delete(hpath, False)
+    if not fs.rename(part, hpath):
+        raise OSError(f"could not write {path}")

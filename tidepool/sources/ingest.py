@@ -12,16 +12,12 @@ from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.functions.time import epoch_to_string
 from tidepool.operators.backlog import id_cursor
 from tidepool.session import path_exists
-from tidepool.sources.tables import append_evolving, read_table
-
-# Pages taken by one backfill run (a first page plus 30).
-BACKFILL_PAGES = 31
-# Rows per listing page.
-PAGE_SIZE = 100
+from tidepool.sources.tables import append_evolving
 
 
 def with_start_text(df: DataFrame, start: str = "start_time", name: str = "td_start") -> DataFrame:
@@ -29,11 +25,14 @@ def with_start_text(df: DataFrame, start: str = "start_time", name: str = "td_st
     return df.withColumn(name, epoch_to_string(F.col(start)))
 
 
-def read_cursor(spark: SparkSession, target: str, key: str) -> tuple:
-    """(min, max) of the key in the target; (None, None) if it is empty or missing."""
+def read_cursor(spark: SparkSession, target: str, key: str, key_type: T.DataType | None = None) -> tuple:
+    """(min, max) of the key in the target; (None, None) if it is missing or
+    holds no rows. The scan has a schema of that one column, so no file's
+    footer is read to find one and an empty folder is no error."""
     if not path_exists(spark, target):  # nothing ingested yet
         return None, None
-    row = id_cursor(read_table(spark, target, merge_schema=True), key).first()
+    schema = T.StructType([T.StructField(key, key_type or T.LongType())])
+    row = id_cursor(spark.read.schema(schema).parquet(target), key).first()
     return (row["min_id"], row["max_id"]) if row else (None, None)
 
 
@@ -43,7 +42,7 @@ def ingest_new(spark: SparkSession, source: DataFrame, target: str, key: str = "
 
     The cursor is read before anything is written, so a run takes all new
     rows, not one page. Returns the appended rows (lazily)."""
-    _, max_id = read_cursor(spark, target, key)
+    _, max_id = read_cursor(spark, target, key, source.schema[key].dataType)
     new = source if max_id is None else source.filter(F.col(key) > F.lit(max_id))
     new = with_start_text(new, start)
     append_evolving(new, target)
@@ -51,14 +50,15 @@ def ingest_new(spark: SparkSession, source: DataFrame, target: str, key: str = "
 
 
 def ingest_backfill(spark: SparkSession, source: DataFrame, target: str, key: str = "match_id",
-                    start: str = "start_time", pages: int = BACKFILL_PAGES,
-                    page_size: int = PAGE_SIZE) -> DataFrame:
-    """Append the ``pages * page_size`` source rows just below the target's
-    min id, newest first (a bounded top-k; the limit is the feature)."""
-    min_id, _ = read_cursor(spark, target, key)
+                    start: str = "start_time", rows: int | None = None) -> DataFrame:
+    """Append every source row below the target's min id: one filtered scan,
+    no sort. ``rows`` takes only so many of them, newest first (a trial run;
+    the chosen rows meet in one task)."""
+    min_id, _ = read_cursor(spark, target, key, source.schema[key].dataType)
     older = source if min_id is None else source.filter(F.col(key) < F.lit(min_id))
-    page = older.orderBy(F.col(key).desc()).limit(pages * page_size)
-    page = with_start_text(page, start)
+    if rows is not None:
+        older = older.orderBy(F.col(key).desc()).limit(rows)
+    page = with_start_text(older, start)
     append_evolving(page, target)
     return page
 

@@ -11,48 +11,31 @@ payload filter on the key removes.
 from __future__ import annotations
 
 import json
-import os
+from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.session import local_path
+from tidepool.session import read_text, write_text
 
 
-# Fixed schema of the stand-in match documents (see plans/standin.py).
-MATCH_DOCUMENT_SCHEMA = os.path.join(os.path.dirname(os.path.abspath(__file__)), "schemas", "match_document.json")
-
-
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def match_document_schema() -> T.StructType:
+    """Fixed schema of the stand-in match documents (see plans/standin.py),
+    shipped with the package."""
+    text = resources.files("tidepool.sources").joinpath("schemas/match_document.json").read_text()
+    return T.StructType.fromJson(json.loads(text))
 
 
-def schema_from_json(path: str, spark: SparkSession | None = None) -> T.StructType:
-    """Load a ``StructType`` saved as JSON (``schema.json()``). Local paths
-    are opened directly; other file systems are read through Spark."""
-    if _is_local(path) or spark is None:
-        with open(local_path(path)) as fh:
-            return T.StructType.fromJson(json.load(fh))
-    text = spark.read.text(path, wholetext=True).first()[0]
-    return T.StructType.fromJson(json.loads(text))
+def schema_from_json(path: str, spark: SparkSession) -> T.StructType:
+    """Load a ``StructType`` saved as JSON (``schema.json()``) from the file
+    system that the path names."""
+    return T.StructType.fromJson(json.loads(read_text(spark, path)))
 
 
-def schema_to_json(schema: T.StructType, path: str, spark: SparkSession | None = None) -> None:
+def schema_to_json(schema: T.StructType, path: str, spark: SparkSession) -> None:
     """Save a schema as JSON next to the data it describes."""
-    body = json.dumps(schema.jsonValue(), indent=1)
-    if _is_local(path) or spark is None:
-        p = local_path(path)
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-        with open(p, "w") as fh:
-            fh.write(body)
-        return
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = fs.create(hpath, True)
-    out.write(bytearray(body.encode("utf-8")))
-    out.close()
+    write_text(spark, path, json.dumps(schema.jsonValue(), indent=1))
 
 
 def read_json_docs(

@@ -6,7 +6,12 @@ Tables are parquet directories or catalog tables. Scans go through
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tidepool.session import path_exists, read_text, write_text
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -31,11 +36,26 @@ def append_evolving(df: DataFrame, path: str) -> None:
     """Append rows whose columns may be a superset of the table's.
 
     Parquet keeps each file's own schema; readers pass ``merge_schema=True``
-    and older rows read NULL in new columns. Types of existing columns must
-    not change. The write is distributed (no ``coalesce(1)``); small files are
-    the job of :func:`tidepool.sources.maintain.compact_table`.
+    and older rows read NULL in new columns. A column that comes with another
+    type raises before anything is written: every later merged read would
+    fail. The merged schema is kept beside the data (``_schema.json``), so
+    the check reads no footers. The write is distributed; small files are the
+    job of :func:`tidepool.sources.maintain.compact_table`.
     """
+    spark, note = df.sparkSession, f"{path.rstrip('/')}/_schema.json"
+    known: dict[str, T.StructField] = {}
+    if path_exists(spark, note):
+        known = {f.name: f for f in T.StructType.fromJson(json.loads(read_text(spark, note))).fields}
+    elif path_exists(spark, path) and (old := spark.read.schema("_none INT").parquet(path)).inputFiles():
+        known = {f.name: f for f in read_table(spark, path, merge_schema=True).schema.fields}
+        del old
+    for f in df.schema.fields:
+        if f.name in known and known[f.name].dataType != f.dataType:
+            raise TypeError(f"column {f.name} is {known[f.name].dataType.simpleString()} in {path}, not {f.dataType.simpleString()}")
     df.write.mode("append").parquet(path)
+    new = [f for f in df.schema.fields if f.name not in known]
+    if new:
+        write_text(spark, note, T.StructType([*known.values(), *new]).json())
 
 
 def ledger_append(ids: DataFrame, path: str, key: str = "match_id") -> None:
@@ -64,9 +84,15 @@ def table_exists(spark: SparkSession, database: str, table: str) -> bool:
 
 def replace_table(df: DataFrame, database: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
     """Drop and recreate a catalog table from a query (CTAS), optionally
-    partitioned (e.g. by day, so dated queries prune whole folders)."""
+    partitioned (e.g. by day, so dated queries prune whole folders).
+
+    A partitioned write is rebalanced on the partition columns first: a
+    folder gets its rows from one task, or a few if it is large, instead of
+    one small file from every task."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -87,14 +113,18 @@ def full_load_once(
     return True
 
 
+def register_views(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    """Temporary views over tables by path, for queries written as SQL."""
+    for name in names:
+        load(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
 def rows_frame(spark: SparkSession, rows: list[dict], schema) -> DataFrame:
     """Small driver-side records (an API page, a test case) as a DataFrame
     under an explicit schema (``StructType`` or DDL text): inference would
     fail on int/float mixes and on keys that are NULL in every record.
     Integers in floating-point fields are widened, missing keys read as
     NULL, unknown keys are dropped. For bulk data read files instead."""
-    from pyspark.sql import types as T
-
     struct = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
     floating = {f.name for f in struct.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
 

@@ -40,6 +40,7 @@ def stream_upsert(
     timeout_s: float | None = None,
     run_for_s: float | None = None,
     interval: str = "10 seconds",
+    keep: int | None = 3,
 ):
     """Run the stream.
 
@@ -50,16 +51,22 @@ def stream_upsert(
       still available and stops (the reference's bounded run); without it
       the running query is returned to the caller.
 
+    A snapshot store keeps its newest ``keep`` versions (None: all), so its
+    size does not grow with the number of batches.
+
     Returns the ``StreamingQuery``."""
     docs = json_stream(spark, source_dir, schema, max_files).filter(F.col(key).isNotNull())
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # the batch is read more than once (duplicate check, upsert): keep
+        # the batch is read more than once (touched buckets, upsert): keep
         # the parsed rows instead of parsing the JSON files again; a lost
         # executor only means those blocks are recomputed from the files
         batch = batch.persist()
         try:
-            store.apply_batch(batch, batch_id, key, order_col)
+            query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+            store.apply_batch(batch, batch_id, key, order_col, query_id=query_id)
+            if keep and isinstance(store, SnapshotStore):
+                store.prune(keep)
         finally:
             batch.unpersist()
 
