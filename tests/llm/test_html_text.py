@@ -1,0 +1,67 @@
+import html
+import re
+
+from llm_data import SMALL
+from tidepool.llm import html_text
+from tidepool.llm.queries import QUERIES
+
+PAGES = "page_id long, url string, html string"
+
+
+def test_article_without_what_surrounds_it():
+    page = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body>
+      <header><h1>Site</h1><a href=/>Home</a></header><nav><ul><li><a>One</a></ul></nav>
+      <div class="cookie-notice">We use cookies, please accept.</div>
+      <main><article><h1>A  title</h1><p>First, a <b>bold</b>&nbsp;word &amp; more.</p><p>Short</p>
+      <div class=ad>Buy now, it is cheap.</div><ul><li>one<li>two</ul><pre>a
+      b</pre><form><input><label>Name</label></form><script>var x="</p>";</script></article>
+      <section id="comments"><p>I think, as a reader, that this is a long comment, really long.</p></section></main>
+      <aside>Related, things.</aside><footer>&copy; us</footer></body></html>"""
+    assert html_text.main_text(page) == "A title\nFirst, a bold word & more.\nShort\none\ntwo\na b"
+
+
+def test_pages_without_an_article_element():
+    page = ("<body><div class='top-menu'><a href=1>Home</a> <a href=2>News</a></div><div id=content><h1>Title</h1>"
+            "<p>One long sentence, with words. And more of it, and still more text here.</p><p>Another one, with some more words in it. Yes.</p>"
+            "<p>Short</p></div><div class='comments'><p>I like it, really, a lot of long text here, more than the rest of all!</p></div>"
+            "<div class=sidebar>Links</div></body>")
+    assert html_text.main_text(page) == ("Title\nOne long sentence, with words. And more of it, and still more text here.\n"
+                                         "Another one, with some more words in it. Yes.\nShort")
+
+
+def test_path_ratios_prefer_long_punctuated_paths():
+    nodes = html_text.leaves("<div><p>" + "</p><p>".join(["A sentence, with a mark. And one more."] * 6) + "</p></div><ul><li>a</li><li>b</li><li>c</li></ul>")
+    score = html_text.ratios(nodes)
+    assert min(score[:5]) > max(score[-2:])
+
+
+def test_broken_and_odd_pages():
+    cases = {None: "", "": "", "   ": "", "just text &amp; more": "just text & more", "<p>a<p>b<script>x": "a\nb", "<!-- only": "",
+             "<p>x &lt; y</p>": "x < y", "a <br> b": "a b", "<p title='a>b'>c</p>": "c", "<p title='open>c</p>": "c", "<P>UP</P>": "UP",
+             "<nav>menu</nav>": "", "<p>1 < 2 and 3</p>": "1 < 2 and 3", "<article></article>": "", "<div class=sidebar><p>All there is, really.</p></div>": "All there is, really."}
+    for page, want in cases.items():
+        assert html_text.main_text(page) == want, page
+    assert html_text.main_text("<article>" + "<div>" * 3000 + "deep, text." + "</div>" * 3000 + "</article>") == "deep, text."
+    assert len(html_text.main_text("<article><p>" + "word, " * 200_000 + "</p></article>")) == 6 * 200_000 - 1
+
+
+def truth(page):
+    a = page[page.index("<article>") + 9 : page.index("</article>")]
+    a = re.sub(r"</?(p|h1)\b[^>]*>", "\0", a).replace("<br>", " ")
+    blocks = (" ".join(html.unescape(b).split()) for b in re.sub(r"</?[a-z][^>]*>", "", a).split("\0"))
+    return "\n".join(b for b in blocks if b)
+
+
+def test_query_equals_the_articles_of_the_given_pages(spark):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+    rows = QUERIES["op8_html_text"](spark, SMALL).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        assert r["text"] == truth(pages[r["page_id"]]["html"]) and r["n_chars"] == len(r["text"]) and r["url"] == pages[r["page_id"]]["url"]
+
+
+def test_nulls_repeats_empty_table(spark):
+    df = spark.createDataFrame([(1, None, None), (1, None, None), (None, "u", "<p>a</p>")], PAGES).selectExpr("*", "1 AS text", "2 AS n_chars")
+    rows = sorted((r["text"], r["n_chars"]) for r in html_text.page_texts(df).collect())
+    assert rows == [("", 0), ("", 0), ("a", 1)]
+    assert html_text.page_texts(df.filter("false")).collect() == []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rows_of(df: DataFrame, **more: Column) -> DataFrame:
+    """Every row of ``df`` as one struct ``_row``, plus the given columns: none
+    of its columns can clash with theirs. ``select("_row.*")`` gives it back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(n) for n, c in more.items()])
+
+
+def smallest(df: DataFrame, by: str, order: str, k: int) -> DataFrame:
+    """At most ``k`` rows of each value of ``by``, those with the smallest
+    ``order`` (a 64-bit hash). Rows whose hash cannot be among them are dropped
+    first, by the counts of the values, so that about 2 * k rows of a value
+    meet in one task, however many it has."""
+    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    near = df.join(counts, by).where(F.pmod(F.col(order), F.lit(1_000_000)) < F.ceil(F.lit(2_000_000.0 * k) / F.col("_n")))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.pmod(F.col(order), F.lit(1_000_000)), order))
+    return near.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r", "_n")
+
+
 def free_name(taken: Sequence[str], name: str) -> str:
     """A column name that does not clash (case-insensitively) with ``taken``."""
     low = {c.lower() for c in taken}

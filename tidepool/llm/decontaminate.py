@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import whole_text
+from tidepool.llm.common import rows_of, whole_text
 
 #: '1': the token counts, '0': it is ignored.
 MASKS = ("11011011", "11100111", "10110111", "11101011", "111111")
@@ -218,6 +218,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """``docs`` without the rows that repeat a benchmark passage."""
-    taken = [f"`{c}`" for c in docs.columns]
-    out = "_overlaps"
-    return with_overlaps(docs, benchmark, text_col, item_col, out=out).where(F.size(out) == 0).select(*taken)
+    found = with_overlaps(rows_of(docs, _text=F.col(f"`{text_col}`")), benchmark, "_text", item_col, out="_overlaps")
+    return found.where(F.size("_overlaps") == 0).select("_row.*")

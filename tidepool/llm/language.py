@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import held_out, with_struct
+from tidepool.llm.common import held_out, rows_of, smallest, with_struct
 
 UND = "und"
 ORDERS = (3, 4)
@@ -128,12 +128,10 @@ def places(h: np.ndarray, slots: int) -> list[np.ndarray]:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
-    """At most ``per_language`` fit rows per language (lang, text). The ranks
-    are cut per task before the shuffle, so a hot language is no hot task."""
+    """At most about ``per_language`` fit rows per language (lang, text)."""
     fit = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col)).alias("_h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "_id"))
-    ids = fit.withColumn("_r", rank).where(F.col("_r") <= per_language).select("_id").distinct()
+    ids = smallest(fit, "lang", "_h", per_language).select("_id").distinct()
     # at most per_language ids for each language: small enough to broadcast
     texts = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     return texts.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).join(F.broadcast(ids), "_id", "left_semi").select("lang", "text")
@@ -202,6 +200,6 @@ def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` without texts that have no letter or look like none of the
     learned languages."""
     model = fit(docs, id_col, text_col, lang_col)
-    judged = with_language(docs.withColumn("_text", F.col(text_col)).select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), "_text"), model, "_text")
+    judged = with_language(rows_of(docs, _text=F.col(f"`{text_col}`")), model, "_text")
     known = (F.col("lang_pred") != UND) & ((F.col("coverage") >= LEAST_COVERAGE) | (F.col("n_grams") < FEW_GRAMS))
     return judged.where(known).select("_row.*")

@@ -28,7 +28,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import whole_text
+from tidepool.llm.common import rows_of, whole_text
 
 #: Index words of each template.
 ANCHORS = 2
@@ -143,9 +143,8 @@ def scan(df: DataFrame, text_col: str = "text", base: tuple[Template, ...] = BAS
                            "phrases:array<struct<q:int,w:array<string>>>,words:array<struct<q:int,w:string,idf:double>>>>")
     rare = sorted(index)
 
-    taken = [*df.columns]
-    text = whole_text(text_col)
-    seen = df.withColumn("_lower", lower_words(text))
+    text = F.col("_text")
+    seen = rows_of(df, _text=whole_text(text_col)).withColumn("_lower", lower_words(text))
     seen = seen.withColumn("n_words", F.size("_lower").cast("long")).withColumn(
         "_words", F.when(F.exists("_lower", lambda w: w.isin(*rare)), exact_words(text)))
 
@@ -178,7 +177,8 @@ def scan(df: DataFrame, text_col: str = "text", base: tuple[Template, ...] = BAS
 
     found = seen.withColumn("_starts", F.transform(codes, start_of)).withColumn(
         "matches", F.coalesce(F.transform(F.filter("_starts", verified), told), F.array().cast("array<struct<label:string,base:boolean,word:bigint,score:double>>")))
-    return found.select(*[f"`{c}`" for c in taken if c not in ("n_words", "matches")], "n_words", "matches")
+    kept = [F.col("_row")[c].alias(c) for c in df.columns if c.lower() not in ("n_words", "matches")]
+    return found.select(*kept, "n_words", "matches")
 
 
 def license_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import whole_text, with_struct, written
+from tidepool.llm.common import rows_of, whole_text, with_struct, written
 
 SHINGLE = 5
 PERCENT = 85
@@ -330,14 +330,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     if not again.limit(1).count():
         return _without(docs, gone, id_col)
     single = _without(docs, gone.union(again), id_col)
-    twice = _without(docs, gone, id_col).join(again.select(F.col("doc_id").alias(_ID)), F.col(f"`{id_col}`") == F.col(_ID), "left_semi")
-    row = F.struct(*[f"`{c}`" for c in docs.columns])
-    best = twice.groupBy(F.col(f"`{id_col}`").alias(_ID)).agg(F.max_by(row, F.coalesce(F.length(F.col(f"`{text_col}`")), F.lit(-1))).alias("_row"))
+    twice = rows_of(docs, _id=F.col(f"`{id_col}`"), _text=F.col(f"`{text_col}`")).join(
+        again.join(gone, "doc_id", "left_anti").withColumnRenamed("doc_id", "_id"), "_id", "left_semi")
+    best = twice.groupBy("_id").agg(F.max_by("_row", F.coalesce(F.length("_text"), F.lit(-1))).alias("_row"))
     return single.unionByName(best.select("_row.*"))
 
 
-_ID = "_dedup_id"
-
-
 def _without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    return docs.join(ids.select(F.col("doc_id").alias(_ID)), F.col(f"`{id_col}`") == F.col(_ID), "left_anti")
+    gone = ids.select(F.col("doc_id").alias("_id"))
+    return rows_of(docs, _id=F.col(f"`{id_col}`").cast("long")).join(gone, "_id", "left_anti").select("_row.*")

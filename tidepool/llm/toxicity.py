@@ -8,7 +8,7 @@ between a text and its counterfactuals. A word that only names a group thus
 keeps the same small weight as the other names of its group, and neutral
 mentions do not raise the score.
 
-Fit: from at most SAMPLE_PER_CLASS labelled rows of each class that are not
+Fit: from at most about SAMPLE_PER_CLASS labelled rows of each class that are not
 held out (the smallest hashes of the id; a documented bound), whole texts.
 Features are counted in Spark; those whose log-odds differ from 0 by at least
 LEAST_Z standard errors are kept, at most FEATURES of them (the model's
@@ -17,7 +17,8 @@ size). Their rows in the sample are what the driver fits on.
 Defined cases: null and empty texts score the intercept (as do texts without
 any feature); without labelled rows of both classes every score is the share
 of toxic rows, or 0.0; a document labelled more than once counts as toxic if
-any label says so; null labels are ignored; repeated rows are scored each for
+any label says so; rows that share an id are one labelled row with the words
+of all; null labels are ignored; repeated rows are scored each for
 themselves; an empty table gives an empty table.
 """
 
@@ -30,10 +31,10 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import held_out, written
+from tidepool.llm.common import held_out, rows_of, smallest, written
 
 SAMPLE_PER_CLASS = 12_000
 FEATURES = 4_000
@@ -94,21 +95,24 @@ class Model(NamedTuple):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per_class: int) -> DataFrame:
-    """(toxic, words) of the sampled rows. Ranks are cut per task before the
-    shuffle; the ids that come back are bounded by 2 * per_class."""
+    """(toxic, words) of at most about ``per_class`` labelled documents of each
+    class, one row for each id. The sampled ids are few enough to broadcast,
+    so no text is shuffled to find them."""
     one = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("_id")).agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
-    known = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("_id")).join(one, "_id").distinct()
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("_id"), "_id"))
-    ids = known.withColumn("_r", rank).where(F.col("_r") <= per_class).select("_id", "toxic")
+    known = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("_id")).distinct().join(one, "_id")
+    ids = smallest(known.withColumn("_h", F.xxhash64("_id")), "toxic", "_h", per_class).select("_id", "toxic")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic, texts = (batch.column(k).to_pylist() for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array([sorted(words(t)) for t in texts], pa.list_(pa.string()))], ["toxic", "words"])
+            ids, toxic, texts = (batch.column(k) for k in range(3))
+            found = pa.array([sorted(words(t)) for t in texts.to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([ids, toxic, found], ["_id", "toxic", "words"])
 
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(ids), "_id").select("toxic", "text").mapInArrow(split, "toxic int, words array<string>")
+    id_type = texts.schema["_id"].dataType.simpleString()
+    found = texts.join(F.broadcast(ids), "_id").select("_id", "toxic", "text").mapInArrow(split, f"_id {id_type}, toxic int, words array<string>")
+    return found.groupBy("_id").agg(F.max("toxic").alias("toxic"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("words")))).alias("words")).drop("_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> Model:
@@ -228,5 +232,5 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def keep_civil(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
     model = fit(docs, labels, id_col, text_col)
-    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"), F.col(text_col).alias("_text"))
+    rows = rows_of(docs, _text=F.col(f"`{text_col}`"))
     return with_toxicity(rows, model, "_text", "_score").where(F.col("_score") < threshold).select("_row.*")
