@@ -34,6 +34,16 @@ def changed(text, share, seed):
     return " ".join(ws)
 
 
+def test_masks_lose_no_overlap():
+    from itertools import combinations
+
+    masks = [decontaminate.offsets(m) for m in decontaminate.MASKS]
+    for length in range(decontaminate.MIN_TOKENS, decontaminate.WINDOW + 1):
+        w, least = decontaminate.need(length)
+        for bad in combinations(range(w), w - least):
+            assert any(not set(bad) & {p + o for o in m} for m in masks for p in range(w - m[-1]))
+
+
 def test_planted_passages_are_found_and_clean_texts_are_not(spark):
     items = [(k, prose(7000 + k, 30)) for k in range(12)]
     texts, want = [], set()

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import decontaminate, html_text, language, licenses, near_dedup, pieces, quality, sharding, token_counts, toxicity
+from tidepool.llm import decontaminate, html_text, language, licenses, near_dedup, oracle, pieces, quality, sharding, token_counts, toxicity
 from tidepool.llm.common import read
 
 
@@ -67,4 +67,4 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.all_sql()
