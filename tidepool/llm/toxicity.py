@@ -10,8 +10,8 @@ mentions do not raise the score.
 
 Fit: from at most about SAMPLE_PER_CLASS labelled rows of each class that are not
 held out (the smallest hashes of the id; a documented bound), whole texts.
-Features are counted in Spark; those whose log-odds differ from 0 by at least
-LEAST_Z standard errors are kept, at most FEATURES of them (the model's
+Features are counted in Spark; those whose counts in the two classes differ by
+a likelihood ratio of at least LEAST_Z standard errors are kept, at most FEATURES of them (the model's
 size). Their rows in the sample are what the driver fits on.
 
 Defined cases: null and empty texts score the intercept (as do texts without
@@ -43,8 +43,8 @@ LEAST_Z = 4.0
 #: Lengths of the word beginnings that count besides the whole word.
 BEGINNINGS = (4, 5, 6)
 PENALTY = 4.0
-RIDGE = 2e-4
-STEPS = 600
+RIDGE = 5e-5
+STEPS = 800
 #: Words whose features a worker remembers.
 CACHE_ENTRIES = 300_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -140,12 +140,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield flush()
 
     per = rows.mapInArrow(count, "f string, good long, bad long").groupBy("f").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    a, b, c, d = F.col("bad") + 0.5, F.col("good") + 0.5, F.lit(bad + 0.5) - F.col("bad"), F.lit(good + 0.5) - F.col("good")
-    z = F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    telling = per.where(F.col("good") + F.col("bad") >= LEAST_ROWS).withColumn("z", z).where(F.abs("z") >= LEAST_Z)
-    kept = [r["f"] for r in telling.orderBy(F.desc(F.abs("z")), "f").limit(FEATURES).select("f").collect()]
-    terms = sorted({f for term in SWAPS for f in features_of(term)})
-    names = sorted({*kept, *terms})
+    # likelihood ratio of the feature's two-by-two table
+    x, y = F.col("bad").cast("double"), F.col("good").cast("double")
+    row, off = x + y, F.lit(float(bad + good)) - x - y
+    cells = ((x, row * bad), (y, row * good), (bad - x, off * bad), (good - y, off * good))
+    ratio = sum((F.when(o > 0, o * F.log(o * (bad + good) / e)).otherwise(0.0) for o, e in cells), F.lit(0.0))
+    z = F.sqrt(F.greatest(F.lit(0.0), 2 * ratio))
+    telling = per.where(F.col("good") + F.col("bad") >= LEAST_ROWS).withColumn("z", z).where(F.col("z") >= LEAST_Z)
+    kept = [r["f"] for r in telling.orderBy(F.desc("z"), "f").limit(FEATURES).select("f").collect()]
+    names = sorted({*kept, *SWAPS})
     where = {f: k for k, f in enumerate(names)}
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
