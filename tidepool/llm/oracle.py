@@ -6,7 +6,7 @@ shingles are compared in full, without indexes, signatures or seeds.
 
 from __future__ import annotations
 
-from tidepool.llm import decontaminate, licenses, quality
+from tidepool.llm import decontaminate, licenses, quality, sharding
 
 LOWERED = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
 
@@ -124,10 +124,48 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON comp.node = d.doc_
 """
 
 
+def crc32_sql(lists: str) -> str:
+    """CRC-32 of the half-bytes in ``lists`` (low half of each byte first), by
+    the sixteen remainders of the polynomial."""
+    table = []
+    for c in range(16):
+        for _ in range(4):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return f"xor(list_reduce(list_prepend({sharding.MASK32}, {lists}), lambda c, x: xor(c >> 4, {table}[(xor(c, x) & 15) + 1])), {sharding.MASK32})"
+
+
+def sharding_sql(shards: int = 40) -> str:
+    once = "SELECT * FROM walk WHERE step = 0 OR x >= n"
+    for r, key in enumerate(sharding.round_keys(sharding.SEED)):
+        left, right = ("small", "large") if r % 2 == 0 else ("large", "small")
+        once = f"SELECT *, ((x & ((1::BIGINT << {right}) - 1)) * {0x2C1B3C6D} + {key}) & {0x7FFFFFFF} AS y FROM ({once})"
+        once = (f"SELECT * EXCLUDE (y) REPLACE (((x & ((1::BIGINT << {right}) - 1)) << {left}) | "
+                f"xor(x >> {right}, (((y * {0x297A2D39} + (y >> 15)) & {0x7FFFFFFF}) >> 3) & ((1::BIGINT << {left}) - 1)) AS x) FROM ({once})")
+    return f"""
+WITH RECURSIVE a AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+half AS (SELECT rid, unnest(string_split(hex(encode(t)), '')) AS h, unnest(range(2 * strlen(t))) AS k FROM a WHERE t <> ''),
+lists AS (SELECT rid, list(instr('123456789ABCDEF', h)::BIGINT ORDER BY k // 2, k % 2 DESC) AS nibbles FROM half GROUP BY rid),
+sums AS (SELECT rid, {crc32_sql('nibbles')} AS crc FROM lists),
+d AS (
+  SELECT doc_id, (strlen(t) + {sharding.ROW_BYTES})::BIGINT AS size, coalesce(crc, 0)::BIGINT AS text_crc32, count(*) OVER () AS n,
+         row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(crc, 0), strlen(t)) - 1 AS row_number
+  FROM a LEFT JOIN sums USING (rid)),
+walk AS (
+  SELECT row_number, row_number AS x, n, greatest(2, length(bin(n - 1))) // 2 AS small,
+         greatest(2, length(bin(n - 1))) - greatest(2, length(bin(n - 1))) // 2 AS large, 0 AS step FROM d
+  UNION ALL SELECT * REPLACE (step + 1 AS step) FROM ({once}))
+SELECT doc_id, size, text_crc32, 'rows' AS law, (x % {shards})::INTEGER AS shard, (x // {shards})::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard, row_number
+FROM d JOIN (SELECT row_number, x FROM walk WHERE step > 0 AND x < n) USING (row_number)
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_licenses": licenses_sql(),
         "op4_decontamination": decontamination_sql(),
         "op5_quality": quality_sql(),
         "op7_near_dedup": near_dedup_sql(),
+        "op10_sharding": sharding_sql(),
     }
