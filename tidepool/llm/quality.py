@@ -113,12 +113,17 @@ def measured(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
     })
 
 
-def shares(hist: Column) -> Column:
-    """A histogram as shares of its sum (zeros if it is empty)."""
-    total = F.aggregate(hist, F.lit(0.0), lambda a, b: a + b)
+def shares(hist: Column, total: Column) -> Column:
+    """A histogram as shares of its total (zeros if it is empty)."""
     return F.transform(hist, lambda x: F.when(total > 0, x / total).otherwise(0.0))
 
 
+def with_total(d: DataFrame, hist: str, out: str) -> DataFrame:
+    """Plus the sum of a histogram, as a column: in a lambda it would be
+    summed for every element."""
+    return d.withColumn(out, F.aggregate(hist, F.lit(0.0), lambda a, b: a + b))
+
+
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2) of two arrays of shares."""
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
@@ -130,7 +135,9 @@ def references(slim: DataFrame) -> DataFrame:
     """One row per language: shares of the summed histograms."""
     sums = {name: [F.sum(F.col(name)[i]) for i in range(n)] for name, n in (("_char_hist", len(CHAR_CLASSES)), ("_word_hist", len(WORDS) + 1))}
     got = slim.groupBy("_lang").agg(*[F.array(*cols).alias(f"{name}_ref") for name, cols in sums.items()])
-    return got.select(F.col("_lang").alias("_ref_lang"), shares(F.col("_char_hist_ref")).alias("_char_ref"), shares(F.col("_word_hist_ref")).alias("_word_ref"))
+    got = with_total(with_total(got, "_char_hist_ref", "_c"), "_word_hist_ref", "_w")
+    return got.select(F.col("_lang").alias("_ref_lang"), shares(F.col("_char_hist_ref"), F.col("_c")).alias("_char_ref"),
+                      shares(F.col("_word_hist_ref"), F.col("_w")).alias("_word_ref"))
 
 
 def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -141,9 +148,11 @@ def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = written(measured(rows).select("doc_id", "_lang", *base, "_chars", "_char_hist", "_word_hist"), "quality")
     refs = references(slim)
     d = slim.join(refs, F.col("_lang").eqNullSafe(F.col("_ref_lang")))
+    d = with_total(with_total(d, "_char_hist", "_c"), "_word_hist", "_w")
+    d = d.withColumns({"_char_share": shares(F.col("_char_hist"), F.col("_c")), "_word_share": shares(F.col("_word_hist"), F.col("_w"))})
     d = d.withColumns({
-        "char_distance": js_distance(shares(F.col("_char_hist")), F.col("_char_ref")),
-        "word_distance": js_distance(shares(F.col("_word_hist")), F.col("_word_ref")),
+        "char_distance": js_distance(F.col("_char_share"), F.col("_char_ref")),
+        "word_distance": js_distance(F.col("_word_share"), F.col("_word_ref")),
     })
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     diverges = ((F.col("_chars") >= MIN_CHARS_JUDGED) & (F.col("char_distance") > max_char)) | (
