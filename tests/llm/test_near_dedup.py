@@ -64,7 +64,8 @@ def test_groups_chains_and_edges_against_brute_force(spark):
 
 
 def test_small_blocks_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 2000)
     texts = [prose(1, 120)]
     for k in range(80):
         texts.append(edited(texts[k // 3], 2, k))

@@ -17,7 +17,7 @@ exact copies cost one row each. Bands are worked off in ROUNDS; after each
 round the components found so far are merged, and later rounds look only at
 buckets that still hold different components. Inside a bucket, the members
 outside its largest component are compared with all members, in blocks of
-about BLOCK x BLOCK: no group meets in one task, no pairs are emitted but a
+at most about BLOCK_ROWS rows or BLOCK_SHINGLES shingles a side: no group meets in one task, no pairs are emitted but a
 spanning forest of confirmed links, and nothing is capped. Components are
 labelled by joins with pointer jumping; every step is a written table in the
 shared checkpoint folder, so a lost executor costs its own tasks. The driver
@@ -49,7 +49,11 @@ MINIMA = BANDS * ROWS
 BITS = 4
 #: Bands of each round: the first finds most links, the rest what is left.
 ROUNDS = ((0, 2), (2, 8), (8, BANDS))
-BLOCK = 512
+#: Rows, and shingles, of one side of a block at most (about: rows are dealt by hash).
+BLOCK_ROWS = 1024
+BLOCK_SHINGLES = 500_000
+#: Rows whose estimates are made at once.
+ESTIMATED = 128
 #: Four standard deviations of the estimate at the limit.
 MARGIN = 4 * (0.859 * 0.141 / MINIMA) ** 0.5 / (1 - 2.0**-BITS)
 #: Shingles that are hashed at once.
@@ -161,6 +165,15 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((MINIMA - differ) / MINIMA - chance) / (1 - chance)
 
 
+def _pair_estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The estimate of each row of ``a`` with the same row of ``b``, for sorting."""
+    x = a ^ b
+    y = x
+    for i in range(1, BITS):
+        y = y | (x >> np.uint64(i))
+    return -np.bitwise_count(y & np.uint64(sum(1 << i for i in range(0, 64, BITS)))).sum(axis=1, dtype=np.int64)
+
+
 def common(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(a) > len(b):
@@ -211,14 +224,24 @@ def block_links(group: pd.DataFrame) -> pd.DataFrame:
         lb, rb = words(left["bands"]), words(right["bands"])
         ln, rn = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
         lc, rc = left["comp"].to_numpy(), right["comp"].to_numpy()
-        est = estimates(words(left["packed"]), words(right["packed"]))
-        small, large = np.minimum(ln[:, None], rn[None, :]), np.maximum(ln[:, None], rn[None, :])
-        i, j = np.nonzero((est >= PERCENT / 100 - MARGIN) & (lc[:, None] != rc[None, :]) & (100 * small >= PERCENT * large))
+        lp, rp = words(left["packed"]), words(right["packed"])
+        # two rows outside the main component meet twice: one meeting counts
+        lk, rk = words(left["digest"])[:, 0], words(right["digest"])[:, 0]
+        once = (rc == right["main"].to_numpy())[None, :]
+        found = []
+        for k in range(0, len(left), ESTIMATED):
+            part = slice(k, k + ESTIMATED)
+            small, large = np.minimum(ln[part, None], rn[None, :]), np.maximum(ln[part, None], rn[None, :])
+            may = (lc[part, None] != rc[None, :]) & (100 * small >= PERCENT * large) & (once | (lk[part, None] <= rk[None, :]))
+            at, to = np.nonzero(may & (estimates(lp[part], rp) >= PERCENT / 100 - MARGIN))
+            found.append((at + k, to))
+        i, j = (np.concatenate(x) for x in zip(*found))
         # each pair is tested in the first band that it shares
         band = int(group["band"].iloc[0])
         first = np.concatenate([(lb[i[k : k + 100_000]] == rb[j[k : k + 100_000]]).argmax(axis=1) for k in range(0, len(i), 100_000)] or [np.empty(0, int)])
         i, j = i[first == band], j[first == band]
-        order = np.argsort(-est[i, j], kind="stable")
+        likeness = np.concatenate([_pair_estimates(lp[i[k : k + 100_000]], rp[j[k : k + 100_000]]) for k in range(0, len(i), 100_000)] or [np.empty(0)])
+        order = np.argsort(-likeness, kind="stable")
         top: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -266,16 +289,21 @@ def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def _bucket_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links found in the buckets of ``members`` that hold more than one component."""
-    per = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
-        F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("comps"))
-    mixed_ = per.where(F.col("comps") > 1).select("bucket", F.col("most.comp").alias("main"), "all", (F.col("all") - F.col("most.n")).alias("other"))
-    rows = members.join(mixed_, "bucket")
-    parts = lambda n: F.ceil(F.col(n) / F.lit(BLOCK)).cast("int")
-    own = lambda n: F.pmod(F.xxhash64("digest"), parts(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), parts(n) - 1))
+    per = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size")).groupBy("bucket").agg(
+        F.max(F.struct("n", "comp", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("comps"))
+
+    def parts(rows, size):
+        return F.greatest(F.lit(1), F.ceil(rows / F.lit(BLOCK_ROWS)), F.ceil(size / F.lit(BLOCK_SHINGLES))).cast("int")
+
+    open_ = per.where(F.col("comps") > 1).select(
+        "bucket", F.col("most.comp").alias("main"), parts(F.col("n"), F.col("size")).alias("all"),
+        parts(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("other"))
+    rows = members.join(open_, "bucket")
+    own = lambda n: F.pmod(F.xxhash64("digest"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = rows.where(F.col("comp") != F.col("main")).withColumn("i", own("other")).withColumn("j", each("all")).withColumn("side", F.lit(0))
     right = rows.withColumn("j", own("all")).withColumn("i", each("other")).withColumn("side", F.lit(1))
-    keep = ["bucket", "band", "i", "j", "side", "digest", "comp"]
+    keep = ["bucket", "band", "i", "j", "side", "digest", "comp", "main"]
     blocks = left.select(*keep).unionByName(right.select(*keep)).join(sets, "digest")
     return blocks.groupBy("bucket", "i", "j").applyInPandas(block_links, "a long, b long")
 
@@ -292,13 +320,16 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # the bands that a class shares with another class
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("bands", k * 8 + 1, 8)))
-    every = classes.select("digest", F.posexplode(band).alias("band", "bucket"))
+    every = classes.select("digest", "n_shingles", F.posexplode(band).alias("band", "bucket"))
     shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("bucket")
     members = written(every.join(shared, "bucket"), "members")
     near = members.select("digest").distinct()
     # their full sets, from one text of each class
     wanted = classes.join(near, "digest").select(F.col("comp").alias("doc_id"), "digest", "n_shingles", "bands", "packed")
-    found = with_struct(rows.join(wanted, "doc_id"), _set(F.col("text")), ("set_digest", "set")).where(F.col("digest") == F.col("set_digest"))
+    # nondeterministic in name only: else the filter, and with it the sets of
+    # all documents, would be computed below the join
+    set_of = _set.asNondeterministic()
+    found = with_struct(rows.join(wanted, "doc_id"), set_of(F.col("text")), ("set_digest", "set")).where(F.col("digest") == F.col("set_digest"))
     sets = written(found.select("digest", "n_shingles", "bands", "packed", "set").dropDuplicates(["digest"]), "sets")
 
     comps = classes.select("digest", "comp")
