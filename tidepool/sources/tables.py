@@ -46,9 +46,8 @@ def append_evolving(df: DataFrame, path: str) -> None:
     known: dict[str, T.StructField] = {}
     if path_exists(spark, note):
         known = {f.name: f for f in T.StructType.fromJson(json.loads(read_text(spark, note))).fields}
-    elif path_exists(spark, path) and (old := spark.read.schema("_none INT").parquet(path)).inputFiles():
+    elif path_exists(spark, path) and spark.read.schema("_none INT").parquet(path).inputFiles():
         known = {f.name: f for f in read_table(spark, path, merge_schema=True).schema.fields}
-        del old
     for f in df.schema.fields:
         if f.name in known and known[f.name].dataType != f.dataType:
             raise TypeError(f"column {f.name} is {known[f.name].dataType.simpleString()} in {path}, not {f.dataType.simpleString()}")
