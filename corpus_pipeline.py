@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from tidepool.llm import decontaminate, language, near_dedup, pieces, toxicity
 from tidepool.llm.common import read, written
 
+#: Similarity, in percent, from which the near_dedup stage links two documents
+#: (op7_near_dedup has its own limit).
+NEAR_PERCENT = 80
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; the filters are fitted on the rows
@@ -26,8 +30,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component."""
-    return near_dedup.keep_one(docs)
+    """One document of each component of those that are NEAR_PERCENT alike."""
+    return near_dedup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import corpus_pipeline
 from llm_data import EDGE_TEXTS, documents, prose
-from tidepool.llm import decontaminate, language, pieces, token_counts, toxicity
-from test_near_dedup import brute
+from tidepool.llm import decontaminate, language, near_dedup, pieces, token_counts, toxicity
+from test_near_dedup import brute, shingle_set
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -70,3 +70,19 @@ def test_pipeline_over_an_empty_table(spark, scratch):
     spark.createDataFrame([], LABELS).write.parquet(f"{path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, path).collect() == []
+
+
+def test_near_dedup_stage_links_from_four_fifths(spark):
+    # a word replaced in the middle changes five shingles: 49 words make exactly 40 of 50
+    texts, stay = {}, set()
+    for k, n in enumerate([47, 48, 49, 50, 55, 60, 65, 66, 70] * 3):
+        a = prose(2000 + k, n).split()
+        b = [*a[: n // 2], f"other{k}", *a[n // 2 + 1 :]]
+        texts[2 * k], texts[2 * k + 1] = " ".join(a), " ".join(b)
+        x, y = shingle_set(texts[2 * k]), shingle_set(texts[2 * k + 1])
+        stay |= {2 * k} if 100 * len(x & y) >= 80 * len(x | y) else {2 * k, 2 * k + 1}
+    assert 27 < len(stay) < 54
+    docs = documents(spark, list(texts.values()))
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == stay
+    # the operator's own limit is another one
+    assert {r["doc_id"] for r in near_dedup.keep_one(docs).collect()} == {i for i, (c, _) in brute(texts).items() if i == c} > stay

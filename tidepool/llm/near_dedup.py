@@ -7,10 +7,11 @@ BITS bits of each minimum, packed, make the signature that estimates a pair's
 similarity by counting equal lanes, corrected for chance collisions. Pairs
 whose estimate could still mean a link are confirmed on the full sets.
 
-Documents are linked if 100 * |A and B| >= PERCENT * |A or B|; the result is
-the connected component of each document. At the limit of 0.85 a pair shares
-no band with a chance of 8e-7, and falls below the estimate's margin (four
-standard deviations) with 3e-5.
+Documents are linked if 100 * |A and B| >= percent * |A or B|; the result is
+the connected component of each document. ``percent`` is PERCENT unless the
+caller names another one. At the limit of 0.85 a pair shares no band with a
+chance of 8e-7, at 0.80 with 7e-5; it falls below the estimate's margin (four
+standard deviations at the limit) with 3e-5.
 
 Scale and skew. Equal sets become one class before anything is compared, so
 exact copies cost one row each. Bands are worked off in ROUNDS; after each
@@ -54,8 +55,6 @@ BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 500_000
 #: Rows whose estimates are made at once.
 ESTIMATED = 128
-#: Four standard deviations of the estimate at the limit.
-MARGIN = 4 * (0.859 * 0.141 / MINIMA) ** 0.5 / (1 - 2.0**-BITS)
 #: Shingles that are hashed at once.
 CHUNK = 2048
 
@@ -189,6 +188,13 @@ def digest(s: np.ndarray) -> bytes:
     return mixed(parts + np.uint64(len(s))).tobytes()
 
 
+def margin(percent: int) -> float:
+    """Four standard deviations of the estimate at the limit."""
+    chance = 2.0**-BITS
+    equal = percent / 100 + (1 - percent / 100) * chance
+    return 4 * (equal * (1 - equal) / MINIMA) ** 0.5 / (1 - chance)
+
+
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
@@ -214,7 +220,7 @@ def _set(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"set_digest": [digest(s) if len(s) else b"" for s in sets], "set": [s.tobytes() for s in sets]})
 
 
-def block_links(group: pd.DataFrame) -> pd.DataFrame:
+def block_links(group: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
     """Confirmed links (component, component) between the two sides of one
     block of a bucket: a spanning forest over its components."""
     left, right = group[group["side"] == 0], group[group["side"] == 1]
@@ -228,12 +234,12 @@ def block_links(group: pd.DataFrame) -> pd.DataFrame:
         # two rows outside the main component meet twice: one meeting counts
         lk, rk = words(left["digest"])[:, 0], words(right["digest"])[:, 0]
         once = (rc == right["main"].to_numpy())[None, :]
-        found = []
+        found, least = [], percent / 100 - margin(percent)
         for k in range(0, len(left), ESTIMATED):
             part = slice(k, k + ESTIMATED)
             small, large = np.minimum(ln[part, None], rn[None, :]), np.maximum(ln[part, None], rn[None, :])
-            may = (lc[part, None] != rc[None, :]) & (100 * small >= PERCENT * large) & (once | (lk[part, None] <= rk[None, :]))
-            at, to = np.nonzero(may & (estimates(lp[part], rp) >= PERCENT / 100 - MARGIN))
+            may = (lc[part, None] != rc[None, :]) & (100 * small >= percent * large) & (once | (lk[part, None] <= rk[None, :]))
+            at, to = np.nonzero(may & (estimates(lp[part], rp) >= least))
             found.append((at + k, to))
         i, j = (np.concatenate(x) for x in zip(*found))
         # each pair is tested in the first band that it shares
@@ -256,7 +262,7 @@ def block_links(group: pd.DataFrame) -> pd.DataFrame:
                 continue
             x, y = ls[i[k]], rs[j[k]]
             both = common(x, y)
-            if 100 * both >= PERCENT * (len(x) + len(y) - both):
+            if 100 * both >= percent * (len(x) + len(y) - both):
                 top[max(a, b)] = min(a, b)
                 out.append((a, b))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -287,7 +293,7 @@ def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
     return written(out.select(*cols), "classes")
 
 
-def _bucket_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links found in the buckets of ``members`` that hold more than one component."""
     per = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size")).groupBy("bucket").agg(
         F.max(F.struct("n", "comp", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("comps"))
@@ -305,10 +311,10 @@ def _bucket_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     right = rows.withColumn("j", own("all")).withColumn("i", each("other")).withColumn("side", F.lit(1))
     keep = ["bucket", "band", "i", "j", "side", "digest", "comp", "main"]
     blocks = left.select(*keep).unionByName(right.select(*keep)).join(sets, "digest")
-    return blocks.groupBy("bucket", "i", "j").applyInPandas(block_links, "a long, b long")
+    return blocks.groupBy("bucket", "i", "j").applyInPandas(lambda group: block_links(group, percent), "a long, b long")
 
 
-def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     signed = written(with_struct(rows, _signed(F.col("text")), SIGNED).drop("text"), "signed")
@@ -338,7 +344,7 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("a") != F.col("b")).select("a", "b")
     for k, (lo, hi) in enumerate(ROUNDS):
         now = members.where((F.col("band") >= lo) & (F.col("band") < hi)).join(comps, "digest")
-        links = _bucket_links(now, sets)
+        links = _bucket_links(now, sets, percent)
         links = written(links.union(same_id) if k == 0 else links, "links")
         if links.limit(1).count():
             comps = merged(comps, links)
@@ -346,16 +352,16 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return named.select("doc_id", "n_shingles", F.when(linkable, F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """Per row: set size, component and whether it is the one that stays."""
-    return with_components(docs, id_col, text_col).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return with_components(docs, id_col, text_col, percent).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: the row of its smallest id (of
     rows that share that id, one of those with the longest text). Rows with a
     null id, and texts without words, are linked with nothing and stay."""
-    out = written(dedup_report(docs, id_col, text_col), "dedup")
+    out = written(dedup_report(docs, id_col, text_col, percent), "dedup")
     gone = out.where(~F.col("kept")).select("doc_id")
     again = out.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
     if not again.limit(1).count():
