@@ -45,6 +45,24 @@ def test_broken_and_odd_pages():
     assert len(html_text.main_text("<article><p>" + "word, " * 200_000 + "</p></article>")) == 6 * 200_000 - 1
 
 
+def test_wrappers_named_after_their_layout():
+    story = "<h1>Title</h1>" + "<p>A sentence of the story, with a stop.</p>" * 4
+    want = "\n".join(["Title"] + ["A sentence of the story, with a stop."] * 4)
+    foot = "<footer><p>Seventy characters of an imprint, with a stop at the end of them.</p></footer>"
+    cards = "<div class=related><article><p>Another story, in short.</p></article></div>"
+    for name in ("layout-with-sidebar", "has-banner", "no-comments", "page-social", "related-layout"):
+        for inner in (f"<article>{story}</article>", f"<main>{story}</main>", f"<div id=content>{story}</div>"):
+            side = "<div class=sidebar><p>Something beside it, told at some length.</p></div><nav>Menu, all.</nav>"
+            assert html_text.main_text(f"<body><div class={name}>{inner}</div>{foot}</body>") == want, (name, inner)
+            # what lies in the wrapper is judged for itself
+            assert html_text.main_text(f"<body><div class={name}>{inner}{side}</div>{foot}</body>") == want, (name, inner)
+        page = f"<body><div class={name}><div class=has-widget><article>{story}</article></div>{cards}</div>{foot}</body>"
+        assert html_text.main_text(page) == want
+        assert html_text.main_text(f"<body><article><div class={name}>{story}</div></article>{foot}</body>") == want
+    page = f"<body><article>{story}</article><div class=comments><article><p>{'I think so, too. ' * 5}</p></article></div></body>"
+    assert html_text.main_text(page) == want
+
+
 def truth(page):
     a = page[page.index("<article>") + 9 : page.index("</article>")]
     a = re.sub(r"</?(p|h1)\b[^>]*>", "\0", a).replace("<br>", " ")

@@ -10,8 +10,10 @@ of short, unpunctuated nodes and stay below.
 The article is then taken whole: an ``article`` or ``main`` that holds content
 nodes gives all its blocks, short ones too; without one, the content nodes'
 paths and their sibling paths do. What is boilerplate by its element (``nav``,
-``footer``, ``form``, ``script`` ...) or by a class or id that says so is left
-out before, unless it holds most of the page's punctuated text.
+``footer``, ``form``, ``script`` ...) is left out before; so is each element
+whose class or id says so, judged for itself: around the article (the heaviest
+``article`` or ``main``), or around most of the punctuated text, such a word
+names the page's layout and does not count, while those below it still do.
 
 A page is one row and its work is one pass over its tags; nothing is
 shuffled. Defined cases: null, empty or tagless-and-blank html gives ''; text
@@ -51,8 +53,6 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}}
 #: Nodes to either side that smooth a node's ratio, and the share of the spread that makes the threshold.
 SMOOTH = (0.25, 0.5, 0.25)
 THRESHOLD = 0.5
-#: An element with a boilerplate class that holds this share of the punctuated text is the article.
-TRUST = 0.95
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
@@ -61,7 +61,7 @@ PUNCTUATION = re.compile(r"[.,;:!?。、，！？]")
 
 
 class Element:
-    __slots__ = ("tag", "path", "boiler", "root", "heading")
+    __slots__ = ("tag", "path", "boiler", "root", "heading", "hint", "outer")
 
     def __init__(self, tag: str, attrs: str, above: "Element | None"):
         marks = sorted({p.lower() for m in MARKED.findall(attrs) for p in PIECES.findall(m)}) if attrs else []
@@ -69,10 +69,13 @@ class Element:
         self.path = (f"{above.path}/" if above else "") + tag + "".join(f".{m}" for m in marks)
         self.root = self if tag in ROOTS else above.root if above else None
         self.heading = tag in HEADINGS or bool(above and above.heading)
-        boiler = tag in BOILER or (tag == "header" and self.root is None) or (
-            tag not in ("html", "body") and tag not in ROOTS and not HINTS.isdisjoint(marks)) or (tag in ROOTS and not {"comment", "comments"}.isdisjoint(marks))
-        #: the outermost element that makes this one boilerplate
-        self.boiler = above.boiler if above and above.boiler else self if boiler else None
+        #: whether this element or one above it is boilerplate by its element
+        self.boiler = bool(above and above.boiler) or tag in BOILER or (tag == "header" and self.root is None) or (
+            tag in ROOTS and not {"comment", "comments"}.isdisjoint(marks))
+        #: the nearest element from here up with a boilerplate word, and the next one above that
+        self.outer = above.hint if above else None
+        hinted = tag not in ("html", "body") and tag not in ROOTS and not HINTS.isdisjoint(marks)
+        self.hint: Element | None = self if hinted else self.outer
 
 
 class Leaf:
@@ -150,22 +153,63 @@ def ratios(nodes: list[Leaf]) -> list[float]:
     return [a * raw[max(0, i - 1)] + b * v + c * raw[min(len(raw) - 1, i + 1)] for i, v in enumerate(raw)]
 
 
+def above(e: Element | None) -> Iterator[Element]:
+    """The elements with a boilerplate word from here up."""
+    while e:
+        yield e
+        e = e.outer
+
+
+def standing_hints(said: list[Leaf]) -> dict[Element, bool]:
+    """For each element with a boilerplate word whether it, or one above it,
+    is boilerplate. A word does not count on an element around the article,
+    or around more than half of the punctuated text."""
+    order: dict[Element, int] = {}  # outer ones first
+    weight: dict[Element, int] = {}
+    roots: dict[Element, list[int]] = {}
+    free, total = [0, 0], 0
+    for x in said:
+        e, size = x.element, len(x.text)
+        w = size if PUNCTUATION.search(x.text) else 0
+        total += w
+        new = []
+        for h in above(e.hint):
+            if h in order:
+                break
+            new.append(h)
+        for h in reversed(new):
+            order[h] = len(order)
+        if e.hint:
+            weight[e.hint] = weight.get(e.hint, 0) + w
+        if e.root:
+            # an article's weight is what stands in it under no word of its own
+            if e.hint is None:
+                free = [free[0] + w, free[1] + size]
+            elif e.hint is e.root.hint:
+                p, t = roots.get(e.root, (0, 0))
+                roots[e.root] = [p + w, t + size]
+    for h in reversed(order):
+        if h.outer:
+            weight[h.outer] = weight.get(h.outer, 0) + weight.get(h, 0)
+    best = max(roots, key=roots.__getitem__, default=None)
+    layout: set[Element] = set()
+    if best and roots[best] > free:
+        layout, free = set(above(best.hint)), roots[best]
+    out: dict[Element, bool] = {}
+    for h in order:
+        most = 2 * weight.get(h, 0) > total and (not free[0] or (h.root is not None and h.root.tag == "article"))
+        out[h] = bool(h.outer and out[h.outer]) or not (h in layout or most)
+    return out
+
+
 def content(nodes: list[Leaf]) -> list[Leaf]:
     """The nodes of the article."""
     said = [x for x in nodes if x.text.strip()]
     if not said:
         return []
-    # boilerplate by name, unless one such element holds nearly all punctuated text
-    weight: dict[int, int] = {}
-    total = 0
-    for x in said:
-        w = len(x.text) if PUNCTUATION.search(x.text) else 0
-        total += w
-        if x.element.boiler and x.element.boiler.tag not in BOILER:
-            weight[id(x.element.boiler)] = weight.get(id(x.element.boiler), 0) + w
-    has_root = any(x.element.root and not x.element.boiler for x in said)
-    trusted = {k for k, w in weight.items() if not has_root and w > TRUST * total}
-    free = [x for x in said if not x.element.boiler or id(x.element.boiler) in trusted]
+    standing = standing_hints([x for x in said if not x.element.boiler])
+    gone = lambda e: e.boiler or (e.hint is not None and standing[e.hint])
+    free = [x for x in said if not gone(x.element)]
     if not free:
         return []
     score = ratios(free)
@@ -180,10 +224,10 @@ def content(nodes: list[Leaf]) -> list[Leaf]:
         parents = {p.rpartition("/")[0] for p in paths}
         keep = {id(x) for x in free if x.element.path in paths or x.element.heading or (
             "/a" not in x.element.path and any(x.element.path.startswith(p + "/") for p in parents if p.count("/") > 2))}
-    boiler = {id(x) for x in nodes if x.element.boiler and id(x.element.boiler) not in trusted}
     blocks = {x.block for x in free if id(x) in keep}
     # white space nodes stay, they separate the words of their block
-    return [x for x in nodes if x.block in blocks and id(x) not in boiler and (id(x) in keep or not x.text.strip())]
+    return [x for x in nodes if x.block in blocks and (id(x) in keep or not x.text.strip() and not (
+        x.element.boiler or standing.get(x.element.hint, x.element.hint is not None)))]
 
 
 def main_text(page: str | None) -> str:
