@@ -1,0 +1,93 @@
+import hashlib
+import re
+
+from llm_data import EDGE_TEXTS, SMALL, documents, empty, prose
+from tidepool.llm import pii
+from tidepool.llm.queries import QUERIES
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    total = 0
+    for i, c in enumerate(reversed(d)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def sound(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    return {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m.split(".")), "card": 16 <= len(d) <= 19 and luhn(d), "phone": 8 <= len(d) <= 15}[kind]
+
+
+def brute(text):
+    spans = [(k, m.start(), m.end()) for k, p in BASE.items() for m in re.finditer(p, text or "") if sound(k, m.group())]
+    told = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    return (*[sum(k == s[0] for s in spans) for k in BASE], hashlib.sha256(told.encode()).hexdigest())
+
+
+def base(r):
+    return r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"]
+
+
+TEXTS = [
+    "a@b.c a@b.c_d@e.f x@y a@@b.c @b.c a.b+c%d-e@f-g.h-i.j.k..l me@x.1", "é日本😀 a@b.co 😀 z@y.x", "1.2.3.4.5.6.7.8 1.2.3 255.255.255.255 256.1.1.1 0000255.1.1.01 99999999999999999999.1.1.1",
+    "4111 1111 1111 1111 4111-1111-1111-1112 41111111111111111111 5500005555555559 card 378282246310005", "+49 (30) 123-456.78 +1 +1234567 +12345678) +1((((((", "++49 30 1234567 + 49 1234567890",
+    "4111 1111 1111 1111 12 4111  1111 1111 1111", "12.34.56.78 and 1.1.1.1 at host 10.0.0.1."]
+
+
+def test_base_spans_against_brute_force(spark):
+    texts = EDGE_TEXTS + TEXTS
+    got = {r["doc_id"]: r for r in pii.pii_report(documents(spark, texts)).collect()}
+    assert {i: base(r) for i, r in got.items()} == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_very_long_runs(spark):
+    make = lambda n: ["a" * n, "a" * n + "@", "1 " * n, "1" * n, "1." * n, "+1" + "(" * n, "A1" * n, "AB12" + " A" * n, "1-" * n]
+    short, long = make(400), make(40_000)
+    got = {r["doc_id"]: r for r in pii.pii_report(documents(spark, short + long)).collect()}
+    assert {i: base(got[i]) for i in range(len(short))} == {i: brute(t) for i, t in enumerate(short)}
+    # the plain patterns take the square of these lengths
+    assert [base(got[len(short) + i])[:4] for i in range(len(long))] == [(0, 10_000 if i == 4 else 0, 0, 0) for i in range(len(long))]
+
+
+def test_very_many_matches(spark):
+    text = " ".join(f"m{k}@x{k}.example.org" for k in range(5000)) + " 10.0.0.1" * 700
+    got = pii.pii_report(documents(spark, [text])).collect()[0]
+    assert base(got) == brute(text) and got["n_email"] == 5000 and got["n_ip"] == 700
+
+
+def test_checksums_and_context_decide_on_the_methods_own_kinds(spark):
+    want = {
+        "pay to DE89 3704 0044 0532 0130 00 now": "iban:7:34", "pay to DE88 3704 0044 0532 0130 00 now": "", "GB82WEST12345698765432": "iban:0:22",
+        "my amex is 378282246310005": "shortcard:11:26", "part no 378282246310005": "", "amex 378282246310006": "",
+        "SSN: 078-05-1120": "ssn:5:16", "lot 078-05-1120": "", "passport no. C01234567": "passport:13:22", "item C01234567": ""}
+    rows = pii.pii_report(documents(spark, list(want))).collect()
+    assert [r["spans"] for r in sorted(rows, key=lambda r: r["doc_id"])] == list(want.values())
+
+
+def test_context_raises_the_score_of_base_kinds(spark):
+    rows = pii.with_spans(documents(spark, ["mail to a@b.cd", "x a@b.cd", "tel +49 30 1234567", "z " * 30 + "+49 30 1234567"])).collect()
+    assert [round(r["pii"][0]["score"], 2) for r in sorted(rows, key=lambda r: r["doc_id"])] == [1.0, 0.9, 1.0, 0.6]
+
+
+def test_nulls_repeats_clashing_columns_and_empty_table(spark):
+    df = documents(spark, ["a@b.cd", None])
+    twice = df.unionAll(df).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "1 AS pii", "2 AS _row", "3 AS _email", "4 AS _digit", "5 AS spans")
+    assert sorted(base(r) for r in pii.pii_report(twice).collect()) == sorted([brute("a@b.cd"), brute("")] * 2)
+    assert {len(r["pii"]) for r in pii.with_spans(twice).collect()} == {0, 1}
+    assert pii.pii_report(empty(spark)).collect() == []
+
+
+def test_clean_prose_has_no_spans(spark):
+    assert all(r["spans"] == "" for r in pii.pii_report(documents(spark, [prose(k, 200) for k in range(20)])).collect())
+
+
+def test_query_covers_the_table_without_python(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    df = QUERIES["op13_pii"](spark, SMALL)
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    got = {r["doc_id"]: r for r in df.collect()}
+    assert got.keys() == texts.keys() and all(base(got[i]) == brute(t) for i, t in texts.items())

@@ -6,7 +6,7 @@ shingles are compared in full, without indexes, signatures or seeds.
 
 from __future__ import annotations
 
-from tidepool.llm import decontaminate, licenses, quality, sharding
+from tidepool.llm import decontaminate, licenses, pii, quality, sharding
 
 LOWERED = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
 
@@ -161,6 +161,45 @@ FROM d JOIN (SELECT row_number, x FROM walk WHERE step > 0 AND x < n) USING (row
 """
 
 
+def pii_sql() -> str:
+    """Plain patterns (this engine's words end at \\b), places by sums over all
+    pieces before a match."""
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]", "iban": r"\b[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]){11,30}\b",
+        "passport": r"\b[A-Z]{1,2}[0-9]{6,8}\b", "shortcard": r"[0-9]([\x20-]?[0-9])+", "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"}
+    luhn = ("list_sum(list_transform(range(length(d)), lambda i: CASE WHEN i % 2 = 0 THEN d[length(d) - i]::INT "
+            "WHEN d[length(d) - i]::INT > 4 THEN 2 * d[length(d) - i]::INT - 9 ELSE 2 * d[length(d) - i]::INT END)) % 10 = 0")
+    turned = "regexp_replace(m, ' ', '', 'g')"
+    spelled = (f"string_split(array_to_string(list_transform(string_split(substr({turned}, 5) || substr({turned}, 1, 4), ''), "
+               "lambda c: CASE WHEN c >= 'A' THEN (ascii(c) - 55)::VARCHAR ELSE c END), ''), '')")
+    rule = {
+        "email": "true", "ip": "list_max(list_transform(string_split(m, '.'), lambda p: CASE WHEN length(ltrim(p, '0')) > 3 THEN 256 ELSE right('000' || p, 3)::INT END)) <= 255",
+        "card": f"length(d) BETWEEN 16 AND 19 AND {luhn}", "phone": "length(d) BETWEEN 8 AND 15",
+        "iban": f"list_reduce(list_transform({spelled}, lambda c: c::INT), lambda a, c: (a * 10 + c) % 97) = 1",
+        "passport": "true", "shortcard": f"length(d) BETWEEN 13 AND 15 AND {luhn}", "ssn": "true"}
+    parts = []
+    for n, k in enumerate(pii.KINDS):
+        words = "|".join(k.words)
+        parts.append(f"""
+  SELECT rid, {n} AS k, '{k.name}' AS kind, {k.base} AS base, pos, pos + length(m) AS upto, least(1.0, {k.score} + CASE WHEN said THEN {pii.CONTEXT} ELSE 0 END) AS score
+  FROM (SELECT rid, m, d, list_sum(list_transform(range(i + 1), lambda j: length(b[j + 1]))) + coalesce(list_sum(list_transform(range(i), lambda j: length(f[j + 1]))), 0) AS pos,
+               regexp_matches(lower(right(b[i + 1], {pii.NEAR}) || ' ' || left(b[i + 2], {pii.NEAR})), '(^|[^a-z])({words})') AS said
+        FROM (SELECT rid, f, b, i, f[i + 1] AS m, regexp_replace(f[i + 1], '[^0-9]', '', 'g') AS d
+              FROM (SELECT rid, f, b, unnest(range(len(f))) AS i
+                    FROM (SELECT rid, regexp_extract_all(t, '{plain[k.name]}', 0) AS f, regexp_split_to_array(t, '{plain[k.name]}') AS b FROM t))))
+  WHERE ({rule[k.name]}) AND ({k.base} OR {k.score} + CASE WHEN said THEN {pii.CONTEXT} ELSE 0 END >= {pii.KEEP})""")
+    counts = ", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in pii.KINDS if k.base)
+    line = "kind || ':' || pos || ':' || upto"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join(parts)})
+SELECT doc_id, {counts}, sha256(coalesce(string_agg({line}, ',' ORDER BY k, pos) FILTER (base), '')) AS base_sha256,
+       coalesce(string_agg({line}, ',' ORDER BY k, pos), '') AS spans, coalesce(max(score), 0)::DOUBLE AS score
+FROM t LEFT JOIN s USING (rid) GROUP BY rid, doc_id
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_licenses": licenses_sql(),
@@ -168,4 +207,5 @@ def all_sql() -> dict[str, str]:
         "op5_quality": quality_sql(),
         "op7_near_dedup": near_dedup_sql(),
         "op10_sharding": sharding_sql(),
+        "op13_pii": pii_sql(),
     }

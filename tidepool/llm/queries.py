@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import decontaminate, html_text, language, licenses, near_dedup, oracle, pieces, quality, sharding, token_counts, toxicity
+from tidepool.llm import decontaminate, html_text, language, licenses, near_dedup, oracle, periods, pieces, pii, quality, repair, sharding, token_counts, toxicity
 from tidepool.llm.common import read
 
 
@@ -53,6 +53,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_plan(read(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest edits of every conversation, after the given damage."""
+    return repair.repair_report(read(spark, sf_dir, "conversations"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words, after runs were planted in one document of ten."""
+    return periods.period_report(read(spark, sf_dir, "documents"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_token_counts": op2_token_counts,
@@ -64,6 +78,9 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_language": op9_language,
     "op10_sharding": op10_sharding,
+    "op11_repair": op11_repair,
+    "op12_periods": op12_periods,
+    "op13_pii": op13_pii,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
