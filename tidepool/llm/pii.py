@@ -182,7 +182,7 @@ def with_spans(df: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] =
     at = at.select("*", *[starts_of(F.col(f"_{k.name}_sums")).alias(f"_{k.name}_starts") for k in kinds])
     spans = F.concat(*[spans_of(k, *[F.col(f"_{k.name}{x}") for x in ("", "_steps", "_blocks", "_starts")]) for k in kinds])
     kept = [F.col("_row")[c].alias(c) for c in df.columns if c.lower() != out.lower()]
-    return at.select(*kept, spans.alias(out))
+    return at.select("_row", spans.alias("_spans")).select(*kept, F.col("_spans").alias(out))
 
 
 def pii_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
