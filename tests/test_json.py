@@ -3,6 +3,8 @@ import os
 from pyspark.sql import types as T
 
 from conftest import local_path, rows
+from pyspark.sql import functions as F
+
 from tidepool.operators.nested import explode_items, explode_players, flatten_structs, nest_rows
 from tidepool.sources.json_docs import parse_json_column, read_json_docs, schema_from_json, schema_to_json
 
@@ -83,14 +85,34 @@ def test_flatten_structs(spark):
     assert flatten_structs(df, ["league"], prefix=False).collect()[0].asDict() == {"leagueid": 7, "name": "L"}
 
 
-def test_nest_rows_splits_hot_key(spark):
-    df = spark.range(0, 1000).selectExpr("CASE WHEN id < 900 THEN 1 ELSE id END AS k", "id AS v", "id")
-    out = nest_rows(df.selectExpr("*", "id DIV 64 AS part"), key="k", part="part", item="v", array="vs")
-    sizes = [len(r["vs"]) for r in out.filter("k = 1").collect()]
-    assert sum(sizes) == 900 and max(sizes) <= 64
-    assert out.filter("k <> 1").count() == 100
-    flat = out.selectExpr("k", "explode(vs) AS v")
-    assert rows(flat) == rows(df.select("k", "v"))
+def test_nest_rows_splits_hot_key(spark, monkeypatch):
+    from tidepool.operators import nested
+
+    monkeypatch.setattr(nested, "ROWS_PER_BLOCK", 200)
+    df = spark.range(0, 1000).selectExpr("CASE WHEN id < 900 THEN 1 ELSE id END AS k", "struct(id DIV 2 AS v) AS v")
+    out = nest_rows(df, key="k", part="part", item="v", array="vs", size=64)
+    hot = out.filter("k = 1").collect()
+    assert sum(len(r["vs"]) for r in hot) == 900 and max(len(r["vs"]) for r in hot) <= 64
+    assert len({r["part"] for r in hot}) == len(hot) >= 15
+    assert [r["part"] for r in out.filter("k <> 1").collect()] == [0] * 100
+    assert rows(out.selectExpr("k", "explode(vs) AS v")) == rows(df)
+
+
+def test_order_of_a_thousand_lines_becomes_documents_of_bounded_size(spark, scratch):
+    from conftest import SF_SMALL
+    from tidepool.plans.standin import PLAYERS_PER_PART, match_documents
+    from tidepool.sources.tables import load
+
+    base = scratch("thousand")
+    for t in ("orders", "customer"):
+        load(spark, SF_SMALL, t).write.parquet(f"{base}/{t}.parquet")
+    li = load(spark, SF_SMALL, "lineitem")
+    key = li.agg({"l_orderkey": "min"}).first()[0]
+    li.withColumn("l_orderkey", F.when(li.l_partkey % 5 == 0, key).otherwise(li.l_orderkey)).write.parquet(f"{base}/lineitem.parquet")
+    docs = match_documents(spark, base)
+    sizes = docs.filter(F.col("match_id") == key).select("part", F.size("players").alias("n")).collect()
+    assert sum(r["n"] for r in sizes) > 1000 and max(r["n"] for r in sizes) <= PLAYERS_PER_PART and len({r["part"] for r in sizes}) == len(sizes)
+    assert explode_players(docs).count() == li.count()
 
 
 def test_document_schema_file_matches_documents(spark):

@@ -70,6 +70,29 @@ def months_back(ref: _dt.datetime, months: int) -> _dt.date:
     return _dt.date(y, m, min(ref.day, last))
 
 
+def text_window(col: Column, start: _dt.datetime, end: _dt.datetime | None) -> Column:
+    """Comparisons of a time column kept as text that hold for every text that
+    parses into [start, end), whatever its form; they push down to the scan,
+    where parsing does not. The caller rechecks the parsed value.
+
+    Texts ``yyyy-MM-dd HH:mm:ss`` sort by time, so the bounds are texts as well,
+    a day wider for texts with a zone offset, the upper one at the end of its month
+    for days of one digit. A month of one digit sorts after those of two, so such
+    texts of the last year are let through; so is all that sorts before '1' (blanks, signs,
+    leading zeros). None of these stand in a table of the one form, so row groups
+    outside the window are still skipped. Text without a date (a time of day) is no instant."""
+    lo = start - _dt.timedelta(days=1)
+    # '2001' is the first of January, '2001-02' the first of February
+    low = f"{lo:%Y-%m-%d}" if lo.day > 1 else f"{lo:%Y-%m}" if lo.month > 1 else f"{lo:%Y}"
+    cond = col >= F.lit(low)
+    if end is not None:
+        hi = end + _dt.timedelta(days=1)
+        after = f"{hi.year + hi.month // 12:04d}-{hi.month % 12 + 1:02d}"
+        one_digit = ((col >= F.lit(f"{hi:%Y}-1")) & (col < F.lit(f"{hi:%Y}-1."))) | ((col >= F.lit(f"{hi:%Y}-2")) & (col < F.lit(f"{hi:%Y}-:")))
+        cond = cond & ((col < F.lit(after)) | one_digit)
+    return cond | (col < F.lit("1"))
+
+
 def window_filter(
     df: DataFrame,
     ts: str,
@@ -84,7 +107,8 @@ def window_filter(
 
     ``start_inclusive=False`` is ``DATE(ts) > add_months(ref, -months)``;
     ``True`` is ``>=``. ``end_exclusive`` adds ``ts < ref``. Both are
-    rewritten as comparisons against literals of the column's type.
+    rewritten as comparisons against literals of the column's type; a text
+    column gets bounds on its text (:func:`text_window`) and a recheck of the parsed value.
     ``day_col`` names a DATE column holding ``DATE(ts)`` (``period="day"``)
     or its first day of the month (``period="month"``) -- typically the
     partition column of the table; the same bounds on it let the scan skip
@@ -97,9 +121,10 @@ def window_filter(
     start_dt = _dt.datetime(start.year, start.month, start.day)
     if isinstance(dtype, T.StringType):
         col, dtype = F.try_to_timestamp(F.col(ts)), T.TimestampType()
+        cond = text_window(F.col(ts), start_dt, ref if end_exclusive else None) & (col >= _const(start_dt, dtype))
     else:
         col = F.col(ts)
-    cond = col >= _const(start_dt, dtype)
+        cond = col >= _const(start_dt, dtype)
     if end_exclusive:
         if isinstance(dtype, T.DateType):
             cond = cond & (col < F.lit(ref.date()) if ref.time() == _dt.time(0) else col <= F.lit(ref.date()))

@@ -10,7 +10,7 @@ small side is broadcast is left to AQE's runtime size check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,22 @@ def backlog_batch(backlog_ids: DataFrame, n: int | None = None, key: str = "matc
 def id_cursor(df: DataFrame, key: str = "match_id") -> DataFrame:
     """``MIN`` and ``MAX`` of the key in one scan (the reference runs two)."""
     return df.agg(F.min(key).alias("min_id"), F.max(key).alias("max_id"))
+
+
+def id_cursor_from_files(spark: SparkSession, path: str, key: str = "match_id") -> DataFrame:
+    """:func:`id_cursor` of a parquet table from the statistics in its files'
+    footers: the aggregate is pushed into the scan, which then reads no rows.
+
+    The pushdown is one of the V2 file source and a session setting that counts
+    when the plan is made, so the plan is made here, under these settings."""
+    settings = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": ""}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = id_cursor(spark.read.parquet(path), key)
+        out._jdf.queryExecution().executedPlan()
+        return out
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

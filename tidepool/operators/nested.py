@@ -9,16 +9,29 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.time import epoch_to_string
 
-def nest_rows(df: DataFrame, *, key: str, part: str, item: str, array: str) -> DataFrame:
-    """Group ``item`` values into one array per (``key``, ``part``).
+#: Rows of one key that one task may gather before they are cut into parts.
+ROWS_PER_BLOCK = 4096
 
-    ``part`` is a number that each row brings along (a block of its own
-    position within the key, say), so a key with many rows becomes several
-    documents with keys of their own, no task builds one unbounded array, and
-    the rule is the same for every key and every size. Items are sorted inside
-    each array, so documents are reproducible.
+
+def nest_rows(df: DataFrame, *, key: str, part: str, item: str, array: str, size: int) -> DataFrame:
+    """Group ``item`` values into arrays of at most ``size``, one for each
+    (``key``, ``part``).
+
+    Keys of more than ROWS_PER_BLOCK rows (counted map-side first) are dealt into blocks by
+    the hash of the item, so no task gathers an unbounded array; each block's
+    sorted items are cut into parts. The part is 0 for a key of up to
+    ``size`` rows; else the block and the place in it make its number. The
+    hash is of the row itself, so a task that is run again deals out the same;
+    only copies of one and the same row share a block however many they are.
     """
-    return df.groupBy(key, part).agg(F.array_sort(F.collect_list(item)).alias(array))
+    large = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ROWS_PER_BLOCK)
+    dealt = df.join(large, df[key].eqNullSafe(large["_key"]), "left")
+    blocks = F.coalesce(F.ceil(F.col("_n") / F.lit(ROWS_PER_BLOCK)), F.lit(1))
+    dealt = dealt.select(key, item, F.pmod(F.xxhash64(item), blocks).alias("_block"))
+    arrays = dealt.groupBy(key, "_block").agg(F.array_sort(F.collect_list(item)).alias("_all"))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / F.lit(size)).cast("int")), lambda i: F.slice("_all", i * size + 1, size))
+    cut = arrays.select(key, "_block", F.posexplode(parts).alias("_place", array))
+    return cut.select(key, (F.col("_block") * (1 << 20) + F.col("_place")).cast("bigint").alias(part), array)
 
 
 def explode_items(

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.time import epoch_to_string
-from tidepool.operators.backlog import backlog, backlog_batch, id_cursor
+from tidepool.operators.backlog import backlog, backlog_batch, id_cursor, id_cursor_from_files
+from tidepool.operators.bucketed import append_bucketed, merge_bucketed, pending_ids
 from tidepool.operators.nested import explode_players, flatten_structs
 from tidepool.operators.quality import group_size, uniqueness
 from tidepool.operators.upsert import SnapshotStore, upsert
@@ -20,6 +21,7 @@ from tidepool.plans.bronze import build_players, check_details, check_players, l
 from tidepool.plans.features import entity_features, entity_first_seen, entity_lifetime, merge_first_seen
 from tidepool.plans.onehot import draft_onehot
 from tidepool.plans.standin import match_documents, player_rows
+from tidepool.plans.state import features_from_state, fold_batch
 from tidepool.session import configure, path_bytes, scratch_path, size_for_input
 from tidepool.sources.ingest import ingest, ingest_backfill, ingest_new, with_start_text
 from tidepool.sources.json_docs import (
@@ -30,7 +32,7 @@ from tidepool.sources.json_docs import (
     schema_to_json,
 )
 from tidepool.sources.maintain import compact_table, data_files
-from tidepool.sources.tables import (append_evolving, ledger_append, load, read_ledger, read_table, register_views,
+from tidepool.sources.tables import (append_evolving, create_database, ledger_append, load, read_ledger, read_table, register_views,
                                      table_name)
 from tidepool.streaming.bronze_stream import stream_upsert
 
@@ -39,6 +41,8 @@ REF = "2001-08-01 00:00:00"
 # Split points that divide whole tables into "already stored" and "arriving".
 SPLIT_DATE = "2000-01-01 00:00:00"
 EVENT_SPLIT_TS = "2024-01-15 00:00:00"
+# Ids of the lowest part of the backlog that a trial run takes.
+TRIAL_IDS = 10
 # Rows expected per match in the group-size check on the stand-in table.
 GROUP_SIZE = 4
 
@@ -373,6 +377,83 @@ def q_sql_views(spark, sf_dir):
     return spark.sql(oracle.VIEW_SQL)
 
 
+def _text_players(spark, sf_dir) -> DataFrame:
+    """A stored player table as the reference shapes it: the start as text only."""
+    path = scratch_path(spark, "text_players")
+    rows = _start(spark, sf_dir)
+    # sorted by start, as a table that grows by the day is: row groups hold spans of time
+    rows.withColumn("td_match", F.date_format("td_match", "yyyy-MM-dd HH:mm:ss")).sortWithinPartitions("td_match").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_text_features(spark, sf_dir):
+    """Player features from a table whose start time is text: the window's
+    bounds reach the scan as text, the parsed value is checked again."""
+    return entity_features(_text_players(spark, sf_dir), ref=REF)
+
+
+def q_text_draft(spark, sf_dir):
+    """The draft matrix from the same table (start closed, no end)."""
+    return draft_onehot(_text_players(spark, sf_dir), side="is_side_a", outcome="side_a_win", ref=REF)
+
+
+def q_sliding_features(spark, sf_dir):
+    """Player features from monthly partial aggregates, kept in two batches (the
+    rows before and after the split date), and the rows of the window's edge months."""
+    rows = _start(spark, sf_dir)
+    base = scratch_path(spark, "sliding")
+    month = F.trunc(F.col("td_match").cast("date"), "month")
+    rows.withColumn("mo_match", month).hint("rebalance", "mo_match").write.partitionBy("mo_match").parquet(f"{base}/players")
+    players = spark.read.parquet(f"{base}/players")
+    old = F.col("td_match") < F.lit(SPLIT_DATE).cast(rows.schema["td_match"].dataType)
+    fold_batch(players.filter(old), f"{base}/state", "history")
+    fold_batch(players.filter(~old), f"{base}/state", "daily")
+    return features_from_state(spark, f"{base}/state", players, ref=REF, month_col="mo_match")
+
+
+def q_lifetime_now(spark, sf_dir):
+    """Lifetimes up to the day on which the job runs."""
+    return entity_lifetime(_start(spark, sf_dir))
+
+
+def q_backlog_top(spark, sf_dir):
+    """The lowest ids of the backlog, as a trial run takes them."""
+    _setup(spark, sf_dir, "orders", "lineitem")
+    return backlog_batch(backlog(_listing(spark, sf_dir), _done(spark, sf_dir)), TRIAL_IDS)
+
+
+def q_id_cursor_from_files(spark, sf_dir):
+    """Least and greatest id from the statistics in the files' footers."""
+    configure(spark)
+    return id_cursor_from_files(spark, table_name(sf_dir, "orders"), "o_orderkey")
+
+
+def q_pending_bucketed(spark, sf_dir):
+    """The backlog of a listing against its ledger, both stored in buckets of
+    the id: processed ids are appended bucketed, the anti join shuffles neither table."""
+    _setup(spark, sf_dir, "orders", "lineitem")
+    base, db = scratch_path(spark, "ledger"), f"ledger_{uuid.uuid4().hex[:10]}"
+    create_database(spark, db, base)
+    size = path_bytes(spark, table_name(sf_dir, "lineitem"))
+    append_bucketed(_listing(spark, sf_dir), db, "listing", "match_id", size)
+    half = F.col("match_id") % 2 == 0
+    for ids in (_done(spark, sf_dir).distinct().filter(half), _done(spark, sf_dir).distinct().filter(~half)):
+        append_bucketed(ids, db, "ledger", "match_id", size)
+    return pending_ids(spark, db, "listing", "ledger")
+
+
+def q_merge_bucketed(spark, sf_dir):
+    """Changed orders upserted into a table in buckets of its key: its rows
+    are joined and written where they lie, the batch alone is shuffled."""
+    _setup(spark, sf_dir, "orders")
+    old, changed = _order_changes(load(spark, sf_dir, "orders"))
+    base, db = scratch_path(spark, "merge"), f"merge_{uuid.uuid4().hex[:10]}"
+    create_database(spark, db, base)
+    size = path_bytes(spark, table_name(sf_dir, "orders"))
+    merge_bucketed(old, db, "orders", "o_orderkey", expected_bytes=size)
+    return merge_bucketed(changed, db, "orders", "o_orderkey")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "player_features": q_player_features,
     "player_lifetime": q_player_lifetime,
@@ -404,8 +485,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pending_matches": q_pending_matches,
     "ingest_modes": q_ingest_modes,
     "sql_views": q_sql_views,
+    "text_features": q_text_features,
+    "text_draft": q_text_draft,
+    "sliding_features": q_sliding_features,
+    "lifetime_now": q_lifetime_now,
+    "backlog_top": q_backlog_top,
+    "id_cursor_from_files": q_id_cursor_from_files,
+    "pending_bucketed": q_pending_bucketed,
+    "merge_bucketed": q_merge_bucketed,
 }
 
 ORACLE: dict[str, str] = oracle.all_sql(
-    ref=REF, split_date=SPLIT_DATE, event_split_ts=EVENT_SPLIT_TS, group_size=GROUP_SIZE
+    ref=REF, split_date=SPLIT_DATE, event_split_ts=EVENT_SPLIT_TS, group_size=GROUP_SIZE, trial_ids=TRIAL_IDS
 )

@@ -185,7 +185,17 @@ def entity_features(
     stats = union.groupBy(entity).agg(*[F.expr(e) for e in per_entity])
 
     lifetime = entity_lifetime(history, entity=entity, ts=ts, ref=ref_ts, first_seen=first_seen)
+    return feature_columns(stats, lifetime, entity=entity, role=role, measures=measures, roles=roles, ref=ref_ts, months=months)
+
+
+def feature_columns(stats: DataFrame, lifetime: DataFrame, *, entity: str, role: str, measures: Sequence[tuple[str, str]],
+                    roles: Sequence[int], ref: _dt.datetime, months: int) -> DataFrame:
+    """The feature table from per-entity statistics (``qt_matches``,
+    ``qt_days_last_match``, ``_n_months``, the averages, ``_r<role>`` counts)
+    and lifetimes: joined, ratios taken, missing values COALESCEd to 0."""
+    ref_ts = ref
     joined = stats.join(lifetime, on=entity, how="left")
+    q = "`{}`".format
 
     out = [
         f"DATE'{ref_ts.date().isoformat()}' AS dt_ref",

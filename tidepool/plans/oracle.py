@@ -118,8 +118,8 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 
 # One row per stand-in document: match id and part (see match_documents).
 DOCUMENT_KEYS_SQL = f"""
-SELECT o_orderkey AS match_id, COALESCE(CAST(FLOOR((l_linenumber - 1) / {PLAYERS_PER_PART}.0) AS BIGINT), 0) AS part
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+SELECT o_orderkey AS match_id, COALESCE(CAST(FLOOR((line - 1) / {PLAYERS_PER_PART}.0) AS BIGINT), 0) AS part
+FROM orders LEFT JOIN (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey) AS line FROM lineitem) ON l_orderkey = o_orderkey
 GROUP BY 1, 2
 """
 
@@ -159,7 +159,7 @@ FROM orders
 """
 
 
-def all_sql(ref: str, split_date: str, event_split_ts: str, group_size: int) -> dict[str, str]:
+def all_sql(ref: str, split_date: str, event_split_ts: str, group_size: int, trial_ids: int) -> dict[str, str]:
     assert REF_TS == f"TIMESTAMP '{ref}'", "oracle reference instant out of sync"
     backlog = """
 SELECT DISTINCT hist.o_orderkey AS match_id
@@ -226,4 +226,12 @@ FROM events
         "stream_upsert": upserted_orders_sql(split_date),
         "stream_bronze_players": streamed_players_sql(split_date),
         "compact_table": "SELECT * FROM lineitem",
+        "text_features": player_features_sql(),
+        "text_draft": draft_onehot_sql(),
+        "sliding_features": player_features_sql(),
+        "lifetime_now": f"SELECT account_id, MAX(date_diff('day', CAST(td_match AS DATE), current_date)) AS tq_days_first_match FROM ({PLAYER_ROWS_SQL}) GROUP BY 1",
+        "backlog_top": f"{backlog} ORDER BY 1 LIMIT {trial_ids}",
+        "id_cursor_from_files": "SELECT MIN(o_orderkey) AS min_id, MAX(o_orderkey) AS max_id FROM orders",
+        "pending_bucketed": backlog,
+        "merge_bucketed": upserted_orders_sql(split_date),
     }

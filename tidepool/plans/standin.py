@@ -82,7 +82,6 @@ PLAYER_FIELDS = [
 
 # Players that one document holds at most: a longer match comes in parts.
 PLAYERS_PER_PART = 64
-PART_SQL = f"CAST(FLOOR((l_linenumber - 1) / {PLAYERS_PER_PART}.0) AS BIGINT)"
 
 
 def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,17 +89,17 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     league, both teams, and one with fields named ``1`` to ``5``) and the
     ``players`` array of the order's lines.
 
-    A document's key is (match_id, part): the part is a block of the line
-    number, so a match of any length becomes documents of bounded size, by
-    the same rule for all.
+    A document's key is (match_id, part): a match of more than
+    PLAYERS_PER_PART lines becomes several documents (see
+    :func:`tidepool.operators.nested.nest_rows`), so none is unbounded.
     """
     o = load(spark, sf_dir, "orders")
     c = load(spark, sf_dir, "customer")
     lines = load(spark, sf_dir, "lineitem").join(
         o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     fields = ", ".join(f"{expr} AS {name}" for name, expr in PLAYER_FIELDS)
-    players = lines.selectExpr("l_orderkey AS match_id", f"{PART_SQL} AS part", f"struct({fields}) AS player")
-    nested = nest_rows(players, key="match_id", part="part", item="player", array="players")
+    players = lines.selectExpr("l_orderkey AS match_id", f"struct({fields}) AS player")
+    nested = nest_rows(players, key="match_id", part="part", item="player", array="players", size=PLAYERS_PER_PART)
     head = o.join(c, o.o_custkey == c.c_custkey, "left").selectExpr(
         "o_orderkey AS match_id",
         "unix_timestamp(CAST(o_orderdate AS TIMESTAMP)) AS start_time",

@@ -134,7 +134,8 @@ def write_text(spark: SparkSession, path: str, body: str) -> None:
     out = fs.create(part, True)
     out.write(bytearray(body.encode("utf-8")))
     out.close()
-    if fs.exists(hpath):
-        fs.delete(hpath, False)
-    if not fs.rename(part, hpath):
-        raise OSError(f"could not write {path}")
+    # one rename that replaces: a reader, or a crash, never finds none
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(part), fs.makeQualified(hpath), options)

@@ -7,6 +7,8 @@ Tables are parquet directories or catalog tables. Scans go through
 from __future__ import annotations
 
 import json
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -81,22 +83,55 @@ def table_exists(spark: SparkSession, database: str, table: str) -> bool:
     return spark.catalog.tableExists(f"`{database}`.`{table}`")
 
 
+def _versions(spark: SparkSession, database: str, table: str) -> list[str]:
+    """Names of the tables that ``replace_table`` wrote for ``table``, oldest first."""
+    mark = f"{table.lower()}__v"
+    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN `{database}`").collect()]
+    return sorted(n for n in names if n.lower().startswith(mark))
+
+
+def publish(spark: SparkSession, database: str, table: str, version: str, keep: int = 1) -> DataFrame:
+    """Let the view ``table`` show the table ``version``, in one catalog step, and
+    drop all but the ``keep`` versions before it (a reader that began on
+    the last one can finish).
+
+    A plain table of that name, as an earlier release left it, is renamed to be the
+    oldest version first; that one time a reader can find none in between."""
+    name = f"`{database}`.`{table}`"
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {name} RENAME TO `{database}`.`{table}__v{0:020d}_table`")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM `{database}`.`{version}`")
+    older = [v for v in _versions(spark, database, table) if v.lower() < version.lower()]
+    for old in older[: len(older) - keep if keep else None]:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}`")
+    return spark.table(name)
+
+
+def new_version(table: str) -> str:
+    """A name for the next version of a table; names sort by time."""
+    return f"{table}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+
+
 def replace_table(df: DataFrame, database: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Drop and recreate a catalog table from a query (CTAS), optionally
-    partitioned (e.g. by day, so dated queries prune whole folders).
+    """Recreate a catalog table from a query, optionally partitioned (e.g. by
+    day, so dated queries prune whole folders).
+
+    The query's rows are written as a new version beside the old one; only
+    then the view that readers use is pointed at it. A query that fails, or a
+    crash before that step, leaves the old rows readable, and a query may read the table that it
+    replaces. Versions that never got published are dropped by the next run.
 
     A partitioned write is rebalanced on the partition columns first: a
     folder gets its rows from one task, or a few if it is large, instead of
     one small file from every task."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
+    spark, version = df.sparkSession, new_version(table)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(f"`{database}`.`{table}`")
-    return spark.table(f"`{database}`.`{table}`")
+    writer.saveAsTable(f"`{database}`.`{version}`")
+    return publish(spark, database, table, version)
 
 
 def full_load_once(
