@@ -106,6 +106,10 @@ def test_repeated_ids_nulls_and_empty_table(spark):
     odd = df.selectExpr("*", "1 AS _id", "2 AS _row", "3 AS digest", "4 AS component_id")
     kept = near_dedup.keep_one(odd)
     assert kept.columns == odd.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.select("doc_id").collect() if r["doc_id"] is not None) == [(False, 1), (False, 20), (False, 21), (False, 22)]
+    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.select("doc_id").collect() if r["doc_id"] is not None) == [
+        (False, 1), (False, 5), (False, 20), (False, 21), (False, 22)]
+    # unlike texts under one id both stay
+    two = documents(spark, [a, b]).selectExpr("1L AS doc_id", "text", "lang", "source", "n_chars")
+    assert {r["text"] for r in near_dedup.keep_one(two).collect()} == {a, b}
     assert kept.filter(F.col("doc_id").isNull()).count() == 2
     assert near_dedup.dedup_report(empty(spark)).collect() == [] and near_dedup.keep_one(empty(spark)).collect() == []

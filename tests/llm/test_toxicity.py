@@ -96,3 +96,18 @@ def test_query_covers_the_table(spark):
     rows = QUERIES["op3_toxicity"](spark, SMALL).collect()
     assert len(rows) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert np.isfinite([r["score"] for r in rows]).all()
+
+
+def test_sample_of_a_hot_class_is_not_dealt_out_whole(spark):
+    """Rows are dropped by the counts before they are shuffled by class."""
+    from pyspark.sql import functions as F
+
+    from tidepool.llm.common import smallest
+
+    df = spark.range(0, 200_000).selectExpr("CASE WHEN id % 100 = 0 THEN 1 ELSE 0 END AS toxic", "xxhash64(id) AS _h", "id AS _id")
+    got = smallest(df, "toxic", "_h", 500)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.index("Exchange hashpartitioning(toxic") < plan.index("BroadcastHashJoin")
+    best = {t: {r["_id"] for r in df.where(F.col("toxic") == t).orderBy(F.pmod("_h", F.lit(1 << 52)), "_h").limit(500).collect()} for t in (0, 1)}
+    assert {t: {r["_id"] for r in got.where(F.col("toxic") == t).collect()} for t in (0, 1)} == best

@@ -47,14 +47,21 @@ def rows_of(df: DataFrame, **more: Column) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(n) for n, c in more.items()])
 
 
+#: Values whose counts are broadcast; with more of them no one holds much of a sample.
+FEW_VALUES = 10_000
+
+
 def smallest(df: DataFrame, by: str, order: str, k: int) -> DataFrame:
     """At most ``k`` rows of each value of ``by``, those with the smallest
     ``order`` (a 64-bit hash). Rows whose hash cannot be among them are dropped
-    first, by the counts of the values, so that about 2 * k rows of a value
-    meet in one task, however many it has."""
-    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    near = df.join(counts, by).where(F.pmod(F.col(order), F.lit(1_000_000)) < F.ceil(F.lit(2_000_000.0 * k) / F.col("_n")))
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.pmod(F.col(order), F.lit(1_000_000)), order))
+    first, by the counts of the values, before anything is dealt out by value: about
+    2 * k rows of a value meet in one task, however many it has. The counts
+    are one row for each value, looked at before they are broadcast."""
+    counts = written(df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), "counts")
+    few = counts.limit(FEW_VALUES + 1).count() <= FEW_VALUES
+    place = F.pmod(F.col(order), F.lit(1 << 52))
+    near = df.join(F.broadcast(counts) if few else counts, by).where(place.cast("double") < F.lit(2.0 * k * (1 << 52)) / F.col("_n"))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(place, order))
     return near.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r", "_n")
 
 

@@ -316,13 +316,25 @@ def _bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
 def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
+    signed, comps = _linked(docs, id_col, text_col, percent, one_id=True)
+    linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    named = signed.join(comps, "digest", "left")
+    return named.select("doc_id", "n_shingles", F.when(linkable, F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str, percent: int, one_id: bool) -> tuple[DataFrame, DataFrame]:
+    """The signed rows (doc_id, n_shingles, digest ...) and the component of each
+    class of equal sets (digest, comp). With ``one_id`` a component is its
+    smallest id and rows that share an id are one document; else a component has
+    a number of its own and rows are linked by their texts alone."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     signed = written(with_struct(rows, _signed(F.col("text")), SIGNED).drop("text"), "signed")
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     real = signed.where(linkable)
     # equal sets are one class
     first = [F.first(c).alias(c) for c in ("n_shingles", "bands", "packed")]
-    classes = written(real.groupBy("digest").agg(F.min("doc_id").alias("comp"), *first), "classes")
+    label = F.min("doc_id") if one_id else F.first(F.xxhash64("digest"))
+    classes = written(real.groupBy("digest").agg(label.alias("comp"), F.min("doc_id").alias("doc_id"), *first), "classes")
 
     # the bands that a class shares with another class
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("bands", k * 8 + 1, 8)))
@@ -331,7 +343,7 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = written(every.join(shared, "bucket"), "members")
     near = members.select("digest").distinct()
     # their full sets, from one text of each class
-    wanted = classes.join(near, "digest").select(F.col("comp").alias("doc_id"), "digest", "n_shingles", "bands", "packed")
+    wanted = classes.join(near, "digest").select("doc_id", "digest", "n_shingles", "bands", "packed")
     # nondeterministic in name only: else the filter, and with it the sets of
     # all documents, would be computed below the join
     set_of = _set.asNondeterministic()
@@ -341,15 +353,14 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = classes.select("digest", "comp")
     # rows that share an id are one document
     same_id = real.join(comps, "digest").groupBy("doc_id").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where(
-        F.col("a") != F.col("b")).select("a", "b")
+        F.col("a") != F.col("b")).select("a", "b") if one_id else None
     for k, (lo, hi) in enumerate(ROUNDS):
         now = members.where((F.col("band") >= lo) & (F.col("band") < hi)).join(comps, "digest")
         links = _bucket_links(now, sets, percent)
-        links = written(links.union(same_id) if k == 0 else links, "links")
+        links = written(links.union(same_id) if k == 0 and one_id else links, "links")
         if links.limit(1).count():
             comps = merged(comps, links)
-    named = signed.join(comps, "digest", "left")
-    return named.select("doc_id", "n_shingles", F.when(linkable, F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"))
+    return signed, comps
 
 
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -358,19 +369,27 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component: the row of its smallest id (of
-    rows that share that id, one of those with the longest text). Rows with a
+    """``docs`` with one row of each component: one of its smallest id. Rows are
+    linked by their texts alone, so unlike texts under one id all stay. Rows with a
     null id, and texts without words, are linked with nothing and stay."""
-    out = written(dedup_report(docs, id_col, text_col, percent), "dedup")
-    gone = out.where(~F.col("kept")).select("doc_id")
-    again = out.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
+    signed, comps = _linked(docs, id_col, text_col, percent, one_id=False)
+    linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    best = signed.where(linkable).join(comps, "digest").groupBy("comp").agg(F.min(F.struct("doc_id", "digest")).alias("best"))
+    winners = written(best.select("best.doc_id", "best.digest"), "winners")
+    again = signed.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
+    again = written(again, "again")
+    lost = signed.where(linkable).select("doc_id", "digest").join(winners, ["doc_id", "digest"], "left_anti").select("doc_id")
     if not again.limit(1).count():
-        return _without(docs, gone, id_col)
-    single = _without(docs, gone.union(again), id_col)
-    twice = rows_of(docs, _id=F.col(f"`{id_col}`"), _text=F.col(f"`{text_col}`")).join(
-        again.join(gone, "doc_id", "left_anti").withColumnRenamed("doc_id", "_id"), "_id", "left_semi")
-    best = twice.groupBy("_id").agg(F.max_by("_row", F.coalesce(F.length("_text"), F.lit(-1))).alias("_row"))
-    return single.unionByName(best.select("_row.*"))
+        return _without(docs, lost, id_col)
+    # ids with several rows: each row's set decides, one row of a winning set stays
+    single = _without(docs, lost.union(again).distinct(), id_col)
+    several = rows_of(docs, _id=F.col(f"`{id_col}`").cast("long"), _text=whole_text(text_col)).join(again.withColumnRenamed("doc_id", "_id"), "_id", "left_semi")
+    found = with_struct(several, _set.asNondeterministic()(F.col("_text")), ("set_digest", "set")).drop("_text", "set")
+    found = written(found, "several")
+    wordless = found.where(F.length("set_digest") == 0).select("_row")
+    won = found.join(winners, (F.col("_id") == winners["doc_id"]) & (F.col("set_digest") == winners["digest"]), "left_semi")
+    one = won.groupBy("_id", "set_digest").agg(F.first("_row").alias("_row")).select("_row")
+    return single.unionByName(wordless.unionByName(one).select("_row.*"))
 
 
 def _without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:

@@ -47,13 +47,14 @@ FROM w LEFT JOIN m USING (rid) GROUP BY w.rid, w.doc_id, w.ws
 
 
 def decontamination_sql() -> str:
-    word = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+')"
-    w, least = f"least({decontaminate.WINDOW}, n)", f"ceil({decontaminate.AGREE} * least({decontaminate.WINDOW}, n))"
+    word = f"regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '([{decontaminate.CJK}])', ' \\1 ', 'g'), '[\\p{{L}}\\p{{N}}_]+')"
+    w = f"least({decontaminate.WINDOW}, n)"
+    least = f"CASE WHEN n < {decontaminate.MIN_TOKENS} THEN n ELSE ceil({decontaminate.AGREE} * {w}) END"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {word} AS ws FROM documents),
 i AS (SELECT row_number() OVER () AS iid, item_id, {word} AS ws FROM benchmark),
 dw AS (SELECT rid, unnest(ws) AS word, unnest(range(len(ws))) AS p FROM d),
-iw AS (SELECT iid, len(ws) AS n, unnest(ws) AS word, unnest(range(len(ws))) AS q FROM i WHERE len(ws) >= {decontaminate.MIN_TOKENS}),
+iw AS (SELECT iid, len(ws) AS n, unnest(ws) AS word, unnest(range(len(ws))) AS q FROM i),
 diagonal AS (
   SELECT rid, iid, n, p - q AS diag, list(q) AS same FROM dw JOIN iw USING (word) GROUP BY ALL HAVING count(*) >= {least}),
 placed AS (
