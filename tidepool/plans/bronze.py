@@ -4,7 +4,7 @@ the checks on both."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,22 @@ def load_bronze(spark: SparkSession, raw_dir: str, schema: T.StructType, databas
     return full_load_once(spark, lambda: read_json_docs(spark, raw_dir, schema, key), database, table, location)
 
 
+def load_bronze_checked(spark: SparkSession, raw_dir: str, schema: T.StructType, database: str, table: str,
+                        location: str | None = None, key: str = "match_id") -> DataFrame:
+    """:func:`load_bronze` and the check of what it loaded (:func:`check_details`):
+    the rows are counted in the write itself, distinct keys over the stored key
+    columns only. On a table that exists nothing is loaded and both come from it."""
+    seen = Observation()
+    counted = lambda: read_json_docs(spark, raw_dir, schema, key).observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    loaded = full_load_once(spark, counted, database, table, location)
+    stored = spark.table(f"`{database}`.`{table}`")
+    if not loaded:
+        return check_details(stored)
+    keys = [c for c in (key, "part") if c in stored.columns]
+    distinct = stored.select(*keys).dropna().distinct().agg(F.count(F.lit(1)).alias("n_distinct_keys"))
+    return distinct.select(F.lit(int(seen.get["n_rows"])).cast("bigint").alias("n_rows"), "n_distinct_keys")
+
+
 def build_players(spark: SparkSession, database: str, details: str, players: str,
                   array: str = "players", start: str = "start_time", ts_col: str | None = None,
                   day_col: str | None = None, period: str = "day") -> DataFrame:

@@ -17,7 +17,7 @@ from tidepool.operators.nested import explode_players, flatten_structs
 from tidepool.operators.quality import group_size, uniqueness
 from tidepool.operators.upsert import SnapshotStore, upsert
 from tidepool.plans import oracle
-from tidepool.plans.bronze import build_players, check_details, check_players, load_bronze, pending_matches
+from tidepool.plans.bronze import build_players, check_details, check_players, load_bronze, load_bronze_checked, pending_matches
 from tidepool.plans.features import entity_features, entity_first_seen, entity_lifetime, merge_first_seen
 from tidepool.plans.onehot import draft_onehot
 from tidepool.plans.standin import match_documents, player_rows
@@ -31,7 +31,9 @@ from tidepool.sources.json_docs import (
     schema_from_json,
     schema_to_json,
 )
+from tidepool.sources.compact_small import compact_small
 from tidepool.sources.maintain import compact_table, data_files
+from tidepool.sources.quarantine import quarantine
 from tidepool.sources.tables import (append_evolving, create_database, ledger_append, load, read_ledger, read_table, register_views,
                                      table_name)
 from tidepool.streaming.bronze_stream import stream_upsert
@@ -454,6 +456,50 @@ def q_merge_bucketed(spark, sf_dir):
     return merge_bucketed(changed, db, "orders", "o_orderkey")
 
 
+def q_check_load(spark, sf_dir):
+    """Documents vs distinct document keys, counted by the load's own run."""
+    _setup(spark, sf_dir, "lineitem", "orders", "customer")
+    base = scratch_path(spark, "check_load")
+    land_json(match_documents(spark, sf_dir), f"{base}/raw")
+    db = f"check_{uuid.uuid4().hex[:10]}"
+    return load_bronze_checked(spark, f"{base}/raw", match_document_schema(), db, "match_details", location=f"{base}/db")
+
+
+def q_json_quarantine(spark, sf_dir):
+    """Events landed as JSON documents: purchases arrive cut off, clicks without
+    their id. The scan drops both; the quarantine table holds their texts."""
+    _setup(spark, sf_dir, "events")
+    base = scratch_path(spark, "quarantine")
+    doc = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"user_id":'), F.col("user_id").cast("string"), F.lit("}"))
+    keyless = F.concat(F.lit('{"user_id":'), F.col("user_id").cast("string"), F.lit("}"))
+    kind = F.col("event_type")
+    cut = F.expr("substring(_doc, 1, length(_doc) - 1)")
+    load(spark, sf_dir, "events").withColumn("_doc", doc).select(
+        F.when(kind == "purchase", cut).when(kind == "click", keyless).otherwise(F.col("_doc")).alias("value")).write.text(f"{base}/raw")
+    schema = spark.createDataFrame([], "event_id BIGINT, user_id BIGINT").schema
+    counts = quarantine(spark, f"{base}/raw", schema, f"{base}/quarantine", "first", key="event_id")
+    kept = spark.read.parquet(f"{base}/quarantine").select("text", "reason")
+    if sum(counts.values()) != kept.count():
+        raise RuntimeError("the quarantine table does not hold what its write counted")
+    return kept
+
+
+def q_compact_small(spark, sf_dir):
+    """Line items written as large and small files; only the small ones are
+    rewritten, in place."""
+    _setup(spark, sf_dir, "lineitem")
+    li = load(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "compact_small")
+    li.filter(F.col("l_returnflag") != "R").write.parquet(path)
+    rows = max(1_000, li.count() // 48)
+    li.filter(F.col("l_returnflag") == "R").write.mode("append").option("maxRecordsPerFile", rows).parquet(path)
+    target = max(1, path_bytes(spark, path) // 3)
+    taken, written = compact_small(spark, path, target)
+    if taken <= written:
+        raise RuntimeError("compaction left as many small files as there were")
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "player_features": q_player_features,
     "player_lifetime": q_player_lifetime,
@@ -493,6 +539,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "id_cursor_from_files": q_id_cursor_from_files,
     "pending_bucketed": q_pending_bucketed,
     "merge_bucketed": q_merge_bucketed,
+    "check_load": q_check_load,
+    "json_quarantine": q_json_quarantine,
+    "compact_small": q_compact_small,
 }
 
 ORACLE: dict[str, str] = oracle.all_sql(

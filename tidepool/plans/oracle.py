@@ -234,4 +234,11 @@ FROM events
         "id_cursor_from_files": "SELECT MIN(o_orderkey) AS min_id, MAX(o_orderkey) AS max_id FROM orders",
         "pending_bucketed": backlog,
         "merge_bucketed": upserted_orders_sql(split_date),
+        "check_load": f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT match_id || '-' || part) AS n_distinct_keys FROM ({DOCUMENT_KEYS_SQL})",
+        "json_quarantine": """
+SELECT CASE WHEN event_type = 'purchase' THEN '{"event_id":' || event_id || ',"user_id":' || user_id ELSE '{"user_id":' || user_id || '}' END AS text,
+       CASE WHEN event_type = 'purchase' THEN 'broken' ELSE 'no key' END AS reason
+FROM events WHERE event_type IN ('purchase', 'click')
+""",
+        "compact_small": "SELECT * FROM lineitem",
     }

@@ -22,9 +22,14 @@ MAX_FILES_PER_TRIGGER = 1000
 
 
 def json_stream(spark: SparkSession, path: str, schema: T.StructType,
-                max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Streaming scan of new JSON files under a fixed schema."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(path)
+                max_files: int = MAX_FILES_PER_TRIGGER, archive_dir: str | None = None) -> DataFrame:
+    """Streaming scan of new JSON files under a fixed schema. With ``archive_dir``
+    (outside ``path``, on the same file system) files of committed batches are moved there, so
+    that the folder's listing holds what is still to be read, not all that ever came."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader.json(path)
 
 
 def stream_upsert(
@@ -41,6 +46,7 @@ def stream_upsert(
     run_for_s: float | None = None,
     interval: str = "10 seconds",
     keep: int | None = 3,
+    archive_dir: str | None = None,
 ):
     """Run the stream.
 
@@ -54,8 +60,11 @@ def stream_upsert(
     A snapshot store keeps its newest ``keep`` versions (None: all), so its
     size does not grow with the number of batches.
 
+    ``archive_dir``: where files go once the batch after theirs has begun (Spark
+    cleans what is committed before it plans the next batch).
+
     Returns the ``StreamingQuery``."""
-    docs = json_stream(spark, source_dir, schema, max_files).filter(F.col(key).isNotNull())
+    docs = json_stream(spark, source_dir, schema, max_files, archive_dir).filter(F.col(key).isNotNull())
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         # the batch is read more than once (touched buckets, upsert): keep
