@@ -104,7 +104,7 @@ def test_drained_folder_is_archived(spark, scratch):
     base = scratch("archive")
     store = SnapshotStore(spark, f"{base}/table")
     one = spark.range(0, 40).selectExpr("id AS match_id", "'a' AS v")
-    schema, files = one.schema, lambda d: sorted(f for _, _, fs in os.walk(local_path(d)) for f in fs if f.endswith(".json"))
+    schema, files = one.schema, lambda d: sorted(f for _, _, fs in os.walk(local_path(d)) for f in fs if f.startswith("part-"))
     landed = []
     for lo in (0, 40, 80):
         land_json(spark.range(lo, lo + 40).selectExpr("id AS match_id", "'a' AS v").repartition(3), f"{base}/in", mode="append")
@@ -113,5 +113,5 @@ def test_drained_folder_is_archived(spark, scratch):
     # a run cleans what the run before it committed
     stream_upsert(spark, f"{base}/in", schema, store, f"{base}/_checkpoint", key="match_id", archive_dir=f"{base}/old")
     assert sorted(files(f"{base}/in") + files(f"{base}/old")) == sorted(landed)
-    assert set(files(f"{base}/in")).isdisjoint(landed[:3])
+    assert len(landed) == 9 and set(files(f"{base}/in")).isdisjoint(landed[:3])
     assert rows(store.read(), "match_id") == sorted(((k,) for k in range(120)), key=repr)
