@@ -83,3 +83,31 @@ def test_nulls_repeats_empty_table(spark):
     rows = sorted((r["text"], r["n_chars"]) for r in html_text.page_texts(df).collect())
     assert rows == [("", 0), ("", 0), ("a", 1)]
     assert html_text.page_texts(df.filter("false")).collect() == []
+
+
+SAID = "This is a sentence, with a comma, and it goes on for a while. "
+
+
+def test_reader_comments_never_return_by_weight():
+    talk = "".join(f"<p>{SAID * 2}</p>" for _ in range(9))
+    for box in ('<div class="comments">', '<section id="user-comments">', '<ol class="comment-list">'):
+        close = f"</{box[1:].split()[0]}>"
+        assert html_text.main_text(f"<body><article><h1>T</h1><p>{SAID}</p>{box}{talk}{close}</article></body>") == f"T\n{SAID.strip()}"
+        assert html_text.main_text(f"<body><div><p>{SAID}</p><p>{SAID}</p></div>{box}{talk}{close}</body>") == f"{SAID.strip()}\n{SAID.strip()}"
+    assert html_text.main_text(f'<body><div class="has-comments"><p>{SAID}</p></div></body>') == SAID.strip()
+
+
+def test_words_that_are_no_boilerplate():
+    page = f'<article><h1 class="share-price">A title</h1><div class="ad-free reading"><p>{SAID}</p></div></article>'
+    assert html_text.main_text(page) == f"A title\n{SAID.strip()}"
+
+
+def test_very_deep_and_very_long_pages():
+    import tracemalloc
+
+    deep = "<div>" * 50_000 + SAID
+    for page in (deep, "<div>" * 20_000 + "</section>" * 20_000 + SAID, "<div>" * 20_000 + f"<li>{SAID}" * 3, f"<p>{SAID}" * 50_000):
+        tracemalloc.start()
+        assert SAID.strip() in html_text.main_text(page)
+        assert tracemalloc.get_traced_memory()[1] < 400_000_000
+        tracemalloc.stop()

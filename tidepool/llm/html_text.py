@@ -14,6 +14,7 @@ paths and their sibling paths do. What is boilerplate by its element (``nav``,
 whose class or id says so, judged for itself: around the article (the heaviest
 ``article`` or ``main``), or around most of the punctuated text, such a word
 names the page's layout and does not count, while those below it still do.
+Reader comments never count as the article, however much text they hold.
 
 A page is one row and its work is one pass over its tags; nothing is
 shuffled. Defined cases: null, empty or tagless-and-blank html gives ''; text
@@ -44,6 +45,10 @@ HINTS = set(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
     "popup modal overlay newsletter subscribe subscription sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead comment comments "
     "disqus reply replies respond share sharing social related recommended widget widgets pagination pager toolbar login signup contentinfo complementary".split())
+#: Of these, words of reader comments: they are never the article, however much they hold.
+COMMENTS = set("comment comments disqus reply replies respond".split())
+#: Words beside a hint that make it a layout's or a thing's name ("has-comments", "ad-free").
+NEUTRAL = set("has no with without non free page layout wrapper container".split())
 ROOTS = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: A start tag of these ends an open element of the given kinds.
@@ -60,13 +65,27 @@ PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 PUNCTUATION = re.compile(r"[.,;:!?。、，！？]")
 
 
+class Path:
+    """A tag path as its last step and the path above; equal paths of a page are one object."""
+
+    __slots__ = ("above", "number", "depth", "link")
+
+    def __init__(self, above: "Path | None", tag: str, number: int):
+        self.above, self.number = above, number
+        self.depth = above.depth + 1 if above else 0
+        self.link = tag == "a" or bool(above and above.link)
+
+
 class Element:
-    __slots__ = ("tag", "path", "boiler", "root", "heading", "hint", "outer")
+    __slots__ = ("tag", "path", "boiler", "root", "heading", "hint", "outer", "talk")
 
-    def __init__(self, tag: str, attrs: str, above: "Element | None"):
+    def __init__(self, tag: str, attrs: str, above: "Element | None", paths: dict[tuple, Path]):
         marks = sorted({p.lower() for m in MARKED.findall(attrs) for p in PIECES.findall(m)}) if attrs else []
         self.tag = tag
-        self.path = (f"{above.path}/" if above else "") + tag + "".join(f".{m}" for m in marks)
+        step = (above.path.number if above else -1, tag, *marks)
+        if step not in paths:
+            paths[step] = Path(above.path if above else None, tag, len(paths))
+        self.path = paths[step]
         self.root = self if tag in ROOTS else above.root if above else None
         self.heading = tag in HEADINGS or bool(above and above.heading)
         #: whether this element or one above it is boilerplate by its element
@@ -74,7 +93,12 @@ class Element:
             tag in ROOTS and not {"comment", "comments"}.isdisjoint(marks))
         #: the nearest element from here up with a boilerplate word, and the next one above that
         self.outer = above.hint if above else None
-        hinted = tag not in ("html", "body") and tag not in ROOTS and not HINTS.isdisjoint(marks)
+        words = HINTS.intersection(marks)
+        if "free" in marks or tag in HEADINGS:
+            words = set()
+        #: reader comments, unless the word is part of a layout's name
+        self.talk = not COMMENTS.isdisjoint(words) and NEUTRAL.isdisjoint(marks)
+        hinted = tag not in ("html", "body") and tag not in ROOTS and bool(words)
         self.hint: Element | None = self if hinted else self.outer
 
 
@@ -88,10 +112,17 @@ class Leaf:
 def leaves(page: str) -> list[Leaf]:
     """Text nodes in page order with their elements; nodes of one block share
     its number (white space between them is kept in the text)."""
-    stack = [Element("#page", "", None)]
+    paths: dict[tuple, Path] = {}
+    stack = [Element("#page", "", None, paths)]
+    held: dict[str, int] = {}  # open elements by tag: an end tag without one ends nothing
     out: list[Leaf] = []
     block, pos, n = 0, 0, len(page)
 
+    def close(k: int) -> None:
+        for e in stack[k:]:
+            held[e.tag] -= 1
+        del stack[k:]
+
     def add(raw: str) -> None:
         if raw:
             out.append(Leaf(html.unescape(raw), stack[-1], block))
@@ -113,9 +144,9 @@ def leaves(page: str) -> list[Leaf]:
         if tag in BLOCKS:
             block += 1
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if held.get(tag) else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close(k)
                     break
                 if tag not in BLOCKS and stack[k].tag in BLOCKS:
                     break  # an inline end tag does not reach out of its block
@@ -128,20 +159,21 @@ def leaves(page: str) -> list[Leaf]:
             continue
         if tag in BLOCKS:  # ends an open paragraph, and list items and cells of its kind
             ends = CLOSES.get(tag, set()) | {"p"} | (HEADINGS if tag in HEADINGS else set())
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(map(held.get, ends)) else ():
                 if stack[k].tag in ends:
-                    del stack[k:]
+                    close(k)
                 elif stack[k].tag in SCOPES.get(tag, {"table"} if tag in ("tr", "td", "th") else ()) or (
                         stack[k].tag in BLOCKS and tag not in CLOSES):
                     break
         if not attrs.rstrip().endswith("/") or tag in BLOCKS:
-            stack.append(Element(tag, attrs, stack[-1]))
+            stack.append(Element(tag, attrs, stack[-1], paths))
+            held[tag] = held.get(tag, 0) + 1
     return out
 
 
 def ratios(nodes: list[Leaf]) -> list[float]:
     """Fused and smoothed tag-path ratio of each node."""
-    sums: dict[str, list[int]] = {}
+    sums: dict[Path, list[int]] = {}
     for x in nodes:
         s = sums.setdefault(x.element.path, [0, 0, 0])
         s[0] += 1
@@ -198,7 +230,7 @@ def standing_hints(said: list[Leaf]) -> dict[Element, bool]:
     out: dict[Element, bool] = {}
     for h in order:
         most = 2 * weight.get(h, 0) > total and (not free[0] or (h.root is not None and h.root.tag == "article"))
-        out[h] = bool(h.outer and out[h.outer]) or not (h in layout or most)
+        out[h] = bool(h.outer and out[h.outer]) or not (h in layout or most and not h.talk)
     return out
 
 
@@ -214,16 +246,23 @@ def content(nodes: list[Leaf]) -> list[Leaf]:
         return []
     score = ratios(free)
     mean = sum(score) / len(score)
-    limit = THRESHOLD * (sum((v - mean) ** 2 for v in score) / len(score)) ** 0.5
-    chosen = [x for x, v in zip(free, score) if v >= min(limit, max(score))]
+    limit = min(max(score), THRESHOLD * (sum((v - mean) ** 2 for v in score) / len(score)) ** 0.5)
+    chosen = [x for x, v in zip(free, score) if v >= limit]
     roots = {id(x.element.root) for x in chosen if x.element.root}
     if roots:
         keep = {id(x) for x in free if id(x.element.root) in roots}
     else:
         paths = {x.element.path for x in chosen}
-        parents = {p.rpartition("/")[0] for p in paths}
-        keep = {id(x) for x in free if x.element.path in paths or x.element.heading or (
-            "/a" not in x.element.path and any(x.element.path.startswith(p + "/") for p in parents if p.count("/") > 2))}
+        parents = {p.above for p in paths if p.above and p.above.depth > 2}
+        near: dict[Path, bool] = {}
+        for p in sorted({x.element.path for x in free}, key=lambda p: p.number):
+            chain = []
+            while p.above and p not in near:
+                chain.append(p)
+                p = p.above
+            for q in reversed(chain):  # from the root down
+                near[q] = q.above in parents or near.get(q.above, False)
+        keep = {id(x) for x in free if x.element.path in paths or x.element.heading or (not x.element.path.link and near.get(x.element.path))}
     blocks = {x.block for x in free if id(x) in keep}
     # white space nodes stay, they separate the words of their block
     return [x for x in nodes if x.block in blocks and (id(x) in keep or not x.text.strip() and not (
