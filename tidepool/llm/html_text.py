@@ -1,20 +1,27 @@
 """Main text of HTML pages by tag-path ratios.
 
-Every text node of a page belongs to a root-to-leaf tag path. Per path, text
-length and punctuation are summed and divided by the number of its nodes. The
-two ratios are fused (their product), given back to the nodes in page order,
-smoothed over the neighbours and held against a threshold taken from their
-spread: nodes above it are content. Menus, adverts and notices live on paths
-of short, unpunctuated nodes and stay below.
-
-The article is then taken whole: an ``article`` or ``main`` that holds content
-nodes gives all its blocks, short ones too; without one, the content nodes'
-paths and their sibling paths do. What is boilerplate by its element (``nav``,
-``footer``, ``form``, ``script`` ...) is left out before; so is each element
-whose class or id says so, judged for itself: around the article (the heaviest
-``article`` or ``main``), or around most of the punctuated text, such a word
-names the page's layout and does not count, while those below it still do.
-Reader comments never count as the article, however much text they hold.
+Every text node of a page belongs to a root-to-leaf tag path. Per path, the
+mean text length and punctuation of its nodes are taken and smoothed over the
+tree of paths: a path's share in another's value falls to a quarter with each step
+between the two. The smoothed ratios are fused (their product, doubled inside an
+``article`` or ``main``) and held against half of their mean over the page's
+characters: the nodes of the paths above it are content. Menus, adverts and notices live on
+paths of short, unpunctuated nodes and stay below.
+
+Short nodes of an article (headings, list items, cells) belong to it as well:
+the element that holds a content node (the next one above paragraphs, lists
+and tables; the ``article`` or ``main`` around it if there is one) is taken
+whole, but for blocks of links alone outside such an element. A heading goes
+with the text that it leads. An element's name alone never makes a node
+content. An advert that has no name and lies on the article's own path cannot
+be told from it.
+
+Names are features that take a path out: elements (``nav``, ``footer``,
+``form``, ``script`` ...) and words of a class or id, each judged for its own
+element: around the article (the heaviest ``article`` or ``main``), or around
+most of the punctuated text, such a word names the page's layout and does not
+count, while those below it still do. Reader comments never count as the
+article, however much text they hold.
 
 A page is one row and its work is one pass over its tags; nothing is
 shuffled. Defined cases: null, empty or tagless-and-blank html gives ''; text
@@ -55,8 +62,13 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}}
-#: Nodes to either side that smooth a node's ratio, and the share of the spread that makes the threshold.
-SMOOTH = (0.25, 0.5, 0.25)
+#: Elements that hold single texts or rows of them, and those around everything.
+TEXTUAL = HEADINGS | set("address blockquote caption dd dl dt figcaption legend li ol p pre table tbody td tfoot th thead tr ul".split())
+OUTER = {"#page", "html", "body"}
+#: Share of a path's value that one step of the path tree passes on, weight of a
+#: path inside ROOTS, and the share of the mean ratio that makes the threshold.
+DECAY = 0.25
+ROOT_WEIGHT = 2.0
 THRESHOLD = 0.5
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -68,20 +80,20 @@ PUNCTUATION = re.compile(r"[.,;:!?。、，！？]")
 class Path:
     """A tag path as its last step and the path above; equal paths of a page are one object."""
 
-    __slots__ = ("above", "number", "depth", "link")
+    __slots__ = ("above", "number", "link", "root")
 
     def __init__(self, above: "Path | None", tag: str, number: int):
-        self.above, self.number = above, number
-        self.depth = above.depth + 1 if above else 0
+        self.above, self.number = above, number  # a path's number is above that of the path above it
         self.link = tag == "a" or bool(above and above.link)
+        self.root = tag in ROOTS or bool(above and above.root)
 
 
 class Element:
-    __slots__ = ("tag", "path", "boiler", "root", "heading", "hint", "outer", "talk")
+    __slots__ = ("tag", "above", "path", "boiler", "root", "heading", "hint", "outer", "talk")
 
     def __init__(self, tag: str, attrs: str, above: "Element | None", paths: dict[tuple, Path]):
         marks = sorted({p.lower() for m in MARKED.findall(attrs) for p in PIECES.findall(m)}) if attrs else []
-        self.tag = tag
+        self.tag, self.above = tag, above
         step = (above.path.number if above else -1, tag, *marks)
         if step not in paths:
             paths[step] = Path(above.path if above else None, tag, len(paths))
@@ -172,17 +184,34 @@ def leaves(page: str) -> list[Leaf]:
 
 
 def ratios(nodes: list[Leaf]) -> list[float]:
-    """Fused and smoothed tag-path ratio of each node."""
-    sums: dict[Path, list[int]] = {}
+    """Fused, smoothed tag-path ratio of each node.
+
+    The value of a path is the mean over all paths with nodes, weighted with
+    DECAY to the power of the steps between the two in the path tree. Two
+    passes give all of them: sums from the leaves up, then what lies outside of
+    a path's branch from the root down.
+    """
+    sums: dict[Path, list[float]] = {}
     for x in nodes:
         s = sums.setdefault(x.element.path, [0, 0, 0])
         s[0] += 1
         s[1] += len(x.text)
         s[2] += len(PUNCTUATION.findall(x.text))
-    fused = {p: (t / k) * ((q + 0.1) / k) for p, (k, t, q) in sums.items()}
-    raw = [fused[x.element.path] for x in nodes]
-    a, b, c = SMOOTH
-    return [a * raw[max(0, i - 1)] + b * v + c * raw[min(len(raw) - 1, i + 1)] for i, v in enumerate(raw)]
+    value = {p: (1.0, t / k, q / k) for p, (k, t, q) in sums.items()}
+    for p in sums:
+        q = p.above
+        while q and q not in value:
+            value[q] = (0.0, 0.0, 0.0)
+            q = q.above
+    order = sorted(value, key=lambda p: p.number)
+    for p in reversed(order):
+        if p.above:
+            value[p.above] = tuple(u + DECAY * v for u, v in zip(value[p.above], value[p]))
+    for p in order:
+        if p.above:
+            value[p] = tuple(v + DECAY * (u - DECAY * v) for u, v in zip(value[p.above], value[p]))
+    fused = {p: (t / w) * (q / w + 0.1) * (ROOT_WEIGHT if p.root else 1.0) for p, (w, t, q) in value.items() if p in sums}
+    return [fused[x.element.path] for x in nodes]
 
 
 def above(e: Element | None) -> Iterator[Element]:
@@ -229,44 +258,54 @@ def standing_hints(said: list[Leaf]) -> dict[Element, bool]:
         layout, free = set(above(best.hint)), roots[best]
     out: dict[Element, bool] = {}
     for h in order:
-        most = 2 * weight.get(h, 0) > total and (not free[0] or (h.root is not None and h.root.tag == "article"))
+        heavy = weight.get(h, 0)  # a root without a punctuated text still stands against a lighter one
+        most = 2 * heavy > total and (not free[0] and free[1] < heavy or (h.root is not None and h.root.tag == "article"))
         out[h] = bool(h.outer and out[h.outer]) or not (h in layout or most and not h.talk)
     return out
 
 
+def holder(e: Element) -> Element:
+    """The element that is taken whole if one of its texts is content."""
+    if e.root:
+        return e.root
+    while e.above and (e.tag not in BLOCKS or e.tag in TEXTUAL):
+        e = e.above
+    return e
+
+
 def content(nodes: list[Leaf]) -> list[Leaf]:
     """The nodes of the article."""
     said = [x for x in nodes if x.text.strip()]
     if not said:
         return []
     standing = standing_hints([x for x in said if not x.element.boiler])
-    gone = lambda e: e.boiler or (e.hint is not None and standing[e.hint])
+    # (an element with a boilerplate word that holds blanks alone has no verdict)
+    gone = lambda e: e.boiler or (e.hint is not None and standing.get(e.hint, True))
     free = [x for x in said if not gone(x.element)]
     if not free:
         return []
     score = ratios(free)
-    mean = sum(score) / len(score)
-    limit = min(max(score), THRESHOLD * (sum((v - mean) ** 2 for v in score) / len(score)) ** 0.5)
+    sizes = [len(x.text) for x in free]
+    limit = THRESHOLD * sum(v * k for v, k in zip(score, sizes)) / sum(sizes)
     chosen = [x for x, v in zip(free, score) if v >= limit]
-    roots = {id(x.element.root) for x in chosen if x.element.root}
-    if roots:
-        keep = {id(x) for x in free if id(x.element.root) in roots}
-    else:
-        paths = {x.element.path for x in chosen}
-        parents = {p.above for p in paths if p.above and p.above.depth > 2}
-        near: dict[Path, bool] = {}
-        for p in sorted({x.element.path for x in free}, key=lambda p: p.number):
-            chain = []
-            while p.above and p not in near:
-                chain.append(p)
-                p = p.above
-            for q in reversed(chain):  # from the root down
-                near[q] = q.above in parents or near.get(q.above, False)
-        keep = {id(x) for x in free if x.element.path in paths or x.element.heading or (not x.element.path.link and near.get(x.element.path))}
-    blocks = {x.block for x in free if id(x) in keep}
+    boxes = {box for x in chosen if (box := holder(x.element)).tag not in OUTER}
+    inside: dict[Element, bool] = {}
+    for x in free:
+        chain, e = [], x.element
+        while e and e not in inside and e not in boxes:
+            chain.append(e)
+            e = e.above
+        inside.update(dict.fromkeys(chain, e is not None and (e in boxes or inside[e])))
+    blocks = {x.block for x in chosen} | {
+        x.block for x in free if (x.element in boxes or inside[x.element]) and (x.element.root or not x.element.path.link)}
+    leads = False  # whether the text that follows, but for headings, is kept
+    for x in reversed(free):
+        if not x.element.heading:
+            leads = x.block in blocks
+        elif leads:
+            blocks.add(x.block)
     # white space nodes stay, they separate the words of their block
-    return [x for x in nodes if x.block in blocks and (id(x) in keep or not x.text.strip() and not (
-        x.element.boiler or standing.get(x.element.hint, x.element.hint is not None)))]
+    return [x for x in nodes if x.block in blocks and not gone(x.element)]
 
 
 def main_text(page: str | None) -> str:
