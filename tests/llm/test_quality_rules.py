@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -64,3 +65,23 @@ def test_query_covers_the_table_without_python(spark):
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
     got = {r["doc_id"]: r for r in df.collect()}
     assert got.keys() == texts.keys() and all(base(got[i]) == brute(t) for i, t in texts.items())
+
+
+def test_a_language_of_few_rows_does_not_judge_itself(spark):
+    plain = documents(spark, [prose(k, 120) for k in range(60)])
+    r = random.Random(3)
+    junk = " ".join("".join(r.choices("#*$%|<>", k=r.randint(2, 7))) for _ in range(300))
+    chinese = " ".join("".join(r.choices("今天天气很好我们一起去公园散步。", k=r.randint(3, 9))) for _ in range(100))
+    other = documents(spark, [junk, " ".join(prose(200 + k, 60) for k in range(2)), chinese], lang="xx").selectExpr("doc_id + 1000 AS doc_id", *plain.columns[1:])
+    got = {r["doc_id"]: r for r in quality.quality_report(plain.unionByName(other)).collect()}
+    assert not got[1000]["base_failed"] and got[1000]["char_distance"] > quality.MAX_CHAR_DISTANCE and not got[1000]["kept"]
+    assert got[1001]["kept"] and all(got[k]["kept"] for k in range(60))
+    assert got[1002]["kept"] and not got[1002]["base_failed"]
+
+
+def test_failing_rows_stay_out_of_the_references(spark):
+    plain = documents(spark, [prose(k, 120) for k in range(30)])
+    junk = documents(spark, ["#*$ " * 4000] * 3).selectExpr("doc_id + 1000 AS doc_id", *plain.columns[1:])
+    alone = {r["doc_id"]: r["char_distance"] for r in quality.quality_report(plain).collect()}
+    got = {r["doc_id"]: r for r in quality.quality_report(plain.unionByName(junk)).collect()}
+    assert all(got[k]["char_distance"] == d and got[k]["kept"] for k, d in alone.items()) and not got[1000]["kept"]

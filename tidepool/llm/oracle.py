@@ -80,6 +80,12 @@ def quality_sql() -> str:
         part = lambda x, y: f"CASE WHEN {x}[k] > 0 THEN {x}[k] * log2({x}[k] / (({x}[k] + {y}[k]) / 2)) ELSE 0.0 END"
         return f"sqrt(greatest(0.0, least(1.0, list_sum(list_transform(range(1, {n + 1}), lambda k: ({part(p, q)} + {part(q, p)}) / 2)))))"
 
+    def sums(hist: str, n: int) -> str:
+        return "[" + ", ".join(f"coalesce(sum({hist}[{k}]) FILTER (NOT base_failed), 0)::BIGINT" for k in range(1, n + 1)) + "]"
+
+    def any_script(hist: str) -> str:
+        return f"[{hist}[1] + {hist}[2] + {hist}[6], 0, {hist}[3], {hist}[4], {hist}[5], 0, 0]"
+
     return f"""
 WITH a AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
 b AS (SELECT *, {words} AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM a),
@@ -94,13 +100,18 @@ counts AS (
          len(regexp_extract_all(t, '[0-9]')) AS digits, len(regexp_extract_all(t, '[.,;:!?''"()\\-]')) AS marks, strlen(t) - len(t) AS beyond, lows
   FROM c LEFT JOIN covered USING (rid)),
 hist AS (
-  SELECT *, [greatest(0, word_chars - uppers - digits - marks - n_symbols), uppers, digits, marks, n_symbols, chars - word_chars, beyond] AS ch,
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+         [greatest(0, word_chars - uppers - digits - marks - n_symbols), uppers, digits, marks, n_symbols, chars - word_chars, beyond] AS ch,
          list_append([{bins}], n_words - len(list_filter(lows, lambda x: list_contains({_list(quality.WORDS)}, x)))) AS wh
   FROM counts),
-sums AS (SELECT lang, [{', '.join(f'sum(ch[{k}])' for k in range(1, n_char + 1))}] AS cs, [{', '.join(f'sum(wh[{k}])' for k in range(1, n_word + 1))}] AS wsum FROM hist GROUP BY lang),
-p AS (SELECT h.*, {shares('ch')} AS cp, {shares('wh')} AS wp, {shares('cs')} AS cq, {shares('wsum')} AS wq FROM hist h JOIN sums s ON h.lang IS NOT DISTINCT FROM s.lang),
-r AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-             {distance('cp', 'cq', n_char)} AS char_distance, {distance('wp', 'wq', n_word)} AS word_distance FROM p)
+sums AS (SELECT lang, {sums('ch', n_char)} AS cs, {sums('wh', n_word)} AS wsum FROM hist GROUP BY lang),
+everyone AS (SELECT {sums('ch', n_char)} AS ca, {sums('wh', n_word)} AS wa FROM hist),
+refs AS (SELECT lang, list_sum(wsum) < {quality.MIN_REFERENCE_WORDS} AS few, CASE WHEN few THEN {any_script('ca')} ELSE cs END AS cref,
+                CASE WHEN few THEN wa ELSE wsum END AS wref FROM sums, everyone),
+judged AS (SELECT h.* EXCLUDE (ch), CASE WHEN few THEN {any_script('h.ch')} ELSE h.ch END AS ch, cref, wref
+           FROM hist h JOIN refs s ON h.lang IS NOT DISTINCT FROM s.lang),
+p AS (SELECT *, {shares('ch')} AS cp, {shares('wh')} AS wp, {shares('cref')} AS cq, {shares('wref')} AS wq FROM judged),
+r AS (SELECT *, {distance('cp', 'cq', n_char)} AS char_distance, {distance('wp', 'wq', n_word)} AS word_distance FROM p)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (chars >= {quality.MIN_CHARS_JUDGED} AND char_distance > {quality.MAX_CHAR_DISTANCE})
        AND NOT (n_words >= {quality.MIN_WORDS_JUDGED} AND word_distance > {quality.MAX_WORD_DISTANCE}) AS kept, char_distance, word_distance

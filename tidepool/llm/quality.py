@@ -4,10 +4,13 @@ Each document gets two histograms: character classes (lower-case and other
 characters, upper-case letters, digits, sentence marks, symbols, white space,
 bytes beyond ASCII) and common words (the function words below, and all other
 words). Both are compared with the reference of the document's language -- the
-sum of the histograms of all documents of that language -- by the
-Jensen-Shannon distance (base 2, between 0 and 1). A document fails if a
+sum of the histograms of all documents of that language that pass the base
+rule -- by the Jensen-Shannon distance (base 2, between 0 and 1). A document fails if a
 distance exceeds its threshold; a histogram of too few characters or words
-says nothing and is not judged (minimum-length guards).
+says nothing and is not judged (minimum-length guards). A language whose
+reference has too few words cannot speak for itself: its documents are compared
+with the reference of all languages, and of the characters only those classes
+count that mean the same in every script (digits, sentence marks, symbols, the rest).
 
 Texts are read once: the counts go to a slim table in the shared folder, the
 references are sums over it, one row for each language. Sums are
@@ -19,7 +22,7 @@ n_dup_lines, n_repeat_words. Windows of eight words are compared by a 64-bit
 hash within their own text.
 
 Defined cases: a null, empty or blank text has no words and fails the base
-rule; a null language is a language of its own; repeated rows are judged each
+rule; a null language is a language of its own, and one of few or only failing rows has no reference of its own; repeated rows are judged each
 for themselves; an empty table gives an empty table; other columns are
 ignored.
 """
@@ -37,6 +40,8 @@ MAX_REPEAT_PERCENT = 30
 #: Guards: below these, a histogram is not judged.
 MIN_CHARS_JUDGED = 200
 MIN_WORDS_JUDGED = 80
+#: Least words of a language's own reference.
+MIN_REFERENCE_WORDS = 2000
 #: Thresholds of the Jensen-Shannon distances.
 MAX_CHAR_DISTANCE = 0.33
 MAX_WORD_DISTANCE = 0.55
@@ -131,12 +136,34 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x))))
 
 
+def any_script(hist: Column) -> Column:
+    """A character histogram with only those classes that every script shares."""
+    zero = F.lit(0).cast("long")
+    return F.array(hist[0] + hist[1] + hist[5], zero, hist[2], hist[3], hist[4], zero, zero)
+
+
+def failed_base() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+
+
 def references(slim: DataFrame) -> DataFrame:
-    """One row per language: shares of the summed histograms."""
-    sums = {name: [F.sum(F.col(name)[i]) for i in range(n)] for name, n in (("_char_hist", len(CHAR_CLASSES)), ("_word_hist", len(WORDS) + 1))}
-    got = slim.groupBy("_lang").agg(*[F.array(*cols).alias(f"{name}_ref") for name, cols in sums.items()])
+    """One row per language: shares of the summed histograms of its rows that
+    pass the base rule, or of all languages' if these have too few words."""
+    zero = F.lit(0).cast("long")
+    sizes = (("_char_hist", len(CHAR_CLASSES)), ("_word_hist", len(WORDS) + 1))
+    sums = lambda cond: [
+        F.array(*[F.coalesce(F.sum(F.when(cond, F.col(name)[i])), zero) for i in range(n)]).alias(f"{name}_ref") for name, n in sizes]
+    # one row of fixed length comes to the driver
+    whole = slim.agg(*sums(~failed_base())).first()
+    everyone = [F.array(*[F.lit(x).cast("long") for x in whole[f"{name}_ref"]]) for name, _ in sizes]
+    got = slim.groupBy("_lang").agg(*sums(~failed_base()))
+    got = with_total(got, "_word_hist_ref", "_w").withColumn("_few", F.col("_w") < MIN_REFERENCE_WORDS)
+    got = got.withColumns({
+        "_char_hist_ref": F.when(F.col("_few"), any_script(everyone[0])).otherwise(F.col("_char_hist_ref")),
+        "_word_hist_ref": F.when(F.col("_few"), everyone[1]).otherwise(F.col("_word_hist_ref")),
+    })
     got = with_total(with_total(got, "_char_hist_ref", "_c"), "_word_hist_ref", "_w")
-    return got.select(F.col("_lang").alias("_ref_lang"), shares(F.col("_char_hist_ref"), F.col("_c")).alias("_char_ref"),
+    return got.select(F.col("_lang").alias("_ref_lang"), "_few", shares(F.col("_char_hist_ref"), F.col("_c")).alias("_char_ref"),
                       shares(F.col("_word_hist_ref"), F.col("_w")).alias("_word_ref"))
 
 
@@ -148,13 +175,14 @@ def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = written(measured(rows).select("doc_id", "_lang", *base, "_chars", "_char_hist", "_word_hist"), "quality")
     refs = references(slim)
     d = slim.join(refs, F.col("_lang").eqNullSafe(F.col("_ref_lang")))
+    d = d.withColumn("_char_hist", F.when(F.col("_few"), any_script(F.col("_char_hist"))).otherwise(F.col("_char_hist")))
     d = with_total(with_total(d, "_char_hist", "_c"), "_word_hist", "_w")
     d = d.withColumns({"_char_share": shares(F.col("_char_hist"), F.col("_c")), "_word_share": shares(F.col("_word_hist"), F.col("_w"))})
     d = d.withColumns({
         "char_distance": js_distance(F.col("_char_share"), F.col("_char_ref")),
         "word_distance": js_distance(F.col("_word_share"), F.col("_word_ref")),
     })
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    failed = failed_base()
     diverges = ((F.col("_chars") >= MIN_CHARS_JUDGED) & (F.col("char_distance") > max_char)) | (
         (F.col("n_words") >= MIN_WORDS_JUDGED) & (F.col("word_distance") > max_word))
     return d.select("doc_id", *base, failed.alias("base_failed"), (~failed & ~diverges).alias("kept"), "char_distance", "word_distance")
