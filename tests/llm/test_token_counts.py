@@ -32,10 +32,22 @@ def test_counts_equal_the_library(spark, library):
 
 def test_small_cache_changes_nothing(library):
     model = token_counts.model_bytes()
-    lengths = token_counts.Lengths(model, token_counts.frequent_lengths(model), entries=8)
-    for t in odd_texts(2000):
-        assert lengths.count(t) == len(library.encode(t))
-    assert len(lengths.new) + len(lengths.old) < 60
+    for frequent in ([], ["the", "a", "", " x"]):
+        lengths = token_counts.Lengths(model, token_counts.frequent_lengths(model, frequent), entries=8)
+        for t in odd_texts(2000):
+            assert lengths.count(t) == len(library.encode(t))
+        assert len(lengths.new) + len(lengths.old) < 60
+
+
+def test_tier_one_holds_the_frequent_words_and_is_bounded(spark):
+    texts = [f"often seen word{k} " + "often " * 3 + "seen" for k in range(500)] + [None, "", "x" * 500]
+    df = documents(spark, texts).repartition(4)
+    words = token_counts.frequent_words(df)
+    assert words[:2] == ["often", "seen"] and len(words) == len(set(words)) and "x" * 500 not in words
+    few = token_counts.frequent_words(df, per_batch=2, pairs=6)
+    assert set(few) == {"often", "seen"}
+    assert len(token_counts.frequent_words(df, pairs=7)) <= 7
+    assert token_counts.frequent_words(empty(spark)) == []
 
 
 def test_repeated_rows_and_empty_table(spark):

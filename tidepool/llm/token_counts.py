@@ -6,11 +6,13 @@ BPE vocabulary in which no piece has the space mark after another character
 count of a text is the sum over its pre-tokens.
 
 Tier 1 is a compact table pre-token -> length, broadcast once. It holds the
-vocabulary's own words (the pre-tokens that were frequent enough in the
-tokenizer's training text to become pieces), so its size is bounded by the
-vocabulary and never grows with the input. Tier 2 is a cache in each Python
-worker for the pre-tokens that miss: the library encodes each of them once
-per worker and cache generation. Nothing is shuffled.
+most frequent pre-tokens of a bounded sample of the texts: tasks count the
+pre-tokens of their batches and hand on the most frequent PER_BATCH of each; the
+first SAMPLE_PAIRS such pairs are read (from as few partitions as yield them),
+added up, and encoded by the library. It never grows with the input, and
+decides the speed only: whatever it lacks is tier 2, a bounded cache in each
+Python worker, for which the library encodes a pre-token once per worker and
+cache generation. No pre-tokens are shuffled.
 
 Defined cases: a null text counts as empty, an empty text has 0 tokens and 0
 bytes, special strings inside a text are ordinary text (the library's
@@ -21,6 +23,7 @@ the results are replaced, an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,6 +34,9 @@ from tidepool.llm.common import whole_text
 
 MARK = "▁"  # SentencePiece's space
 MODEL = "piece_bpe_32k.model"
+#: Most (pre-token, count) pairs that a batch of the sample hands on, and that are read in all.
+PER_BATCH = 8_192
+SAMPLE_PAIRS = 16_384
 #: Pre-tokens longer than this are encoded each time and never cached.
 LONGEST_CACHED = 64
 #: Most pre-tokens that a worker keeps; when full, the older half goes.
@@ -48,22 +54,6 @@ def model_bytes(model: str = MODEL) -> bytes:
         return f.read()
 
 
-def frequent_lengths(model: bytes) -> dict[str, int]:
-    """Tier 1: the vocabulary's words and their lengths in tokens.
-
-    The key '' is a lone space mark. Raises if a piece spans two pre-tokens,
-    for then lengths would not add up.
-    """
-    import sentencepiece
-
-    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-    pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
-    if any(MARK in p.lstrip(MARK) for p in pieces):
-        raise ValueError("a piece holds a space after another character: pre-token lengths do not add up")
-    words = [p[1:] for p in pieces if p[:1] == MARK and p[1:] and MARK not in p[1:]]
-    return {"": 1} | {w: len(ids) for w, ids in zip(words, sp.encode(words, num_threads=1))}
-
-
 def pre_tokens(text: str) -> list[str]:
     """The text's pre-tokens, each without its first space: the library puts
     one space mark before whatever it encodes."""
@@ -72,6 +62,40 @@ def pre_tokens(text: str) -> list[str]:
     return [w[1:] for w in _RUN.findall(" " + text)] if "" in words else words
 
 
+def frequent_words(df: DataFrame, text_col: str = "text", per_batch: int = PER_BATCH, pairs: int = SAMPLE_PAIRS) -> list[str]:
+    """The most frequent pre-tokens of a sample, at most ``pairs``, in
+    descending order of their counts."""
+
+    def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            seen: Counter[str] = Counter()
+            for t in batch["text"]:
+                seen.update(w for w in pre_tokens(t) if len(w) <= LONGEST_CACHED) if t else None
+            top = seen.most_common(per_batch)
+            yield pd.DataFrame({"word": [w for w, _ in top], "n": [n for _, n in top]})
+
+    total: Counter[str] = Counter()
+    for r in df.select(whole_text(text_col).alias("text")).mapInPandas(counts, "word string, n long").take(pairs):
+        total[r["word"]] += r["n"]
+    return [w for w, _ in total.most_common()]
+
+
+def frequent_lengths(model: bytes, words: list[str]) -> dict[str, int]:
+    """Tier 1: the given pre-tokens and their lengths in tokens, and always the
+    key '', a lone space mark.
+
+    Raises if a piece of the vocabulary spans two pre-tokens, for then
+    lengths would not add up.
+    """
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    if any(MARK in sp.id_to_piece(i).lstrip(MARK) for i in range(sp.get_piece_size())):
+        raise ValueError("a piece holds a space after another character: pre-token lengths do not add up")
+    words = [w for w in words if w]
+    return {"": 1} | (dict(zip(words, map(len, sp.encode(words, num_threads=1)))) if words else {})
+
+
 class Lengths:
     """Pre-token -> number of tokens: the frequent table, then two bounded
     cache generations, then the library."""
@@ -111,7 +135,7 @@ def with_token_counts(df: DataFrame, text_col: str = "text", model: str = MODEL,
     """``df`` plus the number of tokens of each whole text."""
     sc = df.sparkSession.sparkContext
     proto = model_bytes(model)
-    shared = sc.broadcast((proto, frequent_lengths(proto)))
+    shared = sc.broadcast((proto, frequent_lengths(proto, frequent_words(df, text_col))))
 
     @F.pandas_udf("long")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
