@@ -22,28 +22,6 @@ import tempfile
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-REF_SQL = "TIMESTAMP_NTZ'2001-08-01 00:00:00'"
-
-
-def feature_sql(measures, roles) -> str:
-    avgs = ", ".join(f"AVG({src}) AS {name}" for name, src in measures)
-    shares = ", ".join(
-        f"SUM(CASE WHEN lane_role = {r} THEN 1 ELSE 0 END) / COUNT(DISTINCT match_id) AS pctg_lane_role_{r}"
-        for r in roles
-    )
-    return f"""
-      WITH s AS (
-        SELECT account_id, COUNT(DISTINCT match_id) AS qt_matches,
-               MIN(datediff({REF_SQL}, td_match)) AS qt_days_last_match,
-               COUNT(DISTINCT match_id) / COUNT(DISTINCT month(td_match)) AS tq_match_month,
-               COUNT(DISTINCT match_id) / 6 AS tq_match_month_6, {avgs}, {shares}
-        FROM pm_shuffle
-        WHERE td_match > add_months({REF_SQL}, -6) AND td_match < {REF_SQL}
-        GROUP BY account_id),
-      l AS (SELECT account_id, MAX(datediff({REF_SQL}, td_match)) AS f FROM pm_shuffle GROUP BY 1)
-      SELECT s.*, COALESCE(l.f, 0) AS tq_days_first_match FROM s LEFT JOIN l ON s.account_id = l.account_id"""
-
-
 def read_events(folder: str):
     import zstandard
 
@@ -65,7 +43,7 @@ def main() -> None:
     from pyspark.sql import SparkSession
 
     from tidepool.plans import oracle
-    from tidepool.plans.features import PLAYER_MEASURES, PLAYER_ROLES, entity_features
+    from tidepool.plans.features import entity_features
     from tidepool.plans.onehot import draft_onehot
     from tidepool.plans.standin import player_rows
     from tidepool.session import configure
@@ -81,11 +59,13 @@ def main() -> None:
     configure(spark)
     pm = player_rows(spark, args.sf_dir)
     pm.createOrReplaceTempView("pm_shuffle")
+    # the checked SQL, with DuckDB's date difference said in Spark's words
+    features_sql = oracle.player_features_sql(table="SELECT * FROM pm_shuffle").replace("date_diff('day',", "date_diff(DAY,")
     onehot_sql = oracle.draft_onehot_sql()
     onehot_sql = onehot_sql[onehot_sql.index("SELECT\n  match_id"):].replace("FROM pm", "FROM pm_shuffle").replace(
         "CAST(TIMESTAMP '2001-08-01 00:00:00' - INTERVAL 6 MONTH AS DATE)", "add_months(DATE '2001-08-01', -6)")
     runs = {
-        "features_sql_distinct": lambda: spark.sql(feature_sql(PLAYER_MEASURES, PLAYER_ROLES)),
+        "features_sql_distinct": lambda: spark.sql(features_sql),
         "features_tidepool": lambda: entity_features(pm, ref="2001-08-01 00:00:00"),
         "onehot_sql_condmax": lambda: spark.sql(onehot_sql),
         "onehot_tidepool": lambda: draft_onehot(pm, side="is_side_a", outcome="side_a_win", ref="2001-08-01 00:00:00"),
