@@ -1,6 +1,7 @@
 import pytest
 
 from conftest import rows
+from tidepool.operators import upsert as upsert_module
 from tidepool.operators.upsert import DuplicateKeyError, SnapshotStore, upsert
 from tidepool.sources.json_docs import land_json
 from tidepool.streaming.bronze_stream import stream_upsert
@@ -64,6 +65,18 @@ def test_only_touched_buckets_are_rewritten(spark, scratch):
     assert store.read(0).filter("v = 'B'").count() == 0
 
 
+def test_bucket_count_follows_the_expected_size_and_stays(spark, scratch, monkeypatch):
+    monkeypatch.setattr(upsert_module, "BUCKET_BYTES", 1000)
+    path = scratch("sized")
+    store = SnapshotStore(spark, path, expected_bytes=40_000)
+    store.write(spark.range(0, 500).selectExpr("id AS k", "'a' AS v", "0L AS ts"), "k")
+    assert len(store._commit(0)["buckets"]) == 64
+    # a later run that expects another size keeps the table's own number
+    SnapshotStore(spark, path).apply_batch(spark.createDataFrame([(5, "B", 1)], SCHEMA), 0, "k")
+    assert sum(v == 1 for v in store._commit(1)["buckets"].values()) == 1 and store._commit(1)["n_buckets"] == 64
+    assert store.read().count() == 500 and rows(store.read().filter("k = 5"), "v") == [("B",)]
+
+
 def test_unfinished_writes_are_never_read(spark, scratch):
     spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     try:

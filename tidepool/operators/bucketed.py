@@ -14,22 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.operators.backlog import backlog
-from tidepool.operators.upsert import latest_per_key
+from tidepool.operators.upsert import buckets_for, latest_per_key
 from tidepool.sources.tables import new_version, publish, table_exists
 
-#: Bytes that a bucket should hold once the table has grown to the expected size.
-BUCKET_BYTES = 256 * 1024 * 1024
-
-
-def buckets_for(expected_bytes: int, least: int = 1) -> int:
-    """Buckets for a table of that size; a power of two, so that tables of
-    other sizes have a number that divides it or is a multiple."""
-    n = max(least, 1)
-    while n * BUCKET_BYTES < expected_bytes:
-        n *= 2
-    return n
-
-
 def bucket_count(spark: SparkSession, name: str) -> int:
     """The number of buckets of a catalog table (looked up through its view)."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()

@@ -26,6 +26,20 @@ from tidepool.session import read_text, write_text
 
 DUPLICATE = "batch holds several rows for one"
 
+#: Bytes that a bucket should hold once the table has grown to the expected size.
+BUCKET_BYTES = 256 * 1024 * 1024
+#: Fewest buckets of a snapshot store.
+LEAST_BUCKETS = 16
+
+
+def buckets_for(expected_bytes: int, least: int = 1) -> int:
+    """Buckets for a table of that size; a power of two, so that tables of
+    other sizes have a number that divides it or is a multiple."""
+    n = max(least, 1)
+    while n * BUCKET_BYTES < expected_bytes:
+        n *= 2
+    return n
+
 
 class DuplicateKeyError(ValueError):
     pass
@@ -83,10 +97,12 @@ class SnapshotStore:
 
     _COMMIT = re.compile(r"^(\d+)\.json$")
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, expected_bytes: int = 0):
+        """The first write fixes the number of buckets: ``buckets``, or as many
+        as a table of ``expected_bytes`` takes (at least LEAST_BUCKETS)."""
         self.spark = spark
         self.path = path.rstrip("/")
-        self.buckets = buckets
+        self.buckets = buckets or buckets_for(expected_bytes, LEAST_BUCKETS)
 
     def _hadoop(self, path: str):
         jvm = self.spark.sparkContext._jvm

@@ -264,7 +264,7 @@ def q_stream_upsert(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
     old, changed = _order_changes(o)
     base = scratch_path(spark, "stream")
-    store = SnapshotStore(spark, f"{base}/table")
+    store = SnapshotStore(spark, f"{base}/table", expected_bytes=path_bytes(spark, table_name(sf_dir, "orders")))
     store.write(old, "o_orderkey")
     late = F.col("o_orderdate") >= F.lit(SPLIT_DATE).cast(o.schema["o_orderdate"].dataType)
     for landing in (changed.filter(~late), changed.filter(late)):
@@ -287,7 +287,7 @@ def q_stream_bronze_players(spark, sf_dir):
     match_documents(spark, sf_dir).withColumn("doc_key", key).write.parquet(f"{base}/documents")
     docs = spark.read.parquet(f"{base}/documents")
     new = F.col("start_time") >= F.unix_timestamp(F.lit(SPLIT_DATE).cast("timestamp"))
-    store = SnapshotStore(spark, f"{base}/details")
+    store = SnapshotStore(spark, f"{base}/details", expected_bytes=path_bytes(spark, f"{base}/documents"))
     store.write(docs.filter(~new), "doc_key")
     sent_again = docs.filter(~new & F.col("radiant_win")).withColumns({
         "duration_value": F.col("duration_value") + 1,
