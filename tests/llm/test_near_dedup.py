@@ -72,6 +72,25 @@ def test_small_blocks_change_nothing(spark, monkeypatch):
     assert found(spark, documents(spark, texts)) == brute(dict(enumerate(texts)))
 
 
+def test_pivots_leave_few_blocks_of_a_group_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 7)
+    base = prose(5, 220)
+    texts = [base, *[edited(base, 1, k) for k in range(90)], *[prose(50 + k, 80) for k in range(5)]]
+    blocks, compare = [], near_dedup._bucket_links
+
+    def counted(members, open_, sets, percent):
+        blocks.append(open_.agg(F.coalesce(F.sum(F.col("all") * F.col("other")), F.lit(0))).first()[0])
+        return compare(members, open_, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "_bucket_links", counted)
+    want = brute(dict(enumerate(texts)))
+    assert found(spark, documents(spark, texts)) == want
+    with_pivots, blocks[:] = sum(blocks), []
+    monkeypatch.setattr(near_dedup, "PIVOTS", 0)
+    assert found(spark, documents(spark, texts)) == want
+    assert 5 * with_pivots < sum(blocks)
+
+
 def test_query_equals_brute_force_on_the_given_table(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{TABLE}/documents.parquet").collect()}
     rows = QUERIES["op7_near_dedup"](spark, TABLE).collect()

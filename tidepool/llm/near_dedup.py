@@ -16,10 +16,13 @@ standard deviations at the limit) with 3e-5.
 Scale and skew. Equal sets become one class before anything is compared, so
 exact copies cost one row each. Bands are worked off in ROUNDS; after each
 round the components found so far are merged, and later rounds look only at
-buckets that still hold different components. Inside a bucket, the members
-outside its largest component are compared with all members, in blocks of
+buckets that still hold different components. A bucket of more than one block
+first compares all its rows with about PIVOTS of them, and the components found
+are merged: a large group of near copies is one component by then. Inside a bucket, the members
+outside its largest component are then compared with all members, in blocks of
 at most about BLOCK_ROWS rows or BLOCK_SHINGLES shingles a side: no group meets in one task, no pairs are emitted but a
-spanning forest of confirmed links, and nothing is capped. Components are
+spanning forest of confirmed links, and nothing is capped. A bucket of unlike rows (same band, no link) still
+costs the square of its rows in blocks. Components are
 labelled by joins with pointer jumping; every step is a written table in the
 shared checkpoint folder, so a lost executor costs its own tasks. The driver
 sees counts only.
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +56,8 @@ ROUNDS = ((0, 2), (2, 8), (8, BANDS))
 #: Rows, and shingles, of one side of a block at most (about: rows are dealt by hash).
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 500_000
+#: Rows (about) of a bucket of several parts that all its rows are compared with first.
+PIVOTS = 16
 #: Rows whose estimates are made at once.
 ESTIMATED = 128
 #: Shingles that are hashed at once.
@@ -293,25 +298,51 @@ def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
     return written(out.select(*cols), "classes")
 
 
-def _bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links found in the buckets of ``members`` that hold more than one component."""
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """The buckets that hold more than one component: their rows, their largest
+    component, and the parts that all rows and those outside it are cut into."""
     per = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size")).groupBy("bucket").agg(
         F.max(F.struct("n", "comp", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("comps"))
 
     def parts(rows, size):
         return F.greatest(F.lit(1), F.ceil(rows / F.lit(BLOCK_ROWS)), F.ceil(size / F.lit(BLOCK_SHINGLES))).cast("int")
 
-    open_ = per.where(F.col("comps") > 1).select(
-        "bucket", F.col("most.comp").alias("main"), parts(F.col("n"), F.col("size")).alias("all"),
-        parts(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("other"))
-    rows = members.join(open_, "bucket")
-    own = lambda n: F.pmod(F.xxhash64("digest"), F.col(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rows.where(F.col("comp") != F.col("main")).withColumn("i", own("other")).withColumn("j", each("all")).withColumn("side", F.lit(0))
-    right = rows.withColumn("j", own("all")).withColumn("i", each("other")).withColumn("side", F.lit(1))
+    return written(per.where(F.col("comps") > 1).select(
+        "bucket", "n", F.col("most.comp").alias("main"), parts(F.col("n"), F.col("size")).alias("all"),
+        parts(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("other")), "open")
+
+
+def _part(n: str) -> Column:
+    return F.pmod(F.xxhash64("digest"), F.col(n)).cast("int")
+
+
+def _each(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def _compared(left: DataFrame, right: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links found in the blocks (bucket, i, j) of the two sides."""
     keep = ["bucket", "band", "i", "j", "side", "digest", "comp", "main"]
-    blocks = left.select(*keep).unionByName(right.select(*keep)).join(sets, "digest")
-    return blocks.groupBy("bucket", "i", "j").applyInPandas(lambda group: block_links(group, percent), "a long, b long")
+    sides = left.withColumn("side", F.lit(0)).select(*keep).unionByName(right.withColumn("side", F.lit(1)).select(*keep))
+    return sides.join(sets, "digest").groupBy("bucket", "i", "j").applyInPandas(lambda group: block_links(group, percent), "a long, b long")
+
+
+def _pivot_links(members: DataFrame, hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of about PIVOTS rows of each hot bucket with all its rows. A group of
+    near copies becomes one component by work that grows with its rows, not with
+    their square; what the pivots do not link is left to the blocks."""
+    rows = members.join(hot, "bucket").withColumn("i", F.lit(0))
+    pivots = rows.where(F.pmod(F.xxhash64("digest", F.lit(PIVOTS)), F.col("n")) < PIVOTS)
+    # as if every row were in the main component: each meeting counts
+    return _compared(pivots.withColumn("j", _each("all")), rows.withColumn("j", _part("all")).withColumn("main", F.col("comp")), sets, percent)
+
+
+def _bucket_links(members: DataFrame, open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the rows outside a bucket's largest component with all its rows."""
+    rows = members.join(open_, "bucket")
+    left = rows.where(F.col("comp") != F.col("main")).withColumn("i", _part("other")).withColumn("j", _each("all"))
+    right = rows.withColumn("j", _part("all")).withColumn("i", _each("other"))
+    return _compared(left, right, sets, percent)
 
 
 def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -355,8 +386,17 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, percent: int, one_id: b
     same_id = real.join(comps, "digest").groupBy("doc_id").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where(
         F.col("a") != F.col("b")).select("a", "b") if one_id else None
     for k, (lo, hi) in enumerate(ROUNDS):
-        now = members.where((F.col("band") >= lo) & (F.col("band") < hi)).join(comps, "digest")
-        links = _bucket_links(now, sets, percent)
+        here = members.where((F.col("band") >= lo) & (F.col("band") < hi))
+        now = here.join(comps, "digest")
+        open_ = _open_buckets(now)
+        hot = open_.where(F.col("all") > 1)
+        if hot.limit(1).count():
+            links = written(_pivot_links(now, hot, sets, percent), "pivots")
+            if links.limit(1).count():
+                comps = merged(comps, links)
+                now = here.join(comps, "digest")
+                open_ = _open_buckets(now)
+        links = _bucket_links(now, open_, sets, percent)
         links = written(links.union(same_id) if k == 0 and one_id else links, "links")
         if links.limit(1).count():
             comps = merged(comps, links)
