@@ -49,20 +49,29 @@ def rows_of(df: DataFrame, **more: Column) -> DataFrame:
 
 #: Values whose counts are broadcast; with more of them no one holds much of a sample.
 FEW_VALUES = 10_000
+#: Ranges of the order that the rows of a value near its sample are cut into.
+RANGES = 256
 
 
 def smallest(df: DataFrame, by: str, order: str, k: int) -> DataFrame:
     """At most ``k`` rows of each value of ``by``, those with the smallest
     ``order`` (a 64-bit hash). Rows whose hash cannot be among them are dropped
-    first, by the counts of the values, before anything is dealt out by value: about
-    2 * k rows of a value meet in one task, however many it has. The counts
-    are one row for each value, looked at before they are broadcast."""
+    first, by the counts of the values, looked at before they are broadcast: about
+    2 * k rows of a value are left, however many it has. Those are cut into RANGES of
+    the order; counts of the ranges say which are whole in the sample, and only
+    rows of one range of one value are ranked in one task."""
     counts = written(df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), "counts")
     few = counts.limit(FEW_VALUES + 1).count() <= FEW_VALUES
     place = F.pmod(F.col(order), F.lit(1 << 52))
-    near = df.join(F.broadcast(counts) if few else counts, by).where(place.cast("double") < F.lit(2.0 * k * (1 << 52)) / F.col("_n"))
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(place, order))
-    return near.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r", "_n")
+    share = place.cast("double") * F.col("_n") / F.lit(2.0 * k * (1 << 52))
+    near = df.join(F.broadcast(counts) if few else counts, by).withColumn("_p", F.floor(share * RANGES)).where(F.col("_p") < RANGES)
+    near = written(near.drop("_n"), "near")
+    # one row for each value and range
+    sums = Window.partitionBy(by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = near.groupBy(by, "_p").agg(F.count(F.lit(1)).alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(sums), F.lit(0)))
+    rows = near.join(ranges.where(F.col("_before") < k).drop("_c"), [by, "_p"])
+    rank = F.row_number().over(Window.partitionBy(by, "_p").orderBy(place, order))
+    return rows.withColumn("_r", rank).where(F.col("_r") + F.col("_before") <= k).drop("_r", "_before", "_p")
 
 
 def free_name(taken: Sequence[str], name: str) -> str:
