@@ -111,3 +111,20 @@ def test_long_match_comes_in_parts(spark, scratch):
     assert explode_players(docs).count() == 7000
     assert catalog.QUERIES["check_details"](spark, base).first() == check
     assert catalog.QUERIES["stream_bronze_players"](spark, base).count() == 7000
+
+
+def test_side_is_broadcast_by_its_rows_not_its_file(spark, monkeypatch):
+    """A threshold between the bytes of the orders' packed keys and of their rows:
+    the driver must not gather them."""
+    from tidepool import session
+    from tidepool.plans import catalog
+
+    monkeypatch.setitem(session.RUNTIME_CONF, "spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        for name in ("check_group_size", "explode_players"):
+            p = plan(catalog.QUERIES[name](spark, SF_SMALL))
+            assert "[o_orderkey" in p.split("SortMergeJoin [l_orderkey")[1].split("\n")[0]
+            assert not any("BroadcastHashJoin [l_orderkey" in line for line in p.split("\n"))
+    finally:
+        monkeypatch.undo()
+        session.configure(spark)

@@ -35,8 +35,11 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 
-# Bytes of input per initial shuffle partition (AQE coalesces from there).
+# Bytes of rows per initial shuffle partition (AQE coalesces from there).
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+# Bytes that rows take in memory for one byte of parquet. A sorted key column is
+# kept in 3 to 4 bytes a row, a broadcast or a sort holds 16 and more.
+FILE_EXPANSION = 8
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -62,11 +65,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def size_for_input(spark: SparkSession, input_bytes: int) -> int:
-    """Start shuffles with enough partitions for the input, so a partition
-    stays near ``BYTES_PER_SHUFFLE_PARTITION`` at any scale; never fewer
-    than the session's own setting. Returns the initial partition count."""
+    """Size joins and shuffles for the rows of the input, not for its files.
+
+    A side of a join is broadcast by the size that its rows take (file sizes
+    alone let the driver gather millions of packed keys). Shuffles start with enough
+    partitions, so a partition stays near ``BYTES_PER_SHUFFLE_PARTITION`` at any
+    scale; never fewer than the session's own setting. Returns the initial
+    partition count."""
+    spark.conf.set("spark.sql.sources.fileCompressionFactor", str(float(FILE_EXPANSION)))
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-int(input_bytes) // BYTES_PER_SHUFFLE_PARTITION)
+    wanted = -(-int(input_bytes) * FILE_EXPANSION // BYTES_PER_SHUFFLE_PARTITION)
     n = max(current, wanted)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n
