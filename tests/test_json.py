@@ -135,3 +135,26 @@ def test_land_json_compressed_roundtrip(spark, scratch):
     back = read_json_docs(spark, path, DOC, key="match_id")
     r = back.collect()[0]
     assert r["league"]["name"] == "L" and r["players"][0]["stuns"] == "1.5" and r["radiant_win"] is None
+
+
+def test_rows_that_lie_by_the_key_are_nested_without_a_shuffle(spark):
+    """No key is large: the rows stay where they are, also for a join on the key."""
+    df = spark.range(0, 3000).selectExpr("id % 700 AS k", "struct(id AS v) AS v").repartition(5, "k")
+    out = nest_rows(df, key="k", part="part", item="v", array="vs", size=64)
+    got = out.collect()
+    assert len(got) == 700 and sum(len(r["vs"]) for r in got) == 3000
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "collect_list(v" in final and "Union" not in final
+    assert final.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in final
+
+
+def test_null_keys_are_nested_and_large_ones_dealt(spark, monkeypatch):
+    from tidepool.operators import nested
+
+    monkeypatch.setattr(nested, "ROWS_PER_BLOCK", 50)
+    df = spark.range(0, 400).selectExpr("CASE WHEN id < 300 THEN NULL WHEN id < 310 THEN 1 ELSE id END AS k", "struct(id AS v) AS v")
+    out = nest_rows(df, key="k", part="part", item="v", array="vs", size=16)
+    assert rows(out.selectExpr("k", "explode(vs) AS v")) == rows(df)
+    nulls = out.where("k IS NULL").collect()
+    assert len({r["part"] >> 20 for r in nulls}) == 6 and max(len(r["vs"]) for r in nulls) <= 16
+    assert [r["part"] for r in out.where("k = 1").collect()] == [0]

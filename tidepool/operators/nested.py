@@ -23,12 +23,22 @@ def nest_rows(df: DataFrame, *, key: str, part: str, item: str, array: str, size
     ``size`` rows; else the block and the place in it make its number. The
     hash is of the row itself, so a task that is run again deals out the same;
     only copies of one and the same row share a block however many they are.
+
+    Only these large keys (at most one for ROWS_PER_BLOCK rows, so they are
+    broadcast) are shuffled by block. The others are one block each, and are gathered by
+    key alone: rows that lie by the key already, and a join of the result on
+    it, need no shuffle.
     """
     large = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ROWS_PER_BLOCK)
-    dealt = df.join(large, df[key].eqNullSafe(large["_key"]), "left")
-    blocks = F.coalesce(F.ceil(F.col("_n") / F.lit(ROWS_PER_BLOCK)), F.lit(1))
-    dealt = dealt.select(key, item, F.pmod(F.xxhash64(item), blocks).alias("_block"))
-    arrays = dealt.groupBy(key, "_block").agg(F.array_sort(F.collect_list(item)).alias("_all"))
+    large = F.broadcast(large.select("_key", F.ceil(F.col("_n") / F.lit(ROWS_PER_BLOCK)).alias("_blocks")))
+    same = df[key].eqNullSafe(large["_key"])
+    gathered = F.array_sort(F.collect_list(item)).alias("_all")
+    rest = df.join(large, same, "left_anti").groupBy(key).agg(gathered).select(key, F.lit(0).cast("bigint").alias("_block"), "_all")
+    # the semi join first: it goes below the joins that made the rows
+    dealt = df.join(large, same, "left_semi").join(large, same, "inner").select(key, item, F.pmod(F.xxhash64(item), F.col("_blocks")).alias("_block"))
+    dealt = dealt.repartition(F.col(key), F.col("_block")).groupBy(key, "_block").agg(gathered)
+    # cut after the union: without large keys AQE drops the empty side below
+    arrays = rest.unionByName(dealt)
     parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / F.lit(size)).cast("int")), lambda i: F.slice("_all", i * size + 1, size))
     cut = arrays.select(key, "_block", F.posexplode(parts).alias("_place", array))
     return cut.select(key, (F.col("_block") * (1 << 20) + F.col("_place")).cast("bigint").alias(part), array)
