@@ -151,7 +151,7 @@ def q_bronze_players(spark, sf_dir):
     _setup(spark, sf_dir, "lineitem", "orders", "customer")
     docs = match_documents(spark, sf_dir)
     base = scratch_path(spark, "bronze")
-    land_json(docs, f"{base}/raw")
+    land_json(docs, f"{base}/raw", compression="gzip")
     db = f"bronze_{uuid.uuid4().hex[:10]}"
     load_bronze(spark, f"{base}/raw", match_document_schema(), db, "match_details", location=f"{base}/db")
     return build_players(spark, db, "match_details", "match_players")
@@ -295,7 +295,7 @@ def q_stream_bronze_players(spark, sf_dir):
     })
     schema = match_document_schema().add("doc_key", "string")
     for landing in (sent_again, docs.filter(new)):
-        land_json(landing, f"{base}/raw", mode="append")
+        land_json(landing, f"{base}/raw", mode="append", compression="gzip")
         stream_upsert(spark, f"{base}/raw", schema, store, f"{base}/_checkpoint", key="doc_key")
     return explode_players(store.read())
 
@@ -321,7 +321,7 @@ def _player_table(spark, sf_dir) -> DataFrame:
     folders."""
     _setup(spark, sf_dir, "lineitem", "orders", "customer")
     base = scratch_path(spark, "chain")
-    land_json(match_documents(spark, sf_dir), f"{base}/raw")
+    land_json(match_documents(spark, sf_dir), f"{base}/raw", compression="gzip")
     db = f"chain_{uuid.uuid4().hex[:10]}"
     load_bronze(spark, f"{base}/raw", match_document_schema(), db, "match_details", location=f"{base}/db")
     return build_players(spark, db, "match_details", "match_players", ts_col="ts_match", day_col="mo_match", period="month")
@@ -460,7 +460,7 @@ def q_check_load(spark, sf_dir):
     """Documents vs distinct document keys, counted by the load's own run."""
     _setup(spark, sf_dir, "lineitem", "orders", "customer")
     base = scratch_path(spark, "check_load")
-    land_json(match_documents(spark, sf_dir), f"{base}/raw")
+    land_json(match_documents(spark, sf_dir), f"{base}/raw", compression="gzip")
     db = f"check_{uuid.uuid4().hex[:10]}"
     return load_bronze_checked(spark, f"{base}/raw", match_document_schema(), db, "match_details", location=f"{base}/db")
 
