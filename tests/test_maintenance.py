@@ -115,3 +115,17 @@ def test_drained_folder_is_archived(spark, scratch):
     assert sorted(files(f"{base}/in") + files(f"{base}/old")) == sorted(landed)
     assert len(landed) == 9 and set(files(f"{base}/in")).isdisjoint(landed[:3])
     assert rows(store.read(), "match_id") == sorted(((k,) for k in range(120)), key=repr)
+
+
+def test_target_of_the_compaction_does_not_grow_with_the_table(spark, scratch, monkeypatch):
+    """Eight large files: a task rewrites about one of them, not a third of the table."""
+    from conftest import SF_SMALL
+    from tidepool.plans import catalog
+    from tidepool.session import path_bytes
+
+    base, seen = scratch("eight"), []
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    li.repartitionByRange(8, "l_orderkey").write.parquet(f"{base}/lineitem.parquet")
+    monkeypatch.setattr(catalog, "compact_small", lambda s, path, target: seen.append((path_bytes(s, path), target)) or compact_small(s, path, target))
+    assert catalog.QUERIES["compact_small"](spark, base).count() == 6000
+    assert 5 * seen[0][1] < seen[0][0]

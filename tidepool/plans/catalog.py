@@ -31,8 +31,8 @@ from tidepool.sources.json_docs import (
     schema_from_json,
     schema_to_json,
 )
-from tidepool.sources.compact_small import compact_small
-from tidepool.sources.maintain import compact_table, data_files
+from tidepool.sources.compact_small import compact_small, table_files
+from tidepool.sources.maintain import TARGET_FILE_BYTES, compact_table, data_files
 from tidepool.sources.quarantine import quarantine
 from tidepool.sources.tables import (append_evolving, create_database, ledger_append, load, read_ledger, read_table, register_views,
                                      table_name)
@@ -491,9 +491,13 @@ def q_compact_small(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "compact_small")
     li.filter(F.col("l_returnflag") != "R").write.parquet(path)
-    rows = max(1_000, li.count() // 48)
+    large = table_files(spark, path)
+    rows = max(1_000, li.count() // max(48, 8 * len(large)))
     li.filter(F.col("l_returnflag") == "R").write.mode("append").option("maxRecordsPerFile", rows).parquet(path)
-    target = max(1, path_bytes(spark, path) // 3)
+    # as large as a large file, which a split of the scan bounds: a target that
+    # is a share of the table would let one task read ever more of it
+    small = [size for name, size in table_files(spark, path).items() if name not in large]
+    target = max(1, min(TARGET_FILE_BYTES, max([*large.values(), 3 * max(small)])))
     taken, written = compact_small(spark, path, target)
     if taken <= written:
         raise RuntimeError("compaction left as many small files as there were")
