@@ -96,3 +96,16 @@ def test_new_bucketed_table_needs_no_expected_size(spark, db):
     with pytest.raises(ValueError, match="not bucketed"):
         spark.range(3).write.saveAsTable(f"{db}.plain")
         bucket_count(spark, f"{db}.plain")
+
+
+@pytest.mark.parametrize(("name", "table"), [("merge_bucketed", "orders"), ("pending_bucketed", "lineitem")])
+def test_buckets_are_counted_by_the_rows_in_memory(spark, monkeypatch, name, table):
+    """A file that is as large as a bucket may be: its rows, sorted in memory, are several."""
+    from conftest import SF_SMALL
+    from tidepool.operators import upsert as upsert_module
+    from tidepool.plans import catalog
+    from tidepool.session import path_bytes
+
+    monkeypatch.setattr(upsert_module, "BUCKET_BYTES", path_bytes(spark, f"{SF_SMALL}/{table}.parquet"))
+    df = catalog.QUERIES[name](spark, SF_SMALL)
+    assert len({f.rsplit("_", 1)[1] for f in df.inputFiles()}) == 8

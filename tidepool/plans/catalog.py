@@ -22,7 +22,7 @@ from tidepool.plans.features import entity_features, entity_first_seen, entity_l
 from tidepool.plans.onehot import draft_onehot
 from tidepool.plans.standin import match_documents, player_rows
 from tidepool.plans.state import features_from_state, fold_batch
-from tidepool.session import configure, path_bytes, scratch_path, size_for_input
+from tidepool.session import FILE_EXPANSION, configure, path_bytes, scratch_path, size_for_input
 from tidepool.sources.ingest import ingest, ingest_backfill, ingest_new, with_start_text
 from tidepool.sources.json_docs import (
     land_json,
@@ -436,7 +436,7 @@ def q_pending_bucketed(spark, sf_dir):
     _setup(spark, sf_dir, "orders", "lineitem")
     base, db = scratch_path(spark, "ledger"), f"ledger_{uuid.uuid4().hex[:10]}"
     create_database(spark, db, base)
-    size = path_bytes(spark, table_name(sf_dir, "lineitem"))
+    size = path_bytes(spark, table_name(sf_dir, "lineitem")) * FILE_EXPANSION
     append_bucketed(_listing(spark, sf_dir), db, "listing", "match_id", size)
     half = F.col("match_id") % 2 == 0
     for ids in (_done(spark, sf_dir).distinct().filter(half), _done(spark, sf_dir).distinct().filter(~half)):
@@ -451,7 +451,7 @@ def q_merge_bucketed(spark, sf_dir):
     old, changed = _order_changes(load(spark, sf_dir, "orders"))
     base, db = scratch_path(spark, "merge"), f"merge_{uuid.uuid4().hex[:10]}"
     create_database(spark, db, base)
-    size = path_bytes(spark, table_name(sf_dir, "orders"))
+    size = path_bytes(spark, table_name(sf_dir, "orders")) * FILE_EXPANSION
     merge_bucketed(old, db, "orders", "o_orderkey", expected_bytes=size)
     return merge_bucketed(changed, db, "orders", "o_orderkey")
 
