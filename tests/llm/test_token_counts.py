@@ -1,11 +1,14 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from llm_data import EDGE_TEXTS, documents, empty
 from tidepool.llm import pieces, token_counts
+from tidepool.llm.common import BATCH_BYTES
 from tidepool.llm.queries import QUERIES
 from llm_data import SMALL
 
@@ -102,3 +105,19 @@ def test_queries_cover_the_table(spark, library):
     assert counts.keys() == ids.keys() == texts.keys()
     for i, t in texts.items():
         assert ids[i] == library.encode(t) and counts[i] == len(ids[i])
+
+
+def test_batches_for_the_pieces_are_bounded_in_bytes(spark):
+    def batch_bytes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        df = documents(spark, [f"word{i} " * 400 for i in range(4000)]).coalesce(1)
+        assert pieces.with_pieces(df).where(F.size("ids") > 0).count() == 4000
+        sizes = [r["n"] for r in df.select("text").mapInArrow(batch_bytes, "n long").collect()]
+        assert len(sizes) > 2 and max(sizes) < 2 * BATCH_BYTES
+    finally:
+        spark.conf.set(conf, before)

@@ -14,6 +14,16 @@ from tidepool.session import scratch_path
 HOLD_OUT_FOLDS = 5
 
 
+#: Bytes of rows that go to Python at once. Spark's own limits are 10,000 rows and
+#: 64 MB; both sides hold a batch and its results whole.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Let no batch of rows for Python exceed about BATCH_BYTES, in the session of ``df``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 

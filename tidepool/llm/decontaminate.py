@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import rows_of, whole_text, written
+from tidepool.llm.common import bounded_batches, rows_of, whole_text, written
 from tidepool.llm.near_dedup import mixed, word_hashes
 
 #: '1': the token counts, '0': it is ignored. Every overlap that verifies, of
@@ -256,6 +256,7 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text: str = "text") -> DataFrame:
     """(text, item, start, item_start, tokens, agree): of each text and item
     text (named by their digests) the best verified window."""
+    bounded_batches(docs)
     known = written(item_seeds(benchmark, item_text), "seeds")
     lengths = sorted(r[0] for r in known.where(F.col("whole") > 0).select("whole").distinct().collect())
     hits = text_hits(docs, text_col, seed_filter(known), lengths)

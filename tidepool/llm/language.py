@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import held_out, rows_of, smallest, with_struct
+from tidepool.llm.common import bounded_batches, held_out, rows_of, smallest, with_struct
 
 UND = "und"
 ORDERS = (3, 4)
@@ -163,6 +163,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     n = 0
         yield from flush()
 
+    bounded_batches(docs)
     counted = sample(docs, id_col, text_col, lang_col, per_language).mapInArrow(count, "lang string, gram long, n long")
     summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -179,6 +180,7 @@ FIELDS = ("lang_pred", "score", "coverage", "n_grams")
 
 def with_language(docs: DataFrame, model: Filters, text_col: str = "text") -> DataFrame:
     """``docs`` plus lang_pred, score, coverage and n_grams of each whole text."""
+    bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, coverage double, n_grams long")

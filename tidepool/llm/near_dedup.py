@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import rows_of, whole_text, with_struct, written
+from tidepool.llm.common import bounded_batches, rows_of, whole_text, with_struct, written
 
 SHINGLE = 5
 PERCENT = 85
@@ -358,6 +358,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, percent: int, one_id: b
     class of equal sets (digest, comp). With ``one_id`` a component is its
     smallest id and rows that share an id are one document; else a component has
     a number of its own and rows are linked by their texts alone."""
+    bounded_batches(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     signed = written(with_struct(rows, _signed(F.col("text")), SIGNED).drop("text"), "signed")
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()

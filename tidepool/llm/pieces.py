@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.llm.common import whole_text, with_struct
+from tidepool.llm.common import bounded_batches, whole_text, with_struct
 from tidepool.llm.token_counts import LONGEST_CACHED, MARK, MODEL, model_bytes, pre_tokens
 
 CHUNK_CHARS = 3_000_000
@@ -409,6 +409,7 @@ FIELDS = ("ids", "decoded")
 
 def with_pieces(df: DataFrame, text_col: str = "text", model: str = MODEL, decoded: bool = True) -> DataFrame:
     """``df`` plus the ids of each whole text and the text that they decode to."""
+    bounded_batches(df)
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary(model_bytes(model)))
 
     @F.arrow_udf(T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import held_out, rows_of, smallest, written
+from tidepool.llm.common import bounded_batches, held_out, rows_of, smallest, written
 
 SAMPLE_PER_CLASS = 12_000
 FEATURES = 4_000
@@ -117,6 +117,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, per
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Learn from the labelled rows that are not held out."""
+    bounded_batches(docs)
     rows = written(labelled(docs, labels, id_col, text_col, per_class), "toxicity")
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     bad, good = n.get(1, 0), n.get(0, 0)
@@ -201,6 +202,7 @@ def descend(names: list[str], sample: pd.DataFrame, penalty: float = PENALTY) ->
 
 def with_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` plus the score (0 to 1) of each whole text."""
+    bounded_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
