@@ -2,7 +2,7 @@ import pytest
 
 from conftest import rows
 from tidepool.operators import upsert as upsert_module
-from tidepool.operators.upsert import DuplicateKeyError, SnapshotStore, upsert
+from tidepool.operators.upsert import DuplicateKeyError, SnapshotStore, turns, upsert
 from tidepool.sources.json_docs import land_json
 from tidepool.streaming.bronze_stream import stream_upsert
 
@@ -168,3 +168,37 @@ def test_bounded_processing_time_run(spark, scratch):
                       available_now=False, run_for_s=1, interval="200 milliseconds")
     assert not q.isActive
     assert rows(store.read(), "k", "v") == rows(upsert(old, changes, "k"), "k", "v")
+
+
+def test_turns_hold_all_buckets_under_the_limit():
+    assert turns({0: 5, 1: 5, 2: 5, 3: 1}, 10) == [{0, 1}, {2, 3}]
+    assert turns({}, 10) == [] and turns({0: 11}, 10) is None
+    assert turns(dict.fromkeys(range(200), 9), 10) is None
+
+
+def test_a_batch_is_merged_without_a_shuffle_of_the_stored_rows(spark, scratch, monkeypatch):
+    # keys in several turns, null keys, a new column and a wider type, and in the
+    # end so many files that the buckets are gathered again
+    monkeypatch.setattr(upsert_module, "KEYS_BYTES", 2_000)
+    monkeypatch.setattr(upsert_module, "FILES_PER_BUCKET", 3)
+    gathered, write = [], SnapshotStore._write_data
+
+    def spy(self, df, key, version, buckets, mode="overwrite", gather=True):
+        gathered.append((version, gather, df.count()))
+        return write(self, df, key, version, buckets, mode, gather)
+
+    monkeypatch.setattr(SnapshotStore, "_write_data", spy)
+    store = SnapshotStore(spark, scratch("in_place"), buckets=4)
+    old = spark.range(1000).selectExpr("IF(id % 100 = 0, NULL, id) AS k", "CAST(1 AS INT) AS v")
+    store.write(old, "k")
+    want = old
+    for n in range(1, 5):
+        batch = spark.range(50 * n, 50 * n + 200).selectExpr("IF(id % 97 = 0, NULL, id) AS k", f"CAST({n} AS BIGINT) + 10000000000 AS v", f"'{n}' AS w")
+        want = upsert(want, batch, "k")
+        store.apply_batch(batch, n, "k")
+        assert rows(store.read(), "k", "v", "w") == rows(want, "k", "v", "w")
+    first = [(gather, n) for version, gather, n in gathered if version == 1]
+    # only the rows of the batch are gathered
+    assert [n for gather, n in first if gather] == [200] and len(first) > 2
+    # with many files a bucket's rows come together again
+    assert any(gather and n > 900 for version, gather, n in gathered if version > 1)

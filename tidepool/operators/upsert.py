@@ -7,7 +7,8 @@ only the batch's distinct keys; AQE broadcasts them when their runtime size
 is under the threshold and falls back to a shuffle join otherwise.
 
 ``SnapshotStore`` applies upserts to a parquet table in hash buckets of the
-key: a batch rewrites only the buckets that its keys fall into. It is a thin
+key: a batch rewrites only the buckets that its keys fall into, and shuffles its
+own rows only, until the buckets have gathered many files. It is a thin
 folder layout, not a table format: no concurrent writers, no time travel.
 """
 
@@ -30,6 +31,12 @@ DUPLICATE = "batch holds several rows for one"
 BUCKET_BYTES = 256 * 1024 * 1024
 #: Fewest buckets of a snapshot store.
 LEAST_BUCKETS = 16
+#: Files that a bucket may have on average before a batch gathers its rows again.
+FILES_PER_BUCKET = 8
+#: Bytes of a batch's keys that are broadcast at once, those of a row beside its key, and most such turns.
+KEYS_BYTES = 64 * 1024 * 1024
+KEY_ROW_BYTES = 32
+MOST_TURNS = 64
 
 
 def buckets_for(expected_bytes: int, least: int = 1) -> int:
@@ -41,6 +48,22 @@ def buckets_for(expected_bytes: int, least: int = 1) -> int:
     return n
 
 
+def turns(sizes: dict[int, int], most: int) -> list[set[int]] | None:
+    """The buckets in groups of at most ``most`` bytes; None if that takes more
+    than MOST_TURNS groups, or if one bucket alone has more."""
+    groups: list[set[int]] = []
+    held = most
+    for b, n in sorted(sizes.items()):
+        if n > most:
+            return None
+        if not groups or held + n > most:
+            groups.append(set())
+            held = 0
+        groups[-1].add(b)
+        held += n
+    return groups if len(groups) <= MOST_TURNS else None
+
+
 class DuplicateKeyError(ValueError):
     pass
 
@@ -150,11 +173,13 @@ class SnapshotStore:
         spread = F.when(F.col(key).isNull(), F.xxhash64(*flat)).otherwise(F.xxhash64(F.col(key)))
         return F.pmod(spread, F.lit(buckets)).cast("int")
 
-    def _write_data(self, df: DataFrame, key: str, version: int, buckets: int) -> list[int]:
+    def _write_data(self, df: DataFrame, key: str, version: int, buckets: int, mode: str = "overwrite", gather: bool = True) -> list[int]:
         """Write rows under a version, each bucket from one task (a few if it
-        is large); returns the buckets that got rows."""
+        is large), or with ``gather`` off by the task that has them; returns the
+        version's buckets that hold rows."""
         target = f"{self.path}/data/v={version}"
-        df.withColumn("bucket", self._bucket(df, key, buckets)).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        rows = df.withColumn("bucket", self._bucket(df, key, buckets))
+        (rows.hint("rebalance", "bucket") if gather else rows).write.mode(mode).partitionBy("bucket").parquet(target)
         return [int(n.split("=")[1]) for n in self._names(target) if n.startswith("bucket=")]
 
     def _finish(self, version: int, buckets: dict, schema: T.StructType, applied: dict, count: int, key: str) -> int:
@@ -182,10 +207,18 @@ class SnapshotStore:
                 return last  # a replay
             count, version = commit["n_buckets"], last + 1
             # at most n_buckets numbers come to the driver
-            touched = {r[0] for r in batch.select(self._bucket(batch, key, count).alias("b")).distinct().collect()}
-            old = self._read(commit, touched)
-            merged = upsert(old, batch, key, order_col)
-            got = self._write_data(merged, key, version, count) if touched else []
+            size = F.sum(F.lit(KEY_ROW_BYTES) + F.coalesce(F.length(F.col(key).cast("string")), F.lit(0)))
+            sizes = {r["b"]: r["n"] for r in batch.groupBy(self._bucket(batch, key, count).alias("b")).agg(size.alias("n")).collect()}
+            touched = set(sizes)
+            merged = upsert(self._read(commit, touched), batch, key, order_col)
+            files = [n for f in self._files(commit, touched) for n in self._names(f) if n.endswith(".parquet")]
+            groups = turns(sizes, KEYS_BYTES)
+            if not touched:
+                got = []
+            elif groups is None or len(files) > FILES_PER_BUCKET * len(touched):
+                got = self._write_data(merged, key, version, count)
+            else:
+                got = self._write_in_place(commit, groups, batch, version, key, order_col)
         except PySparkException as e:
             if DUPLICATE in str(e):
                 raise DuplicateKeyError(f"{DUPLICATE} {key}; pass order_col") from e
@@ -193,6 +226,23 @@ class SnapshotStore:
         buckets = {int(b): v for b, v in commit["buckets"].items() if int(b) not in touched} | dict.fromkeys(got, version)
         return self._finish(version, buckets, merged.schema, commit["applied"] | {query_id: batch_id}, count, key)
 
+    def _write_in_place(self, commit: dict, groups: list[set[int]], batch: DataFrame, version: int, key: str, order_col: str | None) -> list[int]:
+        """The merged rows of the groups' buckets, with the batch alone shuffled:
+        the stored rows lie in their buckets, and each group's are written by the
+        tasks that read them, without the keys (broadcast) that the batch has there."""
+        count, none, mode = commit["n_buckets"], F.lit(False), "overwrite"
+        place = F.pmod(F.xxhash64(F.col(key)), F.lit(count)).cast("int")
+        for group in groups:
+            if self._files(commit, group):
+                keys = batch.filter(F.col(key).isNotNull() & place.isin(*group)).select(key)
+                kept = self._read(commit, group).join(F.broadcast(keys), on=key, how="left_anti")
+                # a union with no row of the other side: the columns and types of the whole
+                self._write_data(kept.unionByName(batch.filter(none), allowMissingColumns=True), key, version, count, mode, gather=False)
+                mode = "append"
+        new = latest_per_key(batch, key, order_col)
+        old = self._read(commit).filter(none)
+        return self._write_data(old.unionByName(new, allowMissingColumns=True), key, version, count, mode)
+
     def prune(self, keep: int = 2) -> list[int]:
         """Delete the commits before the newest ``keep``, and the bucket folders
         that no commit left reads; returns the versions removed. Readers of
