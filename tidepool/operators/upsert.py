@@ -231,6 +231,13 @@ class SnapshotStore:
         the stored rows lie in their buckets, and each group's are written by the
         tasks that read them, without the keys (broadcast) that the batch has there."""
         count, none, mode = commit["n_buckets"], F.lit(False), "overwrite"
+        if order_col is None:
+            # the keys alone tell that each has one row: the rows need no grouping
+            if not batch.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+                raise DuplicateKeyError(f"{DUPLICATE} {key}; pass order_col")
+            new = batch
+        else:
+            new = latest_per_key(batch, key, order_col)
         place = F.pmod(F.xxhash64(F.col(key)), F.lit(count)).cast("int")
         for group in groups:
             if self._files(commit, group):
@@ -239,7 +246,6 @@ class SnapshotStore:
                 # a union with no row of the other side: the columns and types of the whole
                 self._write_data(kept.unionByName(batch.filter(none), allowMissingColumns=True), key, version, count, mode, gather=False)
                 mode = "append"
-        new = latest_per_key(batch, key, order_col)
         old = self._read(commit).filter(none)
         return self._write_data(old.unionByName(new, allowMissingColumns=True), key, version, count, mode)
 
